@@ -109,18 +109,15 @@ def fit(df: DataFrame, numeric: list[str], categorical: list[str]) -> FeatureSta
     fills = {c: m for c, m in medians(df, numeric).items() if m is not None}
     state = FeatureState(inputs=[*numeric, *categorical], numeric=scale_statistics(df, fills))
     if categorical:
-        counts = category_counts(df, categorical)
-        best = F.min(F.struct((-F.col("count")).alias("rank"), "value")).alias("best")
-        per_feature = {
-            row.feature: row for row in counts.groupBy("feature").agg(best, F.count("*").alias("values")).collect()
+        most = MAX_LITERAL_CATEGORIES * len(categorical)
+        counts = category_counts(df, categorical).limit(most + 1).collect()
+        found = {c: {row.value: row["count"] for row in counts if row.feature == c} for c in categorical}
+        wide = [c for c, values in found.items() if len(values) > MAX_LITERAL_CATEGORIES]
+        if wide or len(counts) > most:
+            raise ValueError(f"too many categories for literal one-hot columns, use encode_many: {wide or categorical}")
+        state.categorical = {
+            c: (min(values, key=lambda v: (-values[v], v)), sorted(values)) for c, values in found.items() if values
         }
-        wide = [c for c, row in per_feature.items() if row["values"] > MAX_LITERAL_CATEGORIES]
-        if wide:
-            raise ValueError(f"too many categories for literal one-hot columns, use encode_many: {wide}")
-        values = {}
-        for row in counts.select("feature", "value").collect():
-            values.setdefault(row.feature, []).append(row.value)
-        state.categorical = {c: (per_feature[c].best.value, sorted(values[c])) for c in categorical if c in values}
     return state
 
 

@@ -118,43 +118,49 @@ def fit_trees(
         frame.insert(0, "tree", tree)
         return frame
 
-    nodes = samples.groupBy("tree").applyInPandas(build, NODE_SCHEMA).toPandas()
+    tasks = min(trees, df.sparkSession.sparkContext.defaultParallelism)
+    nodes = samples.repartition(tasks, "tree").groupBy("tree").applyInPandas(build, NODE_SCHEMA).toPandas()
     nodes = nodes.sort_values(["tree", "node"], ignore_index=True)
     return ForestState(nodes, rows, contamination, seed)
 
 
-def _tables(nodes: pd.DataFrame):
-    """Per tree arrays by heap position: feature (-1 at a leaf), split, path length at a leaf."""
-    trees = int(nodes.tree.max()) + 1
-    slots = int(nodes.node.max()) + 1
-    feature = np.full((trees, slots), -1)
-    split = np.zeros((trees, slots))
+def _tables(nodes: pd.DataFrame, depth: int):
+    """Per tree arrays by heap position down to ``depth``: feature, split, and path length at the bottom.
+
+    A leaf above the bottom sends every row left, and its path length waits at its
+    leftmost bottom position, so a descent is the same fixed number of steps for all rows.
+    """
+    trees, slots = int(nodes.tree.max()) + 1, 2 ** (depth + 1) - 1
+    feature = np.zeros((trees, slots), dtype=np.int64)
+    split = np.full((trees, slots), np.inf)
     path = np.zeros((trees, slots))
-    tree, node = nodes.tree.to_numpy(), nodes.node.to_numpy()
-    feature[tree, node] = nodes.feature
-    split[tree, node] = nodes.split
-    path[tree, node] = np.floor(np.log2(node + 1)) + average_path(nodes["size"])
-    return feature, split, path
+    inner = nodes[nodes.feature >= 0]
+    feature[inner.tree, inner.node] = inner.feature
+    split[inner.tree, inner.node] = inner.split
+    leaves = nodes[nodes.feature < 0]
+    node = leaves.node.to_numpy()
+    level = np.floor(np.log2(node + 1)).astype(int)
+    bottom = (node + 1) * 2 ** (depth - level) - 1
+    path[leaves.tree, bottom] = level + average_path(leaves["size"])
+    return depth, feature, split, path
 
 
 def mean_path(points: np.ndarray, tables) -> np.ndarray:
-    feature, split, path = tables
+    depth, feature, split, path = tables
+    flat, base = points.ravel(), np.arange(len(points)) * points.shape[1]
     total = np.zeros(len(points))
     for tree_feature, tree_split, tree_path in zip(feature, split, path):
         at = np.zeros(len(points), dtype=np.int64)
-        active = np.flatnonzero(tree_feature[at] >= 0)
-        while len(active):
-            here = at[active]
-            right = points[active, tree_feature[here]] > tree_split[here]
-            at[active] = 2 * here + 1 + right
-            active = active[tree_feature[at[active]] >= 0]
-        total += tree_path[at]
+        for _ in range(depth):
+            value = flat.take(base + tree_feature.take(at))
+            at = 2 * at + 1 + (value > tree_split.take(at))
+        total += tree_path.take(at)
     return total / len(feature)
 
 
 def score_column(df: DataFrame, state: ForestState) -> Column:
     """-2 ** (-mean path / expected path): lower is more anomalous."""
-    tables = df.sparkSession.sparkContext.broadcast(_tables(state.nodes))
+    tables = df.sparkSession.sparkContext.broadcast(_tables(state.nodes, depth_limit(state.sample_rows)))
     expected = float(average_path(state.sample_rows)) or 1.0
 
     @F.arrow_udf("double")

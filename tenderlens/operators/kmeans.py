@@ -1,7 +1,9 @@
 """KMeans: fit, assignment, distance flags and scores."""
 
 from dataclasses import asdict, dataclass
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, functions as F
@@ -21,24 +23,37 @@ class KMeansState:
         return asdict(self)
 
 
-def fit(df: DataFrame, key: str, k: int = 5, seed: int = 42, n_init: int = 10, partitions: int | None = None) -> KMeansState:
-    """Best of ``n_init`` parallel-initialised fits by training cost.
-
-    Rows are hash-partitioned and sorted by key into a fixed number of partitions, so
-    the same seed gives the same model whatever the input layout. The matrix is kept
-    across restarts in memory or on disk.
+def fit(
+    df: DataFrame,
+    key: str,
+    k: int = 5,
+    seed: int = 42,
+    n_init: int = 10,
+    partition_rows: int = 250_000,
+    parallelism: int = 5,
+) -> KMeansState:
+    """Best of ``n_init`` parallel-initialised fits by training cost, the first on a tie.
+
+    Rows are hash-partitioned and sorted by key, and the number of partitions follows
+    from the number of rows alone, so the same seed gives the same model on any cluster.
+    The matrix is kept across restarts in memory or on disk, and ``parallelism``
+    restarts run side by side.
     """
-    partitions = partitions or df.sparkSession.sparkContext.defaultParallelism
+    spark = df.sparkSession
+    partitions = max(1, -(-df.count() // partition_rows))
     matrix = df.select(F.col(f"`{key}`").alias("key"), array_to_vector("features").alias("features"))
     matrix = matrix.repartition(partitions, "key").sortWithinPartitions("key").select("features").persist()
+
+    @inheritable_thread_target(spark)
+    def restart(number):
+        model = KMeans(k=k, seed=seed + number, maxIter=300, tol=1e-4).fit(matrix)
+        centroids = [[float(v) for v in c] for c in model.clusterCenters()]
+        return KMeansState(centroids, float(model.summary.trainingCost))
+
     try:
-        best = None
-        for restart in range(n_init):
-            model = KMeans(k=k, seed=seed + restart, maxIter=300, tol=1e-4).fit(matrix)
-            cost = model.summary.trainingCost
-            if best is None or cost < best.inertia:
-                best = KMeansState([[float(v) for v in c] for c in model.clusterCenters()], float(cost))
-        return best
+        matrix.count()
+        with ThreadPool(min(parallelism, n_init)) as pool:
+            return min(pool.map(restart, range(n_init), chunksize=1), key=lambda state: state.inertia)
     finally:
         matrix.unpersist()
 

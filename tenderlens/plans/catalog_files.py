@@ -24,7 +24,7 @@ def s1(spark, folder):
     raw = dated_notices(spark, folder)
     path = scratch_path(spark, "pages")
     pages.write_pages(raw, path)
-    return pages.read_pages(spark, path, raw.schema).toDF(*_NAMES)
+    return pages.read_pages(spark, path, raw.schema, page_per_line=True).toDF(*_NAMES)
 
 
 @query(

@@ -17,6 +17,11 @@ KEY = "notice-identifier"
 EPS, MIN_SAMPLES = 0.05, 5
 
 
+def feature_table(spark, folder):
+    """Feature rows, written once: fitting reads them several times."""
+    return materialise(tables.feature_rows(spark, folder), "features")
+
+
 def points(spark, folder):
     """Customers with standardised balance and nation as features."""
     table = tables.customer_features(spark, folder)
@@ -74,7 +79,7 @@ def f2(spark, folder):
     ),
 )
 def f3(spark, folder):
-    rows = tables.feature_rows(spark, folder)
+    rows = feature_table(spark, folder)
     fills = features.medians(rows, ["total-value-eur", "quantity"])
     filled = {c: F.round(F.coalesce(S.col(c), F.lit(m)), 6) for c, m in fills.items()}
     return rows.withColumns(filled).select(notice_id(), S.col("total-value-eur").alias("value_eur"), "quantity")
@@ -89,7 +94,7 @@ def f3(spark, folder):
     ),
 )
 def f4(spark, folder):
-    rows = tables.feature_rows(spark, folder)
+    rows = feature_table(spark, folder)
     mode = F.broadcast(features.modes(rows, ["primary-bidder-size"]).select(F.col("value").alias("mode")))
     return rows.crossJoin(mode).select(notice_id(), F.coalesce(S.col("primary-bidder-size"), F.col("mode")).alias("bidder_size"))
 
@@ -107,7 +112,7 @@ _FILLED = (
 
 @query("f5_standardise", select(FEATURES, "select notice_id, round(z0, 6) z0, round(z2, 6) z2 from fs", *_FILLED))
 def f5(spark, folder):
-    rows = tables.feature_rows(spark, folder)
+    rows = feature_table(spark, folder)
     state = features.fit(rows, ["total-value-eur", "quantity"], [])
     z = F.col("features")
     return features.with_features(rows, state).select(notice_id(), F.round(z[0], 6).alias("z0"), F.round(z[1], 6).alias("z2"))
@@ -127,7 +132,7 @@ _SIZES = ("large", "micro", "small", "sme", "unknown")
     ),
 )
 def f6(spark, folder):
-    rows = tables.feature_rows(spark, folder)
+    rows = feature_table(spark, folder)
     coded = features.with_features(rows, features.fit(rows, [], ["primary-bidder-size"]))
     return coded.select(notice_id(), *[F.col("features")[i].alias(f"size_{s}") for i, s in enumerate(_SIZES)])
 
@@ -149,7 +154,7 @@ _HOT = (
     ),
 )
 def f7(spark, folder):
-    rows = tables.feature_rows(spark, folder)
+    rows = feature_table(spark, folder)
     z = F.col("features")
     coded = features.with_features(rows, features.fit(rows, *features.model_features(rows)))
     hot = F.array_position(F.slice(z, 5, 1000), 1.0).alias("hot")
@@ -167,7 +172,7 @@ def f7(spark, folder):
     ),
 )
 def f8(spark, folder):
-    rows = tables.feature_rows(spark, folder)
+    rows = feature_table(spark, folder)
     state = features.fit(rows, *features.model_features(rows))
     coded = features.with_features(rows.drop("discount", "notice-type"), state)
     z = F.col("features")
@@ -187,7 +192,7 @@ def f8(spark, folder):
     ),
 )
 def f9(spark, folder):
-    rows = tables.feature_rows(spark, folder)
+    rows = feature_table(spark, folder)
     state = features.fit(rows, *features.model_features(rows))
     found = [(name, *stats) for name, stats in state.numeric.items()]
     df = spark.createDataFrame(found, "feature string, fill double, mean double, deviation double")
@@ -203,7 +208,7 @@ def p18(spark, folder):
 
 
 def forest_inputs(spark, folder):
-    rows = tables.feature_rows(spark, folder)
+    rows = feature_table(spark, folder)
     return rows, features.fit(rows, *features.model_features(rows))
 
 
@@ -333,7 +338,7 @@ def m15(spark, folder):
 @query("m20_forest_run")
 def m20(spark, folder):
     """Train, save, load, score: rows, outliers and score range per status."""
-    rows = tables.feature_rows(spark, folder)
+    rows = feature_table(spark, folder)
     path = scratch_path(spark, "forest")
     flows.train_forest(rows, KEY, path, as_of="2001-01-01 00:00:00")
     scored = flows.detect_with_forest(rows, KEY, path, as_of="2001-01-01 00:00:00")

@@ -28,10 +28,11 @@ def ingest(
     max_value: float | None = None,
     country: str | None = None,
     as_of: str | None = None,
+    page_per_line: bool = False,
 ) -> dict:
     """Landed pages to raw, normalised and learning CSV folders; returns their paths and the learning table."""
     stamp = as_of or _now()
-    raw = pages.flatten(pages.read_pages(spark, pages_path))
+    raw = pages.flatten(pages.read_pages(spark, pages_path, page_per_line=page_per_line))
     if "publication-date" in raw.columns:
         raw = pages.looking_back(raw.withColumn("publication-date", S.col("publication-date").cast("timestamp")), days_back, stamp)
     if country:

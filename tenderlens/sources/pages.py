@@ -11,13 +11,16 @@ PAGE_ROWS = 100
 MAX_PAGES = 5
 
 
-def read_pages(spark: SparkSession, path: str, notice_schema: T.StructType | None = None) -> DataFrame:
+def read_pages(
+    spark: SparkSession, path: str, notice_schema: T.StructType | None = None, page_per_line: bool = False
+) -> DataFrame:
     """One row per notice of the ``{"notices": [...]}`` documents below ``path``.
 
-    A document is one page of bounded size. Pages without notices give no rows. Without
-    ``notice_schema`` the fields are inferred, which reads the pages twice.
+    A document is one page of bounded size: a file of its own, or with ``page_per_line``
+    one line, which keeps large files splittable. Pages without notices give no rows.
+    Without ``notice_schema`` the fields are inferred, which reads the pages twice.
     """
-    reader = spark.read.option("multiLine", True)
+    reader = spark.read.option("multiLine", not page_per_line)
     if notice_schema is not None:
         reader = reader.schema(T.StructType([T.StructField("notices", T.ArrayType(notice_schema))]))
     pages = reader.json(path)
@@ -96,7 +99,7 @@ def union_pages(pages: list[DataFrame]) -> DataFrame:
 
 
 def write_pages(df: DataFrame, path: str, rows: int = PAGE_ROWS) -> None:
-    """Write flat notices as page documents of at most ``rows`` notices each.
+    """Write flat notices as page documents of at most ``rows`` notices each, one per line.
 
     Rows are numbered within their partition, so no page grows past its size and pages
     build in parallel.

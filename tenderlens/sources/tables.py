@@ -93,10 +93,12 @@ def feature_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Per notice: EUR value, its log, summed quantity and discount of its lines, and two texts."""
     lines = (
         table(spark, folder, "lineitem")
-        .groupBy(F.col("l_orderkey").cast("string").alias("notice-identifier"))
-        .agg(
-            F.round(F.sum("l_quantity"), 6).alias("quantity"),
-            F.round(F.sum("l_discount"), 6).alias("discount"),
+        .groupBy("l_orderkey")
+        .agg(F.sum("l_quantity").alias("quantity"), F.sum("l_discount").alias("discount"))
+        .select(
+            F.col("l_orderkey").cast("string").alias("notice-identifier"),
+            F.round("quantity", 6).alias("quantity"),
+            F.round("discount", 6).alias("discount"),
         )
     )
     base = cleaning.add_bidders(valued_notices(spark, folder))

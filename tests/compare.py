@@ -76,7 +76,7 @@ if __name__ == "__main__":
     spark = build_session(
         "compare",
         master=f"local[{os.environ.get('CPUS', '8')}]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"},
+        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"},
     )
     spark.sparkContext.setLogLevel("ERROR")
     database = open_database(folder)
