@@ -13,6 +13,8 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tenderlens.session import materialise
+
 SMALL = 1_000_000
 _GRID = 1000
 _ACCURACY = 10_000
@@ -21,9 +23,11 @@ _ACCURACY = 10_000
 def exact_quantiles(df: DataFrame, targets: dict[str, tuple[Column, float]], small: int = SMALL):
     """Linear-interpolation quantiles, nulls ignored; None for a column without values.
 
-    ``targets`` maps a result name to (value column, probability).
+    ``targets`` maps a result name to (value column, probability). The value columns are
+    written once, so whatever they derive from is computed in a single pass.
     """
     values = df.select(*[column.cast("double").alias(f"v{i}") for i, (column, _) in enumerate(targets.values())])
+    values = materialise(values, "values")
     counts = values.agg(*[F.count(name).alias(name) for name in values.columns]).first().asDict()
     probabilities = {f"v{i}": p for i, (_, p) in enumerate(targets.values())}
 

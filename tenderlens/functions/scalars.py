@@ -82,36 +82,24 @@ def stamp(as_of: str | None = None) -> Column:
 
 
 def _tenths(y: Column) -> Column:
-    """``y`` in whole tenths, rounded to even on the exact binary value.
+    """``y`` in whole tenths, rounded half to even on its exact binary value.
 
-    20*y is formed as a sum plus its exact rounding error, so that a value just below or
-    above the midpoint of two tenths is told apart from a true tie.
+    10*y is a sum plus the sum's exact rounding error. Rounding cannot carry the sum past
+    the midpoint of two integers, only onto it; there the error's sign decides.
     """
-    total = y * 16.0 + y * 4.0
-    error = y * 4.0 - (total - y * 16.0)
-    nearest = F.rint(total)
-    offset = (total - nearest) + error
-    down, up = (nearest - 1) / 2, (nearest + 1) / 2
-    even = F.when(F.pmod(down, F.lit(2.0)) == 0, down).otherwise(up)
-    midpoint = (F.pmod(nearest, F.lit(2.0)) == 1) & (F.abs(offset) < 1e-6)
-    tie = F.when(offset < 0, down).when(offset > 0, up).otherwise(even)
-    return F.when(midpoint, tie).otherwise(F.rint(y * 10.0)).cast("bigint")
-
-
-def _one_decimal(y: Column, suffix: str) -> Column:
-    tenths = _tenths(y)
-    whole = F.floor(tenths / 10).cast("string")
-    return F.concat(F.lit("€"), whole, F.lit("."), (tenths % 10).cast("string"), F.lit(suffix))
+    total = y * 8.0 + y * 2.0
+    error = y * 2.0 - (total - y * 8.0)
+    midpoint = F.abs(total - F.rint(total)) == 0.5
+    return F.rint(F.when(midpoint, total + F.signum(error) * 0.25).otherwise(total))
 
 
 def currency_label(value: Column) -> Column:
     """Short euro text: billions, millions and thousands with one decimal, else whole euro."""
-    return (
-        F.when(value >= 1e9, _one_decimal(value / 1e9, "B"))
-        .when(value >= 1e6, _one_decimal(value / 1e6, "M"))
-        .when(value >= 1e3, _one_decimal(value / 1e3, "K"))
-        .when(value.isNotNull(), F.concat(F.lit("€"), F.rint(value).cast("bigint").cast("string")))
-    )
+    unit = F.when(value >= 1e9, 1e9).when(value >= 1e6, 1e6).otherwise(1e3)
+    suffix = F.when(value >= 1e9, "B").when(value >= 1e6, "M").otherwise("K")
+    tenths = (_tenths(value / unit) / 10.0).cast("decimal(20,1)").cast("string")
+    whole = F.concat(F.lit("€"), F.rint(value).cast("bigint").cast("string"))
+    return F.when(value >= 1e3, F.concat(F.lit("€"), tenths, suffix)).otherwise(whole)
 
 
 def parameters_text(parameters: Column) -> Column:

@@ -19,6 +19,8 @@ from tenderlens.session import materialise
 
 # Row pairs that may be compared directly instead of splitting boxes further.
 DIRECT_PAIRS = 20_000_000
+# Fine cells per coarse cell above which another axis is worth its threefold copies.
+CROWDED = 8
 # Clusters that may be numbered by one window task.
 WINDOW_ROWS = 1_000_000
 
@@ -58,12 +60,19 @@ def _renamed(df: DataFrame, suffix: str) -> DataFrame:
 def near_cells(cells: DataFrame, eps: float, dims: int) -> DataFrame:
     """All ordered pairs (a, b) of cells, itself included, with boxes at most eps apart.
 
-    Cells meet over a coarser grid on the up to three axes that separate them best;
-    leaving out the other axes only widens the candidates.
+    Cells meet over a coarser grid on the axes that separate them best; leaving out the
+    other axes only widens the candidates. An axis triples the places a cell is sent to,
+    so axes are added while coarse cells are crowded and the axis has more than three steps.
     """
-    spans = cells.agg(*[F.approx_count_distinct(v).alias(f"s{i}") for i, v in enumerate(_parts("cell", dims))]).first()
-    axes = sorted(range(dims), key=lambda i: -spans[i])[:3]
     width = math.floor(math.sqrt(dims)) + 1
+    steps = [F.approx_count_distinct(F.floor(v / width)).alias(f"s{i}") for i, v in enumerate(_parts("cell", dims))]
+    spans = cells.agg(F.count("*").alias("cells"), *steps).first()
+    axes = sorted(range(dims), key=lambda i: -spans[f"s{i}"])
+    crowd, used = spans["cells"], 0
+    while used < dims and (used == 0 or (crowd > CROWDED and spans[f"s{axes[used]}"] > 3)):
+        crowd /= max(spans[f"s{axes[used]}"], 1)
+        used += 1
+    axes = axes[:used]
     keys = [F.floor(F.col("cell")[i] / width) for i in axes]
     around = [F.array(*[k + o for k, o in zip(keys, step)]) for step in itertools.product((-1, 0, 1), repeat=len(axes))]
     left = _renamed(cells, "a").withColumn("cell", F.col("cell_a")).select("*", F.explode(F.array(*around)).alias("near"))

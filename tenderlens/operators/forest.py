@@ -175,8 +175,7 @@ def score_column(df: DataFrame, state: ForestState) -> Column:
 
 def set_offset(df: DataFrame, state: ForestState) -> ForestState:
     """Threshold: the contamination quantile of the scores of the training rows."""
-    scores = materialise(df.select(score_column(df, state).alias("score")), "scores")
-    state.offset = exact_quantile(scores, F.col("score"), state.contamination)
+    state.offset = exact_quantile(df, score_column(df, state), state.contamination)
     return state
 
 

@@ -40,16 +40,19 @@ class Partition:
             lower = points[:, axis] <= split
         index = len(self.nodes)
         self.nodes.append(None)
-        half = leaves // 2
-        self.nodes[index] = (axis, split, self._grow(points[lower], half), self._grow(points[~lower], leaves - half))
+        # Leaves are shared out by rows, so that a crowded side gets more of them.
+        left = min(max(round(leaves * float(lower.mean())), 1), leaves - 1)
+        self.nodes[index] = (axis, split, self._grow(points[lower], left), self._grow(points[~lower], leaves - left))
         return index
 
-    def reached(self, points: np.ndarray, radii: np.ndarray):
-        """Pairs (row, leaf) of every leaf the ball around a row touches; radius 0 gives the home leaf."""
+    def reached(self, points: np.ndarray, radii: np.ndarray | None = None):
+        """Pairs (row, leaf) of every leaf the ball around a row touches; without radii the home leaf."""
         rows, leaves = [], []
-        stack = [(self.root, np.arange(len(points)))]
+        # The squared distance of a row to a region is the sum of its squared offsets per axis.
+        limits = None if radii is None else radii**2 * (1 + 1e-9)
+        stack = [(self.root, np.arange(len(points)), np.zeros(points.shape))]
         while stack:
-            node, at = stack.pop()
+            node, at, offsets = stack.pop()
             if not len(at):
                 continue
             if node < 0:
@@ -59,10 +62,15 @@ class Partition:
             axis, split, left, right = self.nodes[node]
             offset = points[at, axis] - split
             near_left = offset <= 0
-            crosses = np.abs(offset) <= radii[at]
-            crosses &= radii[at] > 0
-            stack.append((left, at[near_left | crosses]))
-            stack.append((right, at[~near_left | crosses]))
+            for child, near in ((left, near_left), (right, ~near_left)):
+                stack.append((child, at[near], offsets[near]))
+                if limits is None:
+                    continue
+                far = np.flatnonzero(~near)
+                moved = offsets[far]
+                moved[:, axis] = offset[far]
+                close = (moved**2).sum(axis=1) <= limits[at[far]]
+                stack.append((child, at[far[close]], moved[close]))
         return (np.concatenate(rows), np.concatenate(leaves)) if rows else (np.empty(0, int), np.empty(0, int))
 
 
@@ -149,8 +157,7 @@ def nearest_distances(df: DataFrame, key: str, k: int, leaf_rows: int = LEAF_ROW
     Fewer than k rows in the table give fewer distances.
     """
     points = df.select(F.col(f"`{key}`").alias(key), F.col("features").alias("x"))
-    vectors = points.groupBy("x").agg(F.count("*").alias("weight"))
-    vectors = materialise(vectors.withColumn("v", F.xxhash64("x")), "vectors")
+    vectors = materialise(points.groupBy("x").agg(F.count("*").alias("weight")), "vectors")
     count = vectors.count()
     part = _build_partition(vectors, count, leaf_rows)
     spark = df.sparkSession
@@ -158,10 +165,10 @@ def nearest_distances(df: DataFrame, key: str, k: int, leaf_rows: int = LEAF_ROW
 
     def place(batches):
         for batch in batches:
-            rows, leaves = tree.value.reached(_matrix(batch.x), np.zeros(len(batch)))
+            rows, leaves = tree.value.reached(_matrix(batch.x))
             yield batch.iloc[rows].assign(leaf=leaves)
 
-    placed = materialise(vectors.mapInPandas(place, "x array<double>, weight bigint, v bigint, leaf long"), "leaves")
+    placed = materialise(vectors.mapInPandas(place, "x array<double>, weight bigint, leaf bigint"), "leaves")
 
     def home(group):
         x = _matrix(group.x)
@@ -171,10 +178,9 @@ def nearest_distances(df: DataFrame, key: str, k: int, leaf_rows: int = LEAF_ROW
             reach = np.full(len(x), np.inf)
         else:
             reach = dist[:, -1]
-        # k copies of one vector are its k nearest already.
-        reach = np.where(weights >= k, 0.0, reach)
         rows, leaves = tree.value.reached(x, reach)
-        others = leaves != group.leaf.iloc[0]
+        # k copies of one vector are its k nearest already.
+        others = (leaves != group.leaf.iloc[0]) & (weights[rows] < k)
         targets = [[] for _ in range(len(x))]
         for row, leaf in zip(rows[others], leaves[others]):
             targets[row].append(leaf)

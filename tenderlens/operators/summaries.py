@@ -5,6 +5,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tenderlens.functions import scalars as S
 from tenderlens.functions.quantiles import exact_quantile, exact_quantiles
 from tenderlens.operators.cleaning import top_values
+from tenderlens.session import materialise
 from tenderlens.schema import CHART_VALUE_NAMES, COUNTRY_NAMES, METRIC_VALUE_NAMES, first_present
 
 
@@ -146,8 +147,12 @@ def flag_shares(df: DataFrame) -> DataFrame:
 
 
 def _histogram(df: DataFrame, value: Column, group: Column, edges_by: Column, bins: int) -> DataFrame:
-    """Counts per (group, bin) of ``bins`` equal bins between the lowest and highest value of ``edges_by``."""
+    """Counts per (group, bin) of ``bins`` equal bins between the lowest and highest value of ``edges_by``.
+
+    Two passes, for the edges and for the counts, over the written value and status.
+    """
     rows = df.select(value.alias("v"), group.alias("status"), edges_by.alias("edge_key")).filter("v is not null")
+    rows = materialise(rows, "histogram")
     edges = rows.groupBy("edge_key").agg(F.min("v").alias("low"), F.max("v").alias("high"))
     placed = rows.join(F.broadcast(edges), "edge_key")
     step = F.try_divide(F.col("v") - F.col("low"), F.col("high") - F.col("low")) * bins
@@ -175,42 +180,24 @@ def box_statistics(df: DataFrame) -> DataFrame:
     """Quartiles, whiskers and flier count of positive values per status (or overall)."""
     value = S.col(value_column(df))
     flagged = "is_outlier" in df.columns
-    groups = {"NORMAL": ~_flag(), "OUTLIER": _flag()} if flagged else {"ALL": F.lit(True)}
+    status = S.status_label(_flag()) if flagged else F.lit("ALL")
+    names = ("NORMAL", "OUTLIER") if flagged else ("ALL",)
+    rows = materialise(positive(df).select(status.alias("status"), value.cast("double").alias("v")), "boxes")
     probabilities = {"q1": 0.25, "median": 0.5, "q3": 0.75}
-    rows = positive(df)
     found = exact_quantiles(
-        rows, {(g, q): (F.when(keep, value), p) for g, keep in groups.items() for q, p in probabilities.items()}
-    )
-    known = [g for g in groups if found[(g, "q1")] is not None]
-    status = S.status_label(_flag()) if flagged else F.lit("ALL")
-
-    def per_group(statistic):
-        return F.element_at(
-            F.create_map(*[part for g in known for part in (F.lit(g), F.lit(statistic(g)))]), F.col("status")
-        )
-
-    def quartile(q):
-        return lambda g: found[(g, q)]
-
-    if not known:
-        return df.sparkSession.createDataFrame(
-            [], "status string, q1 double, median double, q3 double, low_whisker double, high_whisker double, fliers bigint, count bigint"
-        )
-    spread = lambda g: 1.5 * (found[(g, "q3")] - found[(g, "q1")])
-    placed = rows.select(status.alias("status"), value.alias("v")).withColumns(
-        {
-            "low": per_group(lambda g: found[(g, "q1")] - spread(g)),
-            "high": per_group(lambda g: found[(g, "q3")] + spread(g)),
-        }
+        rows, {(g, q): (F.when(F.col("status") == g, F.col("v")), p) for g in names for q, p in probabilities.items()}
     )
-    inside = F.col("v").between(F.col("low"), F.col("high"))
-    boxes = placed.groupBy("status").agg(
+    # One row per status; a status without rows meets none below.
+    quartiles = [(g, *[found[(g, q)] for q in probabilities]) for g in names]
+    quartiles = df.sparkSession.createDataFrame(quartiles, "status string, q1 double, median double, q3 double")
+    spread = 1.5 * (F.col("q3") - F.col("q1"))
+    inside = F.col("v").between(F.col("q1") - spread, F.col("q3") + spread)
+    return rows.join(F.broadcast(quartiles), "status").groupBy("status", "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col("v"))).alias("low_whisker"),
         F.max(F.when(inside, F.col("v"))).alias("high_whisker"),
         F.count_if(~inside).alias("fliers"),
         F.count("*").alias("count"),
     )
-    return boxes.withColumns({q: per_group(quartile(q)) for q in probabilities})
 
 
 def score_points(df: DataFrame) -> DataFrame:

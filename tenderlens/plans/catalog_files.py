@@ -7,7 +7,7 @@ from tenderlens.operators import cleaning
 from tenderlens.plans.catalog_notices import notice_id, value_eur
 from tenderlens.plans.oracle import FLAGGED, NOTICES, select
 from tenderlens.plans.register import query
-from tenderlens.session import scratch_path
+from tenderlens.session import materialise, scratch_path
 from tenderlens.sources import csvfiles, pages, tables
 
 _NOTICE = "notice_id, strftime(publication_date, '%Y-%m-%d') publication_day, country, notice_type, total_value, est_cur, winner_size"
@@ -103,7 +103,8 @@ def s4(spark, folder):
     ),
 )
 def s5(spark, folder):
-    table = cleaning.prepare_for_ml(cleaning.normalise(tables.notices(spark, folder)))
+    normalised = materialise(cleaning.normalise(tables.notices(spark, folder)), "normalised")
+    table = cleaning.prepare_for_ml(normalised)
     path = csvfiles.write_csv(table, scratch_path(spark, "ml"))
     back = csvfiles.read_csv(spark, path, table.schema)
     return back.select(

@@ -6,6 +6,7 @@ from tenderlens.functions import scalars as S
 from tenderlens.operators import cleaning, summaries
 from tenderlens.plans.oracle import FLAGGED, NOTICES, VALUED, select
 from tenderlens.plans.register import query
+from tenderlens.session import materialise
 from tenderlens.sources import pages, tables
 
 
@@ -134,7 +135,8 @@ select 16, 'total-value', count(amount) from v""",
     ),
 )
 def p8(spark, folder):
-    return column_fill(cleaning.prepare_for_ml(cleaning.normalise(tables.notices(spark, folder))))
+    normalised = materialise(cleaning.normalise(tables.notices(spark, folder)), "normalised")
+    return column_fill(cleaning.prepare_for_ml(normalised))
 
 
 @query(

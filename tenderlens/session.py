@@ -36,9 +36,19 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/tenderlens-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{scratch_root(spark)}/tenderlens-{uuid.uuid4().hex}/{name}"
+    return f"{_own_folder(spark)}/{uuid.uuid4().hex}/{name}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this application; frames built on them end with it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from tenderlens.functions import scalars as S
 from tenderlens.schema import REQUESTED_FIELDS
+from tenderlens.session import materialise
 
 PAGE_ROWS = 100
 MAX_PAGES = 5
@@ -102,9 +103,11 @@ def write_pages(df: DataFrame, path: str, rows: int = PAGE_ROWS) -> None:
     """Write flat notices as page documents of at most ``rows`` notices each, one per line.
 
     Rows are numbered within their partition, so no page grows past its size and pages
-    build in parallel.
+    build in parallel. The numbers are written down before the shuffle, so a lost task
+    cannot number its rows differently.
     """
     number = F.floor(F.monotonically_increasing_id() / rows)
+    numbered = materialise(df.withColumn("_page", number), "numbered")
     notices = F.collect_list(F.struct(*[S.col(name) for name in df.columns]))
-    documents = df.withColumn("_page", number).groupBy("_page").agg(notices.alias("notices"))
+    documents = numbered.groupBy("_page").agg(notices.alias("notices"))
     documents.select(F.to_json(F.struct("notices")).alias("value")).write.text(path)

@@ -8,6 +8,7 @@ country, its price the money text.
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tenderlens.functions import scalars as S
+from tenderlens.functions.quantiles import exact_quantiles
 from tenderlens.operators import cleaning
 from tenderlens.operators.runs import result_rows
 
@@ -55,10 +56,11 @@ def flagged_notices(spark: SparkSession, folder: str) -> DataFrame:
 
 def scored_notices(spark: SparkSession, folder: str) -> DataFrame:
     """Flagged notices with value / highest value as score."""
-    flagged = flagged_notices(spark, folder)
-    scored = cleaning.with_statistics(flagged, top=F.max("total-value-eur"))
-    score = S.round_score(F.try_divide(S.col("total-value-eur"), F.col("top")))
-    return scored.withColumn("anomaly_score", score).drop("top")
+    valued = valued_notices(spark, folder)
+    value = S.col("total-value-eur")
+    found = exact_quantiles(valued, {"limit": (value, 0.95), "top": (value, 1.0)})
+    score = S.round_score(F.try_divide(value, F.lit(found["top"]).cast("double")))
+    return cleaning.add_cap_and_flag(valued, found["limit"]).withColumn("anomaly_score", score)
 
 
 def results(spark: SparkSession, folder: str) -> DataFrame:
