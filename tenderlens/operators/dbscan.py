@@ -15,7 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tenderlens.functions import scalars as S
-from tenderlens.session import materialise
+from tenderlens.session import materialise, spread
 
 # Row pairs that may be compared directly instead of splitting boxes further.
 DIRECT_PAIRS = 20_000_000
@@ -75,7 +75,8 @@ def near_cells(cells: DataFrame, eps: float, dims: int) -> DataFrame:
     axes = axes[:used]
     keys = [F.floor(F.col("cell")[i] / width) for i in axes]
     around = [F.array(*[k + o for k, o in zip(keys, step)]) for step in itertools.product((-1, 0, 1), repeat=len(axes))]
-    left = _renamed(cells, "a").withColumn("cell", F.col("cell_a")).select("*", F.explode(F.array(*around)).alias("near"))
+    left = _renamed(spread(cells), "a").withColumn("cell", F.col("cell_a"))
+    left = left.select("*", F.explode(F.array(*around)).alias("near"))
     right = cells.withColumn("near", F.array(*keys)).withColumnRenamed("cell", "cell_b")
     right = right.withColumnsRenamed({c: f"{c}_b" for c in ("lo", "hi", "n")})
     pairs = left.drop("cell").join(right, "near").filter(_gap(("lo_a", "hi_a"), ("lo_b", "hi_b"), dims) <= eps)

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tenderlens.functions import scalars as S
 from tenderlens.functions.quantiles import exact_quantile, sample_rows
 from tenderlens.operators.features import FeatureState, with_features
-from tenderlens.session import materialise
+from tenderlens.session import materialise, spread
 
 TREES = 100
 SAMPLE_ROWS = 256
@@ -208,7 +208,7 @@ def train(
     matrix = with_features(df, features).select(F.col(f"`{key}`").alias(key), "features")
     if sample_size:
         matrix = sample_rows(matrix, F.col(f"`{key}`"), sample_size, seed)
-    matrix = materialise(matrix, "matrix")
+    matrix = spread(materialise(matrix, "matrix"))
     return set_offset(matrix, fit_trees(matrix, key, trees, SAMPLE_ROWS, contamination, seed))
 
 

@@ -19,59 +19,60 @@ MAX_LEAVES = 32_768
 _SAMPLES_PER_LEAF = 8
 
 
-class Partition:
-    """A kd partition of space: inner nodes (axis, split, left, right), leaves as negative numbers."""
+def cut_space(sample: np.ndarray, leaves: int):
+    """A kd partition (root, nodes): inner nodes (axis, split, left, right), leaves as negative numbers."""
+    nodes, count = [], 0
 
-    def __init__(self, sample: np.ndarray, leaves: int):
-        self.nodes = []
-        self.leaves = 0
-        self.root = self._grow(sample, leaves)
-
-    def _grow(self, points, leaves):
+    def grow(points, share):
+        nonlocal count
         spread = np.ptp(points, axis=0) if len(points) > 1 else np.zeros(1)
-        if leaves <= 1 or spread.max() == 0:
-            self.leaves += 1
-            return -self.leaves
+        if share <= 1 or spread.max() == 0:
+            count += 1
+            return -count
         axis = int(spread.argmax())
         split = float(np.median(points[:, axis]))
         lower = points[:, axis] <= split
         if lower.all():
-            split = float(points[lower, axis][points[lower, axis] < split].max())
+            split = float(points[points[:, axis] < split, axis].max())
             lower = points[:, axis] <= split
-        index = len(self.nodes)
-        self.nodes.append(None)
+        index = len(nodes)
+        nodes.append(None)
         # Leaves are shared out by rows, so that a crowded side gets more of them.
-        left = min(max(round(leaves * float(lower.mean())), 1), leaves - 1)
-        self.nodes[index] = (axis, split, self._grow(points[lower], left), self._grow(points[~lower], leaves - left))
+        left = min(max(round(share * float(lower.mean())), 1), share - 1)
+        nodes[index] = (axis, split, grow(points[lower], left), grow(points[~lower], share - left))
         return index
 
-    def reached(self, points: np.ndarray, radii: np.ndarray | None = None):
-        """Pairs (row, leaf) of every leaf the ball around a row touches; without radii the home leaf."""
-        rows, leaves = [], []
-        # The squared distance of a row to a region is the sum of its squared offsets per axis.
-        limits = None if radii is None else radii**2 * (1 + 1e-9)
-        stack = [(self.root, np.arange(len(points)), np.zeros(points.shape))]
-        while stack:
-            node, at, offsets = stack.pop()
-            if not len(at):
-                continue
-            if node < 0:
-                rows.append(at)
-                leaves.append(np.full(len(at), -node))
+    return grow(sample, leaves), nodes
+
+
+def reached(tree, points: np.ndarray, radii: np.ndarray | None = None):
+    """Pairs (row, leaf) of every leaf the ball around a row touches; without radii the home leaf."""
+    root, nodes = tree
+    rows, leaves = [], []
+    # The squared distance of a row to a region is the sum of its squared offsets per axis.
+    limits = None if radii is None else radii**2 * (1 + 1e-9)
+    stack = [(root, np.arange(len(points)), np.zeros(points.shape))]
+    while stack:
+        node, at, offsets = stack.pop()
+        if not len(at):
+            continue
+        if node < 0:
+            rows.append(at)
+            leaves.append(np.full(len(at), -node))
+            continue
+        axis, split, left, right = nodes[node]
+        offset = points[at, axis] - split
+        near_left = offset <= 0
+        for child, near in ((left, near_left), (right, ~near_left)):
+            stack.append((child, at[near], offsets[near]))
+            if limits is None:
                 continue
-            axis, split, left, right = self.nodes[node]
-            offset = points[at, axis] - split
-            near_left = offset <= 0
-            for child, near in ((left, near_left), (right, ~near_left)):
-                stack.append((child, at[near], offsets[near]))
-                if limits is None:
-                    continue
-                far = np.flatnonzero(~near)
-                moved = offsets[far]
-                moved[:, axis] = offset[far]
-                close = (moved**2).sum(axis=1) <= limits[at[far]]
-                stack.append((child, at[far[close]], moved[close]))
-        return (np.concatenate(rows), np.concatenate(leaves)) if rows else (np.empty(0, int), np.empty(0, int))
+            far = np.flatnonzero(~near)
+            moved = offsets[far]
+            moved[:, axis] = offset[far]
+            close = (moved**2).sum(axis=1) <= limits[at[far]]
+            stack.append((child, at[far[close]], moved[close]))
+    return (np.concatenate(rows), np.concatenate(leaves)) if rows else (np.empty(0, int), np.empty(0, int))
 
 
 def nearest(points: np.ndarray, queries: np.ndarray, k: int, bounds: np.ndarray | None = None, bucket: int = 256):
@@ -138,17 +139,17 @@ def _matrix(vectors) -> np.ndarray:
     return np.vstack(vectors.to_numpy()) if len(vectors) else np.empty((0, 1))
 
 
-def _build_partition(vectors: DataFrame, count: int, leaf_rows: int) -> Partition:
+def _tree(vectors: DataFrame, count: int, leaf_rows: int):
     leaves = int(min(max(count // leaf_rows, 1), MAX_LEAVES))
     if leaves == 1:
-        return Partition(np.zeros((1, 1)), 1)
+        return cut_space(np.zeros((1, 1)), 1)
     # A bounded sample: rows whose hash falls under a fixed share, about 8 per leaf.
     share = min(1.0, leaves * _SAMPLES_PER_LEAF / count)
     drawn = portable_hash(F.array_join(F.transform("x", lambda v: v.cast("string")), ","), 7) < int(share * 2**52)
     rows = vectors.filter(drawn).select("x").collect()
     sample = np.array([row.x for row in rows]) if rows else np.zeros((1, 1))
     sample = sample[np.lexsort(sample.T)]
-    return Partition(sample, leaves)
+    return cut_space(sample, leaves)
 
 
 def nearest_distances(df: DataFrame, key: str, k: int, leaf_rows: int = LEAF_ROWS) -> DataFrame:
@@ -159,13 +160,11 @@ def nearest_distances(df: DataFrame, key: str, k: int, leaf_rows: int = LEAF_ROW
     points = df.select(F.col(f"`{key}`").alias(key), F.col("features").alias("x"))
     vectors = materialise(points.groupBy("x").agg(F.count("*").alias("weight")), "vectors")
     count = vectors.count()
-    part = _build_partition(vectors, count, leaf_rows)
-    spark = df.sparkSession
-    tree = spark.sparkContext.broadcast(part)
+    tree = df.sparkSession.sparkContext.broadcast(_tree(vectors, count, leaf_rows))
 
     def place(batches):
         for batch in batches:
-            rows, leaves = tree.value.reached(_matrix(batch.x))
+            rows, leaves = reached(tree.value, _matrix(batch.x))
             yield batch.iloc[rows].assign(leaf=leaves)
 
     placed = materialise(vectors.mapInPandas(place, "x array<double>, weight bigint, leaf bigint"), "leaves")
@@ -178,7 +177,7 @@ def nearest_distances(df: DataFrame, key: str, k: int, leaf_rows: int = LEAF_ROW
             reach = np.full(len(x), np.inf)
         else:
             reach = dist[:, -1]
-        rows, leaves = tree.value.reached(x, reach)
+        rows, leaves = reached(tree.value, x, reach)
         # k copies of one vector are its k nearest already.
         others = (leaves != group.leaf.iloc[0]) & (weights[rows] < k)
         targets = [[] for _ in range(len(x))]

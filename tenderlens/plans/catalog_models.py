@@ -10,7 +10,7 @@ from tenderlens.plans import flows, oracle
 from tenderlens.plans.catalog_notices import column_fill, notice_id
 from tenderlens.plans.oracle import CENTROIDS, FEATURES, FLAGGED, NOTICES, POINTS, select
 from tenderlens.plans.register import query
-from tenderlens.session import materialise, scratch_path
+from tenderlens.session import materialise, scratch_path, spread
 from tenderlens.sources import models, tables
 
 KEY = "notice-identifier"
@@ -236,7 +236,7 @@ def m1(spark, folder):
 @query("m2_forest_score")
 def m2(spark, folder):
     rows, state = forest_inputs(spark, folder)
-    matrix = materialise(features.with_features(rows, state), "matrix")
+    matrix = spread(materialise(features.with_features(rows, state), "matrix"))
     trained = forest.fit_trees(matrix, KEY)
     return matrix.select(notice_id(), F.round(forest.score_column(matrix, trained), 9).alias("score"))
 

@@ -60,3 +60,12 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(table: DataFrame) -> DataFrame:
+    """A stored table over all cores, for work that is heavy per row.
+
+    Only a table of fewer splits than cores is shuffled; a large one already has more.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
