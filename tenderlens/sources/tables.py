@@ -11,6 +11,7 @@ from tenderlens.functions import scalars as S
 from tenderlens.functions.quantiles import exact_quantiles
 from tenderlens.operators import cleaning
 from tenderlens.operators.runs import result_rows
+from tenderlens.session import spread
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -20,6 +21,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def notices(spark: SparkSession, folder: str) -> DataFrame:
     """Orders as raw notices, all text but the date."""
     orders, customer, nation = (table(spark, folder, name) for name in ("orders", "customer", "nation"))
+    # Deriving the texts is work per row; a small orders table is one split.
+    orders = spread(orders)
     joined = orders.join(customer, orders.o_custkey == customer.c_custkey).join(
         nation, customer.c_nationkey == nation.n_nationkey
     )
