@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tenderlens.llm import edits, language, mixing, orcfiles, packing, quality, simhash, topk
+from tenderlens.llm import edits, language, mixing, orcfiles, packing, private, quality, simhash, topk
 from tenderlens.llm.common import pick, split_by_id
 
 QUERIES = {}
@@ -41,6 +41,15 @@ def op4(spark, folder):
     return found.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+@query("op5_find_private")
+def op5(spark, folder):
+    found = private.find(table(spark, folder, "documents"))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, kind))).cast("bigint").alias(f"n_{kind}") for kind in private.BASE]
+    base = F.sha2(private.listed(F.col("base")).cast("binary"), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, base, private.listed(F.col("spans")).alias("spans"))
+
+
 @query("op6_language")
 def op6(spark, folder):
     docs = table(spark, folder, "documents")
@@ -51,11 +60,11 @@ def op6(spark, folder):
 
 OP7_SQL = """
 with v as (
-  select vec_id, list_transform(embedding, x -> floor(256 * x::double)::bigint) as cells
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as cells
   from embeddings
-  where embedding is not null and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
 ), scored as (
-  select q.vec_id as query_id, c.vec_id, list_sum(list_transform(list_zip(q.cells, c.cells), p -> p[1] * p[2]))::bigint as score
+  select q.vec_id as query_id, c.vec_id, list_sum(list_transform(list_zip(q.cells, c.cells), lambda p: p[1] * p[2]))::bigint as score
   from v q join v c on q.vec_id <> c.vec_id and len(q.cells) = len(c.cells)
   where q.vec_id % 50 = 0
 ), ranked as (
@@ -85,8 +94,8 @@ def op9(spark, folder):
 OP10_SQL = r"""
 with split as (
   select doc_id, coalesce(text, '') as t,
-    list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> '') as w,
-    list_filter(string_split(coalesce(text, ''), chr(10)), l -> regexp_matches(l, '[^\x20\x09-\x0D]')) as lines
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') as w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) as lines
   from documents
 ), windows as (
   select doc_id, unnest(range(1, len(w) - 1)) as i, w from split where len(w) >= 3
@@ -100,7 +109,7 @@ with split as (
   select doc_id, count(*) as n from places group by doc_id
 ), m as (
   select s.doc_id, len(w)::bigint as n_words,
-    coalesce(list_sum(list_transform(w, x -> length(x))), 0)::bigint as word_chars,
+    coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::bigint as word_chars,
     length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols,
     (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines,
     coalesce(r.n, 0)::bigint as n_repeat_words
@@ -109,7 +118,7 @@ with split as (
   select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from m
 )
 select *, not base_failed and not (10 * n_symbols > n_words or word_chars < 2 * n_words or word_chars > 20 * n_words
-  or 3 * n_dup_lines > greatest(n_words / 10, 3)) as kept
+  or 3 * n_dup_lines > greatest(n_words / 10, 6)) as kept
 from f
 """
 

@@ -46,3 +46,8 @@ def ascii_lower(text: Column) -> Column:
 def split_by_id(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id's decimal text, modulo ``modulus``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
+
+
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once, however often and deep inside it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -21,7 +21,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tenderlens.llm.common import pick
-from tenderlens.session import materialise
 
 WIDTH = 4096
 SAMPLE = 2000  # labelled texts that are looked at in all, whatever the corpus
@@ -144,22 +143,32 @@ def learn(docs: DataFrame, training: Column, sample: int = SAMPLE, width: int =
     return Discriminator(np.stack([np.frombuffer(row.v, "<f4").astype(float) for row in rows]), [row.lang for row in rows])
 
 
-def identify(docs: DataFrame, model: Discriminator | None, width: int = WIDTH) -> DataFrame:
-    """(doc_id, lang_pred, score) per row of ``docs`` (doc_id, text)."""
-    slim = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    return slim.mapInArrow(_predictor(model, width), "doc_id bigint, lang_pred string, score double")
+def _judge(model: Discriminator | None, width: int, text: str | None) -> tuple[str, float]:
+    v = vector(text, width) if text and model else None
+    return ("und", 0.0) if v is None else model.predict(v)
 
 
-def _predictor(model, width, text_at: int = 1):
-    """A batch function that replaces the text column by the language and its score."""
+def identify(docs: DataFrame, model: Discriminator | None, width: int = WIDTH) -> DataFrame:
+    """(doc_id, lang_pred, score) per row of ``docs`` (doc_id, text)."""
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
-            for text in batch.column(text_at).to_pylist():
-                v = vector(text, width) if text and model else None
-                found.append(("und", 0.0) if v is None else model.predict(v))
+            found = [_judge(model, width, text) for text in batch.column(1).to_pylist()]
             langs, scores = pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())
             yield pa.RecordBatch.from_arrays([batch.column(0), langs, scores], names=["doc_id", "lang_pred", "score"])
 
-    return predict
+    slim = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
+    return slim.mapInArrow(predict, "doc_id bigint, lang_pred string, score double")
+
+
+def accepted(docs: DataFrame, model: Discriminator | None, least: float = 0.0, width: int = WIDTH) -> DataFrame:
+    """The rows of ``docs`` whose text has a language with a score of ``least`` or more, all columns kept."""
+    place = docs.columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [_judge(model, width, text) for text in batch.column(place).to_pylist()]
+            yield batch.filter(pa.array([lang != "und" and score >= least for lang, score in found], pa.bool_()))
+
+    flat = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    return flat.mapInArrow(keep, flat.schema).toDF(*docs.columns)

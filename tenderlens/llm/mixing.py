@@ -13,7 +13,7 @@ source without words has target 0. An empty table gives no rows; other columns a
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tenderlens.llm.common import WORD, pick, text_or_empty
+from tenderlens.llm.common import WORD, at, beside, pick, text_or_empty, unpacked
 from tenderlens.session import materialise
 
 WEIGHTS = (3, 1, 2)
@@ -24,12 +24,16 @@ BITS = 10  # of the hash that one histogram tells apart
 LEVELS = 6  # 60 of 64 bits; documents that agree in those go together
 
 
+def _hash(doc_id: Column, text: Column, seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), doc_id.cast("bigint"), text_or_empty(text))
+
+
 def sizes(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """(doc_id, source, size, hash), written once: the texts are read here only."""
     slim = pick(docs, "doc_id", "source", "text")
-    text = text_or_empty(F.col("text"))
-    hash_ = F.xxhash64(F.lit(seed), F.col("doc_id"), "text")
-    return materialise(slim.select("doc_id", "source", F.regexp_count(text, F.lit(WORD)).cast("bigint").alias("size"), hash_.alias("hash")), "sizes")
+    size = F.regexp_count(text_or_empty(F.col("text")), F.lit(WORD)).cast("bigint")
+    hash_ = _hash(F.col("doc_id"), F.col("text"), seed)
+    return materialise(slim.select("doc_id", "source", size.alias("size"), hash_.alias("hash")), "sizes")
 
 
 def _ranked(sources: DataFrame) -> DataFrame:
@@ -96,15 +100,31 @@ def thresholds(sized: DataFrame, budgets: DataFrame, levels: int = LEVELS) -> Da
     return found.withColumn("prefix", F.shiftleft(F.col("prefix") + nearer, BITS * (levels - 1 - level))).drop("at", "all")
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, passes: int = PASSES, seed: int = SEED, levels: int = LEVELS):
-    """(doc_id, source, size, source_size, target, times, taken); ``times`` is how often the mix repeats the document."""
-    sized = sizes(docs, seed)
+def planned(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, passes: int = PASSES, levels: int = LEVELS) -> DataFrame:
+    """(own, source_size, target, whole, prefix, ..) per source: whole passes, and the threshold of one more."""
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     aims = targets(sized, weights, share, passes).withColumn("whole", whole)
     aims = materialise(aims.withColumn("budget", F.col("target") - F.col("whole") * F.col("source_size")), "aims")
-    plan = thresholds(sized, aims, levels).withColumnRenamed("source", "own")
-    joined = sized.join(plan, F.col("source").eqNullSafe(F.col("own")))
-    more = F.shiftrightunsigned("hash", 64 - BITS * levels) < F.col("prefix")
-    times = (F.col("whole") + F.when(more & (F.col("whole") < passes), 1).otherwise(0)).cast("bigint")
-    joined = joined.withColumn("times", times)
+    return thresholds(sized, aims, levels).withColumnRenamed("source", "own")
+
+
+def times(hash_: Column, passes: int = PASSES, levels: int = LEVELS) -> Column:
+    more = F.shiftrightunsigned(hash_, 64 - BITS * levels) < F.col("prefix")
+    return (F.col("whole") + F.when(more & (F.col("whole") < passes), 1).otherwise(0)).cast("bigint")
+
+
+def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, passes: int = PASSES, seed: int = SEED, levels: int = LEVELS):
+    """(doc_id, source, size, source_size, target, times, taken); ``times`` is how often the mix repeats the document."""
+    sized = sizes(docs, seed)
+    plan = planned(sized, weights, share, passes, levels)
+    joined = sized.join(plan, F.col("source").eqNullSafe(F.col("own"))).withColumn("times", times(F.col("hash"), passes, levels))
     return joined.select("doc_id", "source", "size", "source_size", "target", "times", (F.col("times") * F.col("size")).alias("taken"))
+
+
+def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, passes: int = PASSES, seed: int = SEED, levels: int = LEVELS):
+    """``docs`` with every row as often as the mix takes it."""
+    plan = planned(sizes(docs, seed), weights, share, passes, levels).select("own", "whole", "prefix")
+    rows = beside(docs, source=at(docs, "source"), hash=_hash(at(docs, "doc_id"), at(docs, "text"), seed))
+    joined = rows.join(plan, F.col("source").eqNullSafe(F.col("own")))
+    again = F.explode(F.array_repeat(F.lit(1), times(F.col("hash"), passes, levels).cast("int")))
+    return unpacked(joined.select("row", again), docs)

@@ -61,7 +61,7 @@ def rules() -> dict[str, Column]:
         "symbols": 10 * F.col("n_symbols") > n,
         "short_words": F.col("word_chars") < 2 * n,
         "long_words": F.col("word_chars") > 20 * n,
-        "repeated_lines": 3 * F.col("n_dup_lines") > F.greatest(n / 10, F.lit(3)),
+        "repeated_lines": 3 * F.col("n_dup_lines") > F.greatest(n / 10, F.lit(6)),
     }
 
 

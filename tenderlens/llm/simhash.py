@@ -21,9 +21,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tenderlens.llm.common import pick
+from tenderlens.llm.common import at, beside, pick, unpacked
 from tenderlens.operators.dbscan import components
 from tenderlens.session import materialise
 
@@ -66,16 +66,16 @@ def fingerprint(raw: bytes, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) with ``fp`` as a signed 64-bit integer."""
+    """(doc_id, text_hash, fp) with ``fp`` as a signed 64-bit integer."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).cast("binary").to_pylist()
+            texts = batch.column(2).cast("binary").to_pylist()
             found = np.array([fingerprint(raw or b"", shingle) for raw in texts], "<u8").view("<i8")
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found)], names=["doc_id", "text_hash", "fp"])
 
-    slim = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    return slim.mapInArrow(hashed, "doc_id bigint, fp bigint")
+    slim = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("bigint"), F.xxhash64("text").alias("text_hash"), F.col("text").cast("string"))
+    return slim.mapInArrow(hashed, "doc_id bigint, text_hash bigint, fp bigint")
 
 
 def _distance(a: Column, b: Column) -> Column:
@@ -103,17 +103,35 @@ def links(distinct: DataFrame, bits: int = BITS, many_pivots: int = PIVOTS) -> D
     return met.select("u", "v").distinct()
 
 
-def classes(docs: DataFrame, bits: int = BITS, shingle: int = SHINGLE, many_pivots: int = PIVOTS) -> DataFrame:
-    """(doc_id, fp, component_id, copies) for every document; ``copies`` share the fingerprint."""
+def _grouped(docs: DataFrame, bits: int, shingle: int, many_pivots: int):
+    """Rows with their fingerprints; distinct fingerprints with their component's root; components with their first row."""
     rows = materialise(fingerprints(docs, shingle), "fingerprints")
-    distinct = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")), "distinct")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first")
+    distinct = materialise(rows.groupBy("fp").agg(first, F.count("*").alias("copies")), "distinct")
     edges = materialise(links(distinct, bits, many_pivots), "links")
     nodes = edges.select(F.col("u").alias("node")).unionAll(edges.select("v")).distinct()
     roots = components(nodes, edges).withColumnRenamed("node", "fp")
     grouped = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    lowest = grouped.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = materialise(grouped.join(lowest, "root").select("fp", "component_id", "copies"), "named")
-    return rows.join(named, "fp").select("doc_id", "fp", "component_id", "copies")
+    return rows, grouped, grouped.groupBy("root").agg(F.min("first").alias("first"))
+
+
+def classes(docs: DataFrame, bits: int = BITS, shingle: int = SHINGLE, many_pivots: int = PIVOTS) -> DataFrame:
+    """(doc_id, fp, component_id, copies) for every document; ``copies`` share the fingerprint."""
+    rows, grouped, first = _grouped(docs, bits, shingle, many_pivots)
+    named = grouped.drop("first").join(first, "root").select("fp", F.col("first.doc_id").alias("component_id"), "copies")
+    return rows.join(materialise(named, "named"), "fp").select("doc_id", "fp", "component_id", "copies")
+
+
+def deduplicated(docs: DataFrame, bits: int = BITS, shingle: int = SHINGLE, many_pivots: int = PIVOTS) -> DataFrame:
+    """The first row of each component, by id, with all columns of ``docs``."""
+    _, _, first = _grouped(docs, bits, shingle, many_pivots)
+    first = materialise(first.select(F.col("first.doc_id").alias("own_id"), F.col("first.text_hash").alias("own_hash")), "first")
+    rows = beside(docs)
+    rows = rows.withColumns({"doc_id": at(docs, "doc_id").cast("bigint"), "text_hash": F.xxhash64(at(docs, "text"))})
+    met = rows.join(first, rows.doc_id.eqNullSafe(first.own_id) & (rows.text_hash == first.own_hash), "left_semi")
+    # Rows that are alike in id and text come in one partition already.
+    nth = F.row_number().over(Window.partitionBy("doc_id", "text_hash").orderBy("doc_id"))
+    return unpacked(met.withColumn("nth", nth).filter("nth = 1"), docs)
 
 
 def hexadecimal(fp: Column) -> Column:
