@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tenderlens.llm import edits, language, mixing, orcfiles, packing, private, quality, simhash, topk
+from tenderlens.llm import edits, language, mixing, ngrams, orcfiles, packing, private, quality, simhash, topk
 from tenderlens.llm.common import pick, split_by_id
 
 QUERIES = {}
@@ -29,6 +29,11 @@ def op1(spark, folder):
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op2_ngram_score")
+def op2(spark, folder):
+    return ngrams.score(table(spark, folder, "documents"), split_by_id(F.col("doc_id"), 10) == 0)
+
+
 @query("op3_best_fit_packing")
 def op3(spark, folder):
     packed = packing.best_fit(table(spark, folder, "documents"))
