@@ -15,8 +15,6 @@ from tenderlens.schema import (
 
 NUMERIC = (T.LongType, T.IntegerType, T.DoubleType, T.FloatType)
 CATEGORICAL = (T.StringType, T.BooleanType)
-# One-hot columns are literal comparisons; beyond this many values use encode_many.
-MAX_LITERAL_CATEGORIES = 1000
 _UNSEEN = "\x00"
 
 
@@ -109,12 +107,10 @@ def fit(df: DataFrame, numeric: list[str], categorical: list[str]) -> FeatureSta
     fills = {c: m for c, m in medians(df, numeric).items() if m is not None}
     state = FeatureState(inputs=[*numeric, *categorical], numeric=scale_statistics(df, fills))
     if categorical:
-        most = MAX_LITERAL_CATEGORIES * len(categorical)
-        counts = category_counts(df, categorical).limit(most + 1).collect()
-        found = {c: {row.value: row["count"] for row in counts if row.feature == c} for c in categorical}
-        wide = [c for c, values in found.items() if len(values) > MAX_LITERAL_CATEGORIES]
-        if wide or len(counts) > most:
-            raise ValueError(f"too many categories for literal one-hot columns, use encode_many: {wide or categorical}")
+        # The categories are the model: one row each, however many rows there are.
+        found = {c: {} for c in categorical}
+        for row in category_counts(df, categorical).toLocalIterator():
+            found[row.feature][row.value] = row["count"]
         state.categorical = {
             c: (min(values, key=lambda v: (-values[v], v)), sorted(values)) for c, values in found.items() if values
         }
@@ -140,20 +136,32 @@ def align(df: DataFrame, state: FeatureState) -> DataFrame:
     return df.withColumns(absent) if absent else df
 
 
-def feature_columns(state: FeatureState) -> list[Column]:
-    """The matrix columns: numeric block, then one 0/1 column per category."""
-    columns = []
+def feature_array(state: FeatureState) -> Column:
+    """The matrix row: numeric block, then one 0/1 place per category.
+
+    A category is looked up once and its place compared with each, so the expression does not
+    grow with the number of categories.
+    """
+    numbers = []
     for name, (fill, mean, deviation) in state.numeric.items():
-        columns.append(standardised(F.coalesce(S.col(name).cast("double"), F.lit(fill)), mean, deviation))
+        numbers.append(standardised(F.coalesce(S.col(name).cast("double"), F.lit(fill)), mean, deviation))
+    blocks = [F.array(*numbers).cast("array<double>")]
     for name, (fill, values) in state.categorical.items():
-        filled = F.coalesce(S.col(name).cast("string"), F.lit(fill))
-        columns += [(filled == F.lit(value)).cast("double") for value in values]
-    return columns
+        place = F.array_position(F.lit(values), F.coalesce(S.col(name).cast("string"), F.lit(fill)))
+        blocks.append(_one_hot(place, len(values)))
+    return F.concat(*blocks)
+
+
+def _one_hot(place: Column, width: int) -> Column:
+    """Zeros with a 1 at ``place``; all zeros for place 0."""
+    zeros = lambda n: F.array_repeat(F.lit(0.0), n.cast("int"))
+    hot = F.concat(zeros(place - 1), F.array(F.lit(1.0)), zeros(width - place))
+    return F.when(place > 0, hot).otherwise(zeros(F.lit(width)))
 
 
 def with_features(df: DataFrame, state: FeatureState) -> DataFrame:
     """``df`` and its ``features`` array."""
-    added = align(df, state).withColumn("features", F.array(*feature_columns(state)))
+    added = align(df, state).withColumn("features", feature_array(state))
     return added.select(*[S.col(c) for c in df.columns], "features")
 
 

@@ -55,24 +55,22 @@ def depth_limit(rows: int) -> int:
 def tree_samples(df: DataFrame, key: str, trees: int, rows: int, total: int, seed: int) -> DataFrame:
     """(tree, place, features): ``rows`` rows per tree without replacement.
 
-    Membership is decided by hashes of the key, so it does not depend on partitioning.
-    With many rows one hash picks the few rows that any tree uses and a second one
-    their tree; with few rows every tree draws from all of them.
+    Every tree draws on its own, by hashes of key and features, so a draw does not depend on
+    partitioning. Rows alike in both would be drawn together or not at all; those, and only
+    those, are told apart by their place in ``df``, which must be a written table.
     """
+    alike = F.xxhash64(F.col(f"`{key}`"), "features")
+    known = df.select(F.col(f"`{key}`").alias("_key"), "features", alike.alias("_alike"), F.monotonically_increasing_id().alias("_row"))
+    again = known.groupBy("_alike").agg(F.count("*").alias("_many")).filter("_many > 1")
+    known = known.join(again, "_alike", "left").withColumn("_row", F.when(F.col("_many") > 1, F.col("_row")).otherwise(0))
 
-    def unit(*salt):
-        bits = F.xxhash64(F.col(f"`{key}`"), *[F.lit(s) if isinstance(s, int) else s for s in salt])
-        return F.shiftrightunsigned(bits, 11) / float(2**53)
+    def unit(tree):
+        return F.shiftrightunsigned(F.xxhash64("_alike", "_row", F.lit(seed), tree), 11) / float(2**53)
 
     share = min(1.0, _OVERSAMPLE * rows / total)
-    if share * trees < 1.0:
-        drawn = df.filter(unit(seed) < share * trees)
-        drawn = drawn.withColumn("tree", F.floor(unit(seed, 1) * trees).cast("int"))
-        drawn = drawn.withColumn("place", unit(seed, 2))
-    else:
-        every = df.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-        drawn = every.withColumn("place", unit(seed, F.col("tree"))).filter(F.col("place") < share)
-    order = Window.partitionBy("tree").orderBy("place", F.col(f"`{key}`"))
+    chosen = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda tree: unit(tree) < share)
+    drawn = known.select("*", F.explode(chosen).alias("tree")).withColumn("place", unit(F.col("tree")))
+    order = Window.partitionBy("tree").orderBy("place", "_key", "_row")
     numbered = drawn.withColumn("number", F.row_number().over(order)).filter(F.col("number") <= rows)
     return numbered.select("tree", F.col("number").alias("place"), "features")
 
@@ -108,7 +106,8 @@ def fit_trees(
         raise ValueError("no rows to train on")
     rows = min(rows, total)
     limit = depth_limit(rows)
-    samples = tree_samples(df, key, trees, rows, total, seed)
+    # At most ``trees`` * ``rows`` rows from here on.
+    samples = materialise(tree_samples(df, key, trees, rows, total, seed), "samples")
 
     def build(group):
         group = group.sort_values("place")
@@ -118,6 +117,10 @@ def fit_trees(
         frame.insert(0, "tree", tree)
         return frame
 
+    sizes = samples.groupBy("tree").agg(F.count("*").alias("rows")).filter(F.col("rows") == rows).count()
+    if sizes < trees:
+        raise RuntimeError(f"only {sizes} of {trees} trees got their {rows} rows")
+
     tasks = min(trees, df.sparkSession.sparkContext.defaultParallelism)
     nodes = samples.repartition(tasks, "tree").groupBy("tree").applyInPandas(build, NODE_SCHEMA).toPandas()
     nodes = nodes.sort_values(["tree", "node"], ignore_index=True)

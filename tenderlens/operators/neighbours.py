@@ -248,22 +248,44 @@ def neighbour_ranks(df: DataFrame, key: str, k: int = 5) -> DataFrame:
     return ranked.select(key, (F.col("position") + 1).alias("rank"), "distance")
 
 
-def sorted_kth(df: DataFrame, key: str, k: int = 5, sample_size: int = 1000, seed: int = 42) -> DataFrame:
-    """(position, distance, step): k-th distances of a bounded sample in order, and the step from the one before."""
-    sample = sample_rows(df.select(F.col(f"`{key}`").alias(key), "features"), F.col(key), sample_size, seed)
-    kth = nearest_distances(materialise(sample, "sample"), key, k).select(
-        F.element_at("distances", -1).alias("distance")
-    )
-    # At most ``sample_size`` rows are ordered here.
-    ordered = kth.selectExpr("distance", "row_number() over (order by distance) as position")
-    return ordered.selectExpr(
-        "position", "distance", "distance - lag(distance) over (order by position) as step"
+def _kth_steps(df: DataFrame, key: str, k: int, sample_size: int | None, seed: int) -> DataFrame:
+    """(distance, rows, first, step): distinct k-th distances, how many rows share each, the place of the first, the step to it.
+
+    Distances are range-partitioned and ordered within their part; a part then adds the rows of
+    the parts before it and takes the step from their last distance.
+    """
+    rows = df.select(F.col(f"`{key}`").alias(key), "features")
+    if sample_size is not None:
+        rows = sample_rows(rows, F.col(key), sample_size, seed)
+    kth = nearest_distances(materialise(rows, "sample"), key, k).select(F.element_at("distances", -1).alias("distance"))
+    counts = materialise(kth.groupBy("distance").agg(F.count("*").alias("rows")), "kth")
+    parts = materialise(counts.repartitionByRange("distance").withColumn("part", F.spark_partition_id()), "parts")
+    ends = parts.groupBy("part").agg(F.sum("rows").alias("all"), F.max("distance").alias("last"))
+    # One row per range part.
+    ends = ends.selectExpr("part", "sum(all) over (order by part) - all as before", "lag(last) over (order by part) as previous")
+    return parts.join(ends, "part").selectExpr(
+        "distance",
+        "rows",
+        "before + sum(rows) over (partition by part order by distance) - rows + 1 as first",
+        "distance - coalesce(lag(distance) over (partition by part order by distance), previous) as step",
     )
 
 
-def elbow_eps(df: DataFrame, key: str, k: int = 5, sample_size: int = 1000, seed: int = 42) -> DataFrame:
+def sorted_kth(df: DataFrame, key: str, k: int = 5, sample_size: int | None = None, seed: int = 42) -> DataFrame:
+    """(position, distance, step): k-th distances in order, and the step from the one before.
+
+    Of all rows, or of ``sample_size`` where that is given.
+    """
+    each = _kth_steps(df, key, k, sample_size, seed).select("*", F.posexplode(F.array_repeat(F.lit(0), F.col("rows").cast("int"))).alias("nth", "_"))
+    return each.selectExpr("first + nth as position", "distance", "if(nth = 0, step, 0.0D) as step")
+
+
+def elbow_eps(df: DataFrame, key: str, k: int = 5, sample_size: int | None = None, seed: int = 42) -> DataFrame:
     """One row: the k-th distance after the largest step, the first such on a tie."""
-    steps = sorted_kth(df, key, k, sample_size, seed)
+    steps = _kth_steps(df, key, k, sample_size, seed).withColumnRenamed("first", "position")
+    # A distance that several rows share is followed by a step of 0.
+    again = steps.filter("rows > 1").selectExpr("position + 1 as position", "distance", "0.0D as step")
+    steps = steps.select("position", "distance", "step").unionAll(again)
     return steps.filter("step is not null").orderBy(F.desc("step"), "position").limit(1).select(
         F.col("distance").alias("eps")
     )

@@ -5,7 +5,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from tenderlens.operators import dbscan, kmeans
-from tenderlens.session import materialise
+from tenderlens.session import identified, materialise
 
 BLOCK_ROWS = 2048
 
@@ -93,8 +93,9 @@ def kmeans_record(df: DataFrame, state: kmeans.KMeansState) -> DataFrame:
 
 def dbscan_record(df: DataFrame, key: str, eps: float, min_samples: int) -> DataFrame:
     """Cluster and noise counts and the silhouette of the rows that are not noise; clusters ``df`` anew."""
-    labels = dbscan.dbscan(df, key, eps, min_samples)
-    labelled = materialise(df.select(key, "features").join(labels, key), "labelled")
+    rows = identified(df.select(key, "features"), key)
+    labels = dbscan.dbscan(rows, "_identity", eps, min_samples)
+    labelled = materialise(rows.join(labels, "_identity").drop("_identity"), "labelled")
     counts = dbscan.cluster_counts(labelled)
     scored = silhouette(labelled.filter("cluster >= 0"))
     return counts.crossJoin(F.broadcast(scored)).select(

@@ -77,7 +77,7 @@ class RunStore:
             S.percent(F.col("outlier_count"), F.col("record_count")).alias("outlier_percentage"),
             F.lit(notes).cast("string").alias("notes"),
         )
-        metadata.coalesce(1).write.mode("append").parquet(self.runs_path)
+        metadata.coalesce(1).write.mode("append").partitionBy("run_id").parquet(self.runs_path)
         return run_id
 
     def export_csv(self, run_id: str, path: str) -> bool:
@@ -91,23 +91,22 @@ class RunStore:
     def remove_old(self, days_to_keep: int = 30, as_of: str | None = None) -> int:
         """Delete runs from before the cutoff day and return how many there were.
 
-        Metadata is replaced first, so a run stops being visible before its rows go.
-        Run ids name whole partitions, so rows are removed by folder, never rewritten.
+        Both tables have a folder per run. A run's metadata goes first, so it stops being
+        visible before its rows go, and nothing is ever rewritten: a crash between two
+        deletes leaves whole runs, and the next call goes on.
         """
         expired = expired_runs(self.runs, days_to_keep, as_of).select("run_id")
-        gone = [row.run_id for row in expired.toLocalIterator()]
-        if not gone:
-            return 0
-        kept = self.runs.join(expired, "run_id", "left_anti")
-        staged = f"{self.runs_path}-{uuid.uuid4().hex}"
-        kept.coalesce(1).write.parquet(staged)
-        self.spark.read.schema(RUN_SCHEMA).parquet(staged).coalesce(1).write.mode("overwrite").parquet(self.runs_path)
         Path = self.spark._jvm.org.apache.hadoop.fs.Path
         system = Path(self.rows_path).getFileSystem(self.spark._jsc.hadoopConfiguration())
-        system.delete(Path(staged), True)
-        for run_id in gone:
-            system.delete(Path(f"{self.rows_path}/run_id={run_id}"), True)
-        return len(gone)
+        gone = 0
+        for row in expired.toLocalIterator():
+            for table in (self.runs_path, self.rows_path):
+                self._drop(system, Path(f"{table}/run_id={row.run_id}"))
+            gone += 1
+        return gone
+
+    def _drop(self, system, folder) -> None:
+        system.delete(folder, True)
 
 
 def run_rows(rows: DataFrame, run_id: str) -> DataFrame:
@@ -128,12 +127,13 @@ def recent_runs(runs: DataFrame, limit: int = 10) -> DataFrame:
     return shown.orderBy(F.desc("execution_date"), "run_id").limit(limit)
 
 
-def results_between(rows: DataFrame, runs: DataFrame, start: str, end: str, limit: int = 10_000) -> DataFrame:
-    """Rows of runs executed from day ``start`` to day ``end``, newest run first, at most ``limit``."""
+def results_between(rows: DataFrame, runs: DataFrame, start: str, end: str, limit: int | None = None) -> DataFrame:
+    """Rows of runs executed from day ``start`` to day ``end``, newest run first; all of them unless ``limit`` is given."""
     day = F.substring("execution_date", 1, 10)
     chosen = runs.filter(day.between(start, end)).select("run_id", "execution_date")
     joined = rows.join(chosen, "run_id")
-    return joined.orderBy(F.desc("execution_date"), "run_id", "notice_id").limit(limit)
+    ordered = joined.orderBy(F.desc("execution_date"), "run_id", "notice_id")
+    return ordered if limit is None else ordered.limit(limit)
 
 
 def rows_with_runs(rows: DataFrame, runs: DataFrame) -> DataFrame:

@@ -30,7 +30,14 @@ def missing_profile(df: DataFrame, columns: list[str]) -> DataFrame:
     return rows.filter("missing > 0").select("feature", "missing", share.alias("missing_pct"))
 
 
+def is_flagged(df: DataFrame) -> bool:
+    return "is_outlier" in df.columns
+
+
 def outlier_share(df: DataFrame) -> DataFrame:
+    """Rows, flagged rows and their percent; a table without flags has its number of rows only."""
+    if not is_flagged(df):
+        return df.agg(F.count("*").alias("total_records"))
     counts = df.agg(F.count("*").alias("total_records"), F.count_if(_flag()).alias("outlier_count"))
     share = S.percent(F.col("outlier_count"), F.col("total_records"))
     return counts.withColumn("outlier_percentage", share)
@@ -120,22 +127,26 @@ def positive(df: DataFrame) -> DataFrame:
 
 
 def summary_statistics(df: DataFrame) -> DataFrame:
-    """Counts, range, mean and median of positive values, and means by flag over all values."""
+    """Counts, range, mean and median of positive values, and means by flag over all values.
+
+    A table without flags has none of the figures that need them.
+    """
     name = value_column(df)
     value = S.col(name)
     above_zero = F.when(value > 0, value)
     median = exact_quantile(df, above_zero, 0.5)
+    flags = [F.count_if(_flag()).alias("outlier_count"), *_value_means(value)] if is_flagged(df) else []
     row = df.agg(
         F.count("*").alias("total_records"),
-        F.count_if(_flag()).alias("outlier_count"),
         F.min(above_zero).alias("minimum"),
         F.max(above_zero).alias("maximum"),
         F.avg(above_zero).alias("average"),
-        *_value_means(value),
-    )
+        *flags,
+    ).withColumn("median", F.lit(median).cast("double"))
+    if not flags:
+        return row
     share = S.percent(F.col("outlier_count"), F.col("total_records"))
-    row = row.withColumns({"outlier_percentage": share, "median": F.lit(median).cast("double")})
-    return _with_ratio(row)
+    return _with_ratio(row.withColumn("outlier_percentage", share))
 
 
 def flag_shares(df: DataFrame) -> DataFrame:
@@ -219,8 +230,6 @@ def report(df: DataFrame, statistics: DataFrame, days: int = 30, as_of: str | No
     return figures.crossJoin(F.broadcast(stored)).select(
         S.stamp(as_of).alias("report_date"),
         F.lit(f"{days} days").alias("data_period"),
-        "record_count",
-        "outlier_count",
-        "outlier_percentage",
+        *[name for name in ("record_count", "outlier_count", "outlier_percentage") if name in figures.columns],
         "summary_statistics",
     )

@@ -71,17 +71,17 @@ def s3(spark, folder):
         "select case when k0 % 7 = 0 then '' else notice_id end id, "
         "case when k0 % 7 = 0 or k0 % 5 = 0 then '' else country end country, "
         "case when k0 % 7 = 0 or k0 % 5 = 0 then '' else coalesce(replace(total_value, '.', ','), '') end total, "
-        "case when k0 % 7 <> 0 and k0 % 5 <> 0 and k0 % 3 = 0 then 'say \"hi\"' else '' end unknown_3, "
+        "case when k0 % 7 <> 0 and k0 % 5 <> 0 and k0 % 3 = 0 then 'say \"hi\",' || chr(10) || 'there' else '' end unknown_3, "
         "case when k0 % 7 <> 0 and k0 % 5 <> 0 and k0 % 3 = 0 then notice_type else '' end unknown_4 from "
         "(select *, cast(notice_id as bigint) k0 from n)",
     ),
 )
 def s4(spark, folder):
-    """Lines of 0, 1, 3 or 5 fields, some of them quoted, under a header of 3."""
+    """Records of 0, 1, 3 or 5 fields, some of them quoted or with a line break, under a header of 3."""
     number = S.col("notice-identifier").cast("bigint")
     total = F.concat(F.lit('"'), F.coalesce(F.replace(S.col("total-value"), F.lit("."), F.lit(",")), F.lit("")), F.lit('"'))
     usual = F.concat_ws(",", S.col("notice-identifier"), S.col("organisation-country-buyer"), total)
-    long = F.concat_ws(",", usual, F.lit('"say ""hi"""'), S.col("notice-type"))
+    long = F.concat_ws(",", usual, F.lit('"say ""hi"",\nthere"'), S.col("notice-type"))
     line = (
         F.when(number % 7 == 0, "")
         .when(number % 5 == 0, S.col("notice-identifier"))

@@ -1,5 +1,6 @@
 """Queries over feature rows and points: features, forest, KMeans, density clustering."""
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from tenderlens.functions import scalars as S
@@ -31,7 +32,7 @@ def points(spark, folder):
 def region_centroids(spark, folder, df) -> KMeansState:
     """The mean point of each region, at most one per region row."""
     nation = tables.table(spark, folder, "nation")
-    placed = df.join(F.broadcast(nation), df.nation == nation.n_nationkey)
+    placed = df.join(nation, df.nation == nation.n_nationkey)
     means = placed.groupBy("n_regionkey").agg(F.avg(F.col("features")[0]).alias("x"), F.avg(F.col("features")[1]).alias("y"))
     return KMeansState([[row.x, row.y] for row in means.orderBy("n_regionkey").collect()])
 
@@ -157,7 +158,7 @@ def f7(spark, folder):
     rows = feature_table(spark, folder)
     z = F.col("features")
     coded = features.with_features(rows, features.fit(rows, *features.model_features(rows)))
-    hot = F.array_position(F.slice(z, 5, 1000), 1.0).alias("hot")
+    hot = F.array_position(F.slice(z, F.lit(5), F.size(z) - 4), 1.0).alias("hot")
     return coded.select(notice_id(), *[F.round(z[i], 6).alias(f"z{i}") for i in range(4)], hot, F.size(z).alias("width"))
 
 
@@ -176,7 +177,7 @@ def f8(spark, folder):
     state = features.fit(rows, *features.model_features(rows))
     coded = features.with_features(rows.drop("discount", "notice-type"), state)
     z = F.col("features")
-    hot = F.size(F.filter(F.slice(z, 5, 1000), lambda v: v == 1.0)).alias("hot")
+    hot = F.size(F.filter(F.slice(z, F.lit(5), F.size(z) - 4), lambda v: v == 1.0)).alias("hot")
     return coded.select(notice_id(), F.round(z[0], 6).alias("z0"), F.round(z[3], 6).alias("z3"), hot, F.size(z).alias("width"))
 
 
@@ -278,6 +279,60 @@ def c13(spark, folder):
     return tables.notices(spark, folder).select(notice_id(), S.stamp("2001-01-01 00:00:00").alias("prediction_time"))
 
 
+_FIXED_TREES = 8
+
+
+def _fixed_forest() -> forest.ForestState:
+    """Eight trees of two splits, by formula."""
+    rows = []
+    for t in range(_FIXED_TREES):
+        rows += [(t, 0, t % 4, (t - 4) / 4, 256), (t, 1, (t + 1) % 4, (t - 3) / 8, 256 - 40 - t)]
+        rows += [(t, 2, -1, 0.0, 40 + t), (t, 3, -1, 0.0, 3), (t, 4, -1, 0.0, 213 - 2 * t)]
+    nodes = pd.DataFrame(rows, columns=["tree", "node", "feature", "split", "size"])
+    return forest.ForestState(nodes, 256, 0.05, 42)
+
+
+def _fixed_forest_sql() -> str:
+    """The same trees as nested conditions."""
+    path = lambda depth, size: float(depth + forest.average_path(size))
+    paths = [
+        f"case when z{t % 4} > {(t - 4) / 4} then {path(1, 40 + t)!r}::double "
+        f"when z{(t + 1) % 4} > {(t - 3) / 8} then {path(2, 213 - 2 * t)!r}::double else {path(2, 3)!r}::double end"
+        for t in range(_FIXED_TREES)
+    ]
+    expected = float(forest.average_path(256))
+    return f"select notice_id, round(-pow(2, -(({' + '.join(paths)}) / {_FIXED_TREES}) / {expected!r}), 9) score from fs"
+
+
+@query("m2_fixed_forest", select(FEATURES, _fixed_forest_sql(), *_FILLED))
+def m2_fixed(spark, folder):
+    rows = feature_table(spark, folder)
+    coded = features.with_features(rows, features.fit(rows, *features.model_features(rows)))
+    numbers = coded.withColumn("features", F.slice("features", 1, 4))
+    return numbers.select(notice_id(), F.round(forest.score_column(numbers, _fixed_forest()), 9).alias("score"))
+
+
+@query("m5_kmeans_invariants", select(POINTS, "select count(*) as rows, 5::bigint as clusters, true as means, true as cost, true as good from p"))
+def m5_invariants(spark, folder):
+    """A fit is of all rows; centroids are means; its cost is the squared distance sum, and not above that of the region means."""
+    df = materialise(points(spark, folder), "points")
+    state = kmeans.fit(df, "customer")
+    x, y = F.col("features")[0], F.col("features")[1]
+    own = kmeans.assign(df, state).groupBy("cluster").agg(
+        F.count("*").alias("rows"), F.avg(x).alias("x"), F.avg(y).alias("y"), F.sum(F.col("distance") * F.col("distance")).alias("squares")
+    )
+    centre = F.element_at(F.lit(state.centroids), F.col("cluster") + 1)
+    mean = (F.abs(F.col("x") - centre[0]) < 0.02) & (F.abs(F.col("y") - centre[1]) < 0.02)
+    plain = kmeans.inertia(df, region_centroids(spark, folder, df)).first().inertia
+    return own.agg(
+        F.sum("rows").alias("rows"),
+        F.count("*").alias("clusters"),
+        F.bool_and(mean).alias("means"),
+        (F.abs(F.sum("squares") - state.inertia) < 1e-3 * state.inertia).alias("cost"),
+        (F.sum("squares") <= plain).alias("good"),
+    )
+
+
 @query("m5_kmeans_fit")
 def m5(spark, folder):
     df = points(spark, folder)
@@ -347,6 +402,22 @@ def m20(spark, folder):
     )
 
 
+@query("m20_forest_invariants", select(FEATURES, "select count(*) as rows, true as share, true as agrees, true as in_range from f"))
+def m20_invariants(spark, folder):
+    """A run scores every row, flags no more than its contamination, flags by the sign of the score."""
+    rows = feature_table(spark, folder)
+    path = scratch_path(spark, "forest")
+    flows.train_forest(rows, KEY, path, as_of="2001-01-01 00:00:00")
+    scored = flows.detect_with_forest(rows, KEY, path, as_of="2001-01-01 00:00:00")
+    score = F.col("anomaly_score")
+    return scored.agg(
+        F.count("*").alias("rows"),
+        (F.count_if("is_outlier") <= 0.05 * F.count("*") + 1).alias("share"),
+        F.bool_and(F.col("is_outlier") == (score < 0)).alias("agrees"),
+        F.bool_and(score.between(-1.0, 1.0)).alias("in_range"),
+    )
+
+
 @query(
     "m18_model_io",
     select(CENTROIDS, "select cast(cluster as bigint) as cluster, round(cx, 9) x, round(cy, 9) y, 'balance,nation' inputs from g"),
@@ -376,7 +447,7 @@ def w1(spark, folder):
 _SAMPLED = (
     "p0 as (select c_custkey id, c_acctbal, c_nationkey, (c_acctbal - avg(c_acctbal) over ()) / stddev_pop(c_acctbal) over () x, "
     "(c_nationkey - avg(c_nationkey) over ()) / stddev_pop(c_nationkey) over () y from customer), "
-    "p as (select id, x, y from p0 order by substr(md5('42:' || cast(id as varchar)), 1, 13), id limit 1000)"
+    "p as (select id, x, y from p0)"
 )
 _STEPS = (
     "ks as (select distance, row_number() over (order by distance) as position from kn where rank = 5)",
@@ -388,7 +459,7 @@ _STEPS = (
     "w2_diff",
     select(
         _SAMPLED,
-        "select cast(position as integer) as position, round(distance, 9) distance, round(step, 9) step from st",
+        "select position, round(distance, 9) distance, round(step, 9) step from st",
         oracle.knn(5).strip(),
         *_STEPS,
     ),
@@ -471,7 +542,7 @@ def m12(spark, folder):
 )
 def m14(spark, folder):
     nation = tables.table(spark, folder, "nation").select(F.col("n_nationkey").alias("nation"), F.col("n_regionkey").alias("cluster"))
-    labelled = points(spark, folder).join(F.broadcast(nation), "nation")
+    labelled = points(spark, folder).join(nation, "nation")
     return quality.silhouette(labelled).select(F.round("silhouette_score", 9).alias("silhouette_score"))
 
 
@@ -527,6 +598,33 @@ def m19(spark, folder):
     return found.select("customer", "cluster", "is_outlier", F.round("anomaly_score", 9).alias("anomaly_score"))
 
 
+@query("m19_kmeans_invariants", select(POINTS, "select count(*) as rows, 5::bigint as clusters, true as share, true as in_range from p"))
+def m19_kmeans_invariants(spark, folder):
+    """A KMeans run keeps every row and flags at most a twentieth of them."""
+    found = flows.cluster_run(tables.customer_features(spark, folder), "customer", "kmeans")
+    return found.agg(
+        F.count("*").alias("rows"),
+        F.count_distinct("cluster").alias("clusters"),
+        (F.count_if("is_outlier") <= 0.05 * F.count("*") + 1).alias("share"),
+        F.bool_and(F.col("anomaly_score").between(0.0, 1.0)).alias("in_range"),
+    )
+
+
+@query(
+    "m19_null_ids",
+    select(
+        oracle.dbscan(EPS, MIN_SAMPLES),
+        "select case when p.id % 7 = 0 then null else p.id end as customer, lab.cluster = -1 as is_outlier from p join lab using (id)",
+    ),
+)
+def m19_null_ids(spark, folder):
+    """Rows whose id is null are clustered like any others, and none is lost."""
+    rows = tables.customer_features(spark, folder)
+    rows = rows.withColumn("customer", F.when(F.col("customer") % 7 != 0, F.col("customer")))
+    found = flows.cluster_run(rows, "customer", "dbscan", EPS, MIN_SAMPLES)
+    return found.select("customer", "is_outlier")
+
+
 @query("m19_kmeans_run")
 def m19_kmeans(spark, folder):
     """Rows, outliers and score range per cluster of a KMeans run."""

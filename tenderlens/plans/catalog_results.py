@@ -96,7 +96,7 @@ def p15(spark, folder):
         RESULTS,
         f"select {_ROW}, execution_date from r join runs using (run_id) "
         "where substr(execution_date, 1, 10) between '1995-01-01' and '1998-06-15' "
-        "order by execution_date desc, run_id, notice_id limit 10000",
+        "order by execution_date desc, run_id, notice_id",
     ),
 )
 def p16(spark, folder):
@@ -292,6 +292,20 @@ def a15(spark, folder):
     )
 
 
+@query(
+    "a15_summary_unflagged",
+    select(
+        FLAGGED,
+        "select count(*) total_records, round(min(eur) filter (eur > 0), 6) minimum, round(max(eur) filter (eur > 0), 6) maximum, "
+        "round(avg(eur) filter (eur > 0), 4) average, "
+        "round((select quantile_cont(eur, 0.5) from c where eur > 0), 4) median from c",
+    ),
+)
+def a15_unflagged(spark, folder):
+    stats = summaries.summary_statistics(tables.flagged_notices(spark, folder).drop("is_outlier"))
+    return rounded(stats, minimum=6, maximum=6, average=4, median=4)
+
+
 @query(
     "a16_outlier_panel",
     select(

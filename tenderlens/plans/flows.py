@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tenderlens.functions import scalars as S
 from tenderlens.operators import cleaning, dbscan, features, forest, kmeans, neighbours, quality, runs, summaries
 from tenderlens.operators.features import FeatureState
-from tenderlens.session import materialise
+from tenderlens.session import identified, materialise
 from tenderlens.sources import csvfiles, models, pages
 
 
@@ -94,6 +94,13 @@ def detect_with_forest(
     return scored
 
 
+def _density(matrix: DataFrame, eps: float, min_samples: int) -> DataFrame:
+    """Cluster and neighbour score of every row of an identified matrix, whatever its key."""
+    labels = dbscan.dbscan(matrix, "_identity", eps, min_samples)
+    scores = neighbours.knn_scores(matrix, "_identity", min_samples).select("_identity", "anomaly_score")
+    return matrix.join(labels, "_identity").join(scores, "_identity").drop("_identity")
+
+
 def cluster_run(
     df: DataFrame,
     key: str,
@@ -112,12 +119,11 @@ def cluster_run(
     """
     numeric = [c for c in features.cluster_features(df) if c != key]
     state = features.fit_zero_filled(df, numeric)
-    matrix = materialise(features.with_features(df, state), "matrix")
     if method == "dbscan":
-        labels = dbscan.dbscan(matrix, key, eps, min_samples)
-        scores = neighbours.knn_scores(matrix, key, min_samples).select(key, "anomaly_score")
-        found = dbscan.noise_override(dbscan.flag_noise(matrix.join(labels, key).join(scores, key)))
+        matrix = identified(features.with_features(df, state), key)
+        found = dbscan.noise_override(dbscan.flag_noise(_density(matrix, eps, min_samples)))
     elif method == "kmeans":
+        matrix = materialise(features.with_features(df, state), "matrix")
         found = kmeans.detect(matrix, kmeans.fit(matrix, key, n_clusters), constant_distance)
     else:
         raise ValueError(f"unknown clustering method {method!r}")
@@ -153,16 +159,16 @@ def train_clustering(
     )
 
 
-def detect_with_clustering(df: DataFrame, key: str, model_path: str, as_of: str | None = None) -> DataFrame:
+def detect_with_clustering(
+    df: DataFrame, key: str, model_path: str, as_of: str | None = None, constant_distance: bool = False
+) -> DataFrame:
     """Annotate with a saved clustering. Saved centroids are applied; density clusters are found anew."""
     model = models.load_clustering(df.sparkSession, model_path)
-    matrix = materialise(features.with_features(df, model["features"]), "matrix")
+    matrix = identified(features.with_features(df, model["features"]), key)
     if model["method"] == "kmeans":
-        found = kmeans.detect(matrix, model["kmeans"]).drop("distance")
+        found = kmeans.detect(matrix.drop("_identity"), model["kmeans"], constant_distance).drop("distance")
     else:
-        labels = dbscan.dbscan(matrix, key, model["eps"], model["min_samples"])
-        scores = neighbours.knn_scores(matrix, key, model["min_samples"]).select(key, "anomaly_score")
-        found = dbscan.flag_noise(matrix.join(labels, key).join(scores, key))
+        found = dbscan.flag_noise(_density(matrix, model["eps"], model["min_samples"]))
     return forest.annotate(found, F.col("anomaly_score"), F.col("is_outlier"), as_of).drop("features")
 
 
@@ -184,15 +190,26 @@ def evaluate_forest(df: DataFrame, model_path: str, output: str | None = None, a
 
 
 def write_report(
-    store: runs.RunStore, output: str, df: DataFrame | None = None, days: int = 30, as_of: str | None = None
+    store: runs.RunStore,
+    output: str,
+    df: DataFrame | None = None,
+    days: int = 30,
+    as_of: str | None = None,
+    model_path: str | None = None,
 ) -> DataFrame:
-    """The report row of ``df``, or of the rows stored in the last ``days`` days, written as JSON."""
+    """The report row of ``df``, or of all rows stored in the last ``days`` days, written as JSON.
+
+    A table without flags is scored first where a saved forest is named.
+    """
     today = as_of or _now()
     if df is None:
         window = store.spark.sql(f"select date_sub(date'{today[:10]}', {int(days)}) as start").first()
         df = runs.results_between(store.rows, store.runs, str(window.start), today[:10])
         if df.isEmpty():
             raise ValueError(f"no stored rows in the last {days} days")
+    elif model_path and "is_outlier" not in df.columns:
+        state, trained = models.load_forest(df.sparkSession, model_path)
+        df = materialise(forest.predict(df, state, trained, as_of), "scored")
     row = summaries.report(df, runs.overall_statistics(store.rows, store.runs), days, as_of)
     csvfiles.write_json(row, output)
     return row

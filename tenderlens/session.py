@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # AQE coalesces small shuffles and splits skewed join partitions, also where that costs an extra shuffle.
 SETTINGS = {
@@ -62,6 +62,15 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def identified(df: DataFrame, key: str, name: str = "_identity") -> DataFrame:
+    """``df``, written once, with an id that no two rows share: in the order of ``key``, nulls last.
+
+    Rows of equal or null keys are told apart by their place in the written table.
+    """
+    own = F.col(f"`{key}`")
+    return materialise(df.withColumn(name, F.struct(own.isNull().alias("none"), own.alias("key"), F.monotonically_increasing_id().alias("row"))), "identified")
+
+
 def spread(table: DataFrame) -> DataFrame:
     """A stored table over all cores, for work that is heavy per row.
 

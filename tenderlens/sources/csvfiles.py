@@ -1,13 +1,23 @@
 """CSV in and out."""
 
+import csv
+import io
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tenderlens.functions import scalars as S
+from tenderlens.session import materialise
+
 
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, quoted_newlines: bool = True
+) -> DataFrame:
+    """A headered CSV. Without a schema the types are inferred, which reads the text twice.
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """A headered CSV. Without a schema the types are inferred, which reads the text twice."""
-    reader = spark.read.option("header", True).option("escape", '"')
+    Line breaks in quoted fields are part of the field; a file is then read by one task. Without
+    them, ``quoted_newlines=False`` lets Spark split large files.
+    """
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", quoted_newlines)
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     return reader.csv(path)
 
@@ -23,20 +33,15 @@ def write_json(df: DataFrame, path: str) -> str:
     return path
 
 
-# Fields of one line: commas outside quoted parts, plus one; a blank line has none.
-_QUOTED = '"(?:[^"]|"")*"'
-
-
-def _field_count(line):
-    bare = F.regexp_replace(line, _QUOTED, "")
-    commas = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit("")))
-    return F.when(F.length(line) == 0, F.lit(0)).otherwise(commas + 1)
-
-
-def _fields(lines: DataFrame, width: int) -> DataFrame:
-    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
-    parsed = lines.select(F.from_csv("value", schema.simpleString()[7:-1].replace(":", " "), {"escape": '"'}).alias("r"))
-    return parsed.select(*[F.coalesce(F.col(f"r.c{i}"), F.lit("")).alias(f"c{i}") for i in range(width)])
+def _records(batches):
+    """Per file: its header, and the fields of each record below it."""
+    for batch in batches:
+        rows = []
+        for raw in batch.column(0).to_pylist():
+            records = csv.reader(io.StringIO(raw.decode("utf-8", "replace"), newline=""))
+            rows += [(i == 0, fields) for i, fields in enumerate(records)]
+        columns = [pa.array([r[0] for r in rows], pa.bool_()), pa.array([r[1] for r in rows], pa.list_(pa.string()))]
+        yield pa.RecordBatch.from_arrays(columns, names=["is_header", "fields"])
 
 
 def read_ragged_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -44,19 +49,15 @@ def read_ragged_csv(spark: SparkSession, path: str) -> DataFrame:
 
     The table is as wide as its widest row. Short rows are padded with empty text,
     surplus columns are named ``unknown_<i>``, a blank line is an all-empty row and
-    undecodable bytes become replacement characters. Two passes over splittable text;
-    a record is one line.
+    undecodable bytes become replacement characters. A quoted field may hold line breaks, so a
+    file is read by one task; many files are read side by side.
     """
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
-    header = lines.first()["value"]
-    width = lines.agg(F.max(_field_count(F.col("value")))).first()[0]
-    names = list(_fields(spark.range(1).select(F.lit(header).alias("value")), width).first())
-    known = spark.range(1).select(_field_count(F.lit(header))).first()[0]
-    names = names[:known] + [f"unknown_{i}" for i in range(known, width)]
-
-    # One copy of the header line belongs to each file; further copies are data.
-    is_header = F.col("value") == F.lit(header)
-    extra = lines.filter(is_header).groupBy("file").agg(F.count("*").alias("n")).filter("n > 1")
-    extra = extra.select(F.lit(header).alias("value"), F.explode(F.sequence(F.lit(2), F.col("n").cast("int")))).select("value")
-    body = lines.filter(~is_header).select("value").unionAll(extra)
-    return _fields(body, width).toDF(*names)
+    files = spark.read.format("binaryFile").load(path).select("content")
+    records = materialise(files.mapInArrow(_records, "is_header boolean, fields array<string>"), "records")
+    header = records.filter("is_header").first()
+    if header is None:
+        raise ValueError(f"no header in {path}")
+    width = records.agg(F.max(F.size("fields"))).first()[0]
+    names = header.fields + [f"unknown_{i}" for i in range(len(header.fields), width)]
+    body = records.filter("not is_header")
+    return body.select(*[F.coalesce(F.get("fields", F.lit(i)), F.lit("")).alias(f"c{i}") for i in range(width)]).toDF(*names)

@@ -53,8 +53,9 @@ def test_matrix(spark):
 
 def test_many_categories(spark):
     df = spark.range(1500).select("id", F.concat(F.lit("c"), F.col("id")).alias("kind"))
-    with pytest.raises(ValueError):
-        features.fit(df, [], ["kind"])
+    state = features.fit(df, [], ["kind"])
+    rows = features.with_features(df, state).filter("id in (0, 7, 1499)").collect()
+    assert all(len(r.features) == 1500 and sum(r.features) == 1 and r.features[sorted(state.categorical["kind"][1]).index(r.kind)] == 1 for r in rows)
     coded = features.encode_many(df, "kind", "hot")
     assert coded.first().hot.size == 1500
 
@@ -107,3 +108,13 @@ def test_forest_run_and_reload(spark, table, tmp_path):
     assert loaded[1].contamination == 0.1
     again = forest.predict(table, *loaded, "2024-01-01 00:00:00")
     assert sorted(again.collect()) == sorted(rows)
+
+
+def test_samples_of_null_and_repeated_keys(spark):
+    from tenderlens.session import materialise
+
+    for key in ("cast(null as bigint)", "id % 3", "if(id % 3 = 0, null, id)"):
+        for features in ("array(cast(id as double))", "array(1.0D)"):
+            df = materialise(spark.range(20_000).selectExpr(f"{key} as row", f"{features} as features"), "rows")
+            drawn = forest.tree_samples(df, "row", 100, 256, 20_000, 41).groupBy("tree").count().collect()
+            assert len(drawn) == 100 and {r["count"] for r in drawn} == {256}

@@ -69,3 +69,26 @@ def test_unknown_method(spark):
     df = spark.createDataFrame([(1, 2.0)], "k bigint, v double")
     with pytest.raises(ValueError):
         flows.cluster_run(df, "k", "optics")
+
+
+def test_cluster_run_keeps_rows_of_null_and_repeated_ids(spark):
+    rows = [(None if i % 10 == 0 else f"n{i % 70}", float(i % 7), float(i * i % 40)) for i in range(100)]
+    df = spark.createDataFrame(rows, "`notice-identifier` string, value double, bidders double")
+    found = flows.cluster_run(df, "notice-identifier", "dbscan", eps=0.1, min_samples=3)
+    assert found.count() == 100 and set(found.columns) == {*df.columns, "cluster", "is_outlier", "anomaly_score"}
+    wanted = {}
+    for row in found.collect():
+        wanted.setdefault((row.value, row.bidders), set()).add((row.cluster, row.anomaly_score and round(row.anomaly_score, 9)))
+    assert all(len(v) == 1 for v in wanted.values())
+
+
+def test_report_counts_all_rows(spark, tmp_path):
+    from tenderlens.operators.runs import RunStore
+
+    df = spark.range(25_000).selectExpr("cast(id as string) notice_id", "1.0D value_eur", "id % 10 = 0 is_outlier", "0.5D anomaly_score")
+    store = RunStore(spark, str(tmp_path / "store"))
+    store.store("isolation_forest", df)
+    row = flows.write_report(store, str(tmp_path / "report")).first()
+    assert row.record_count == 25_000 and row.outlier_count == 2_500
+    plain = flows.write_report(store, str(tmp_path / "plain"), df=df.drop("is_outlier")).first()
+    assert plain.record_count == 25_000 and "outlier_count" not in plain.asDict()

@@ -67,6 +67,28 @@ def test_retention(spark, store):
     assert [r.run_id for r in runs.recent_runs(store.runs, 1).collect()] == ["2024-03-31"]
 
 
+def test_retention_that_breaks_off(spark, store, monkeypatch):
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    for day in ("2024-02-01", "2024-03-01", "2024-03-31"):
+        store.store("kmeans", df, executed_at=f"{day} 08:00:00", run_id=day)
+    done, whole = [], runs.RunStore._drop
+
+    def drop(self, system, folder):
+        if len(done) == 1:
+            raise OSError("lost")
+        done.append(folder)
+        whole(self, system, folder)
+
+    monkeypatch.setattr(runs.RunStore, "_drop", drop)
+    with pytest.raises(OSError):
+        store.remove_old(30, "2024-04-01")
+    monkeypatch.undo()
+    left = sorted(r.run_id for r in store.runs.collect())
+    assert len(left) == 2 and left[-1] == "2024-03-31" and store.rows.count() == 6
+    assert store.remove_old(30, "2024-04-01") == 1
+    assert [r.run_id for r in store.runs.collect()] == ["2024-03-31"] and store.rows.count() == 3
+
+
 def test_export(spark, store, tmp_path):
     run_id = store.store("kmeans", spark.createDataFrame(ROWS, SCHEMA))
     assert store.export_csv(run_id, str(tmp_path / "csv")) is True

@@ -97,3 +97,12 @@ def test_search_predicate_reaches_the_scan(spark, tmp_path):
     pushed = next(line for line in plan.splitlines() if line.startswith("PushedFilters"))
     assert "GreaterThanOrEqual(`publication-date`" in pushed and "EqualTo(`organisation-country-buyer`,DE)" in pushed
     assert "notice-type" not in plan
+
+
+def test_line_breaks_in_quoted_fields(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,text,v\n1,"two\nlines",5,extra\n2,"a ""b"", c",6\n')
+    rows = csvfiles.read_ragged_csv(spark, str(tmp_path)).orderBy("id").collect()
+    assert [tuple(r) for r in rows] == [("1", "two\nlines", "5", "extra"), ("2", 'a "b", c', "6", "")]
+    df = spark.createDataFrame([("1", 'a "b",\nc'), ("2", None)], "id string, text string")
+    path = csvfiles.write_csv(df, str(tmp_path / "out"))
+    assert sorted(csvfiles.read_csv(spark, path, df.schema).collect()) == sorted(df.collect())
