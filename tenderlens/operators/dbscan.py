@@ -9,18 +9,19 @@ boxes in two until a pair is certain or few rows are left. What remains is a gra
 of cells, labelled by hooking and pointer jumping.
 """
 
-import itertools
 import math
 
-from pyspark.sql import Column, DataFrame, functions as F
+import numpy as np
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tenderlens.functions import scalars as S
+from tenderlens.operators.neighbours import reached, space_partition
 from tenderlens.session import materialise, spread
 
 # Row pairs that may be compared directly instead of splitting boxes further.
 DIRECT_PAIRS = 20_000_000
-# Fine cells per coarse cell above which another axis is worth its threefold copies.
-CROWDED = 8
+# Cells of a leaf in which they meet.
+LEAF_CELLS = 128
 # Clusters that may be numbered by one window task.
 WINDOW_ROWS = 1_000_000
 
@@ -57,29 +58,29 @@ def _renamed(df: DataFrame, suffix: str) -> DataFrame:
     return df.select(*[F.col(c).alias(f"{c}_{suffix}") for c in df.columns])
 
 
-def near_cells(cells: DataFrame, eps: float, dims: int) -> DataFrame:
+def near_cells(cells: DataFrame, eps: float, dims: int, leaf_rows: int = LEAF_CELLS) -> DataFrame:
     """All ordered pairs (a, b) of cells, itself included, with boxes at most eps apart.
 
-    Cells meet over a coarser grid on the axes that separate them best; leaving out the
-    other axes only widens the candidates. An axis triples the places a cell is sent to,
-    so axes are added while coarse cells are crowded and the axis has more than three steps.
+    Cells meet in the leaves of a kd partition of their centres, which splits axes of any
+    number of values. A cell's box reaches eps / 2 from its centre, so cells within eps have
+    centres within 2 eps: one of the two waits in its own leaf, the other goes to all leaves so near.
     """
-    width = math.floor(math.sqrt(dims)) + 1
-    steps = [F.approx_count_distinct(F.floor(v / width)).alias(f"s{i}") for i, v in enumerate(_parts("cell", dims))]
-    spans = cells.agg(F.count("*").alias("cells"), *steps).first()
-    axes = sorted(range(dims), key=lambda i: -spans[f"s{i}"])
-    crowd, used = spans["cells"], 0
-    while used < dims and (used == 0 or (crowd > CROWDED and spans[f"s{axes[used]}"] > 3)):
-        crowd /= max(spans[f"s{axes[used]}"], 1)
-        used += 1
-    axes = axes[:used]
-    keys = [F.floor(F.col("cell")[i] / width) for i in axes]
-    around = [F.array(*[k + o for k, o in zip(keys, step)]) for step in itertools.product((-1, 0, 1), repeat=len(axes))]
-    left = _renamed(spread(cells), "a").withColumn("cell", F.col("cell_a"))
-    left = left.select("*", F.explode(F.array(*around)).alias("near"))
-    right = cells.withColumn("near", F.array(*keys)).withColumnRenamed("cell", "cell_b")
-    right = right.withColumnsRenamed({c: f"{c}_b" for c in ("lo", "hi", "n")})
-    pairs = left.drop("cell").join(right, "near").filter(_gap(("lo_a", "hi_a"), ("lo_b", "hi_b"), dims) <= eps)
+    centre = F.transform(F.arrays_zip("lo", "hi"), lambda e: (e["lo"] + e["hi"]) / 2)
+    points = spread(materialise(cells.withColumn("x", centre), "centres"))
+    tree = cells.sparkSession.sparkContext.broadcast(space_partition(points, points.count(), leaf_rows))
+    radius = 2 * eps * (1 + 1e-6)
+
+    def place(batches, near):
+        for batch in batches:
+            x = np.vstack(batch.x.to_numpy()) if len(batch) else np.empty((0, dims))
+            rows, leaves = reached(tree.value, x, np.full(len(x), radius) if near else None)
+            yield batch.iloc[rows].assign(leaf=leaves)
+
+    schema = T.StructType([*points.schema.fields, T.StructField("leaf", T.LongType())])
+    left = points.mapInPandas(lambda batches: place(batches, True), schema).drop("x")
+    right = points.mapInPandas(lambda batches: place(batches, False), schema).drop("x")
+    pairs = _renamed(left, "a").withColumnRenamed("leaf_a", "leaf").join(_renamed(right, "b").withColumnRenamed("leaf_b", "leaf"), "leaf")
+    pairs = pairs.filter(_gap(("lo_a", "hi_a"), ("lo_b", "hi_b"), dims) <= eps)
     return pairs.select("cell_a", "cell_b", "n_a", "n_b", "lo_b", "hi_b")
 
 

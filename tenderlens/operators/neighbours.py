@@ -3,7 +3,8 @@
 Equal vectors are merged first and carry a weight, so copies never meet each other.
 A kd partition built from a bounded sample cuts space into leaves of a few thousand
 distinct vectors. Every vector finds its k nearest in its own leaf; only vectors
-whose k-th distance reaches over a leaf border are sent on, to just those leaves.
+whose k-th distance reaches over a leaf border are sent on, to just those leaves: first
+to the closest few, then, with the k-th distance these have left, to more.
 Spark partitions, shuffles and merges; NumPy searches within one leaf.
 """
 
@@ -17,6 +18,10 @@ from tenderlens.session import materialise
 LEAF_ROWS = 2048
 MAX_LEAVES = 32_768
 _SAMPLES_PER_LEAF = 8
+# Further leaves a vector asks in its first round; each round asks four times as many.
+FIRST_ASKED = 4
+# Vectors that ask one leaf in one group.
+ASKING_ROWS = 16_384
 
 
 def cut_space(sample: np.ndarray, leaves: int):
@@ -45,10 +50,13 @@ def cut_space(sample: np.ndarray, leaves: int):
     return grow(sample, leaves), nodes
 
 
-def reached(tree, points: np.ndarray, radii: np.ndarray | None = None):
-    """Pairs (row, leaf) of every leaf the ball around a row touches; without radii the home leaf."""
+def reached(tree, points: np.ndarray, radii: np.ndarray | None = None, gaps: bool = False):
+    """Pairs (row, leaf) of every leaf the ball around a row touches; without radii the home leaf.
+
+    With ``gaps`` also the distance of the row to the leaf's region.
+    """
     root, nodes = tree
-    rows, leaves = [], []
+    rows, leaves, away = [], [], []
     # The squared distance of a row to a region is the sum of its squared offsets per axis.
     limits = None if radii is None else radii**2 * (1 + 1e-9)
     stack = [(root, np.arange(len(points)), np.zeros(points.shape))]
@@ -59,6 +67,7 @@ def reached(tree, points: np.ndarray, radii: np.ndarray | None = None):
         if node < 0:
             rows.append(at)
             leaves.append(np.full(len(at), -node))
+            away.append(np.sqrt((offsets**2).sum(axis=1)))
             continue
         axis, split, left, right = nodes[node]
         offset = points[at, axis] - split
@@ -72,7 +81,8 @@ def reached(tree, points: np.ndarray, radii: np.ndarray | None = None):
             moved[:, axis] = offset[far]
             close = (moved**2).sum(axis=1) <= limits[at[far]]
             stack.append((child, at[far[close]], moved[close]))
-    return (np.concatenate(rows), np.concatenate(leaves)) if rows else (np.empty(0, int), np.empty(0, int))
+    found = [np.concatenate(v) if rows else np.empty(0, kind) for v, kind in ((rows, int), (leaves, int), (away, float))]
+    return tuple(found) if gaps else tuple(found[:2])
 
 
 def nearest(points: np.ndarray, queries: np.ndarray, k: int, bounds: np.ndarray | None = None, bucket: int = 256):
@@ -139,7 +149,7 @@ def _matrix(vectors) -> np.ndarray:
     return np.vstack(vectors.to_numpy()) if len(vectors) else np.empty((0, 1))
 
 
-def _tree(vectors: DataFrame, count: int, leaf_rows: int):
+def space_partition(vectors: DataFrame, count: int, leaf_rows: int):
     leaves = int(min(max(count // leaf_rows, 1), MAX_LEAVES))
     if leaves == 1:
         return cut_space(np.zeros((1, 1)), 1)
@@ -152,15 +162,16 @@ def _tree(vectors: DataFrame, count: int, leaf_rows: int):
     return cut_space(sample, leaves)
 
 
-def nearest_distances(df: DataFrame, key: str, k: int, leaf_rows: int = LEAF_ROWS) -> DataFrame:
+def nearest_distances(df: DataFrame, key: str, k: int, leaf_rows: int = LEAF_ROWS, asked: list | None = None) -> DataFrame:
     """(key, distances): the k smallest distances of each row, itself included, ascending.
 
-    Fewer than k rows in the table give fewer distances.
+    Fewer than k rows in the table give fewer distances. ``asked`` gets the number of
+    questions to further leaves, by round.
     """
     points = df.select(F.col(f"`{key}`").alias(key), F.col("features").alias("x"))
     vectors = materialise(points.groupBy("x").agg(F.count("*").alias("weight")), "vectors")
     count = vectors.count()
-    tree = df.sparkSession.sparkContext.broadcast(_tree(vectors, count, leaf_rows))
+    tree = df.sparkSession.sparkContext.broadcast(space_partition(vectors, count, leaf_rows))
 
     def place(batches):
         for batch in batches:
@@ -177,12 +188,12 @@ def nearest_distances(df: DataFrame, key: str, k: int, leaf_rows: int = LEAF_ROW
             reach = np.full(len(x), np.inf)
         else:
             reach = dist[:, -1]
-        rows, leaves = reached(tree.value, x, reach)
+        rows, leaves, gaps = reached(tree.value, x, reach, gaps=True)
         # k copies of one vector are its k nearest already.
         others = (leaves != group.leaf.iloc[0]) & (weights[rows] < k)
-        targets = [[] for _ in range(len(x))]
-        for row, leaf in zip(rows[others], leaves[others]):
-            targets[row].append(leaf)
+        rows, leaves, gaps = rows[others], leaves[others], gaps[others]
+        order = np.lexsort((leaves, gaps, rows))
+        cuts = np.searchsorted(rows[order], np.arange(1, len(x)))
         kept = at >= 0
         return pd.DataFrame(
             {
@@ -190,14 +201,14 @@ def nearest_distances(df: DataFrame, key: str, k: int, leaf_rows: int = LEAF_ROW
                 "reach": reach,
                 "d": [row[ok] for row, ok in zip(dist, kept)],
                 "w": [weights[row[ok]] for row, ok in zip(at, kept)],
-                "targets": targets,
+                "targets": np.split(leaves[order], cuts),
+                "gaps": np.split(gaps[order], cuts),
             }
         )
 
     found_type = "x array<double>, d array<double>, w array<bigint>"
-    local = placed.groupBy("leaf").applyInPandas(home, f"{found_type}, reach double, targets array<bigint>")
-    local = materialise(local, "local")
-    sent = local.filter(F.size("targets") > 0).select("x", "reach", F.explode("targets").alias("leaf"))
+    local = placed.groupBy("leaf").applyInPandas(home, f"{found_type}, reach double, targets array<bigint>, gaps array<double>")
+    found = materialise(local.select("x", F.arrays_zip("d", "w").alias("near"), "reach", "targets", "gaps"), "local")
 
     def abroad(points_there, asked):
         if not len(asked) or not len(points_there):
@@ -213,11 +224,37 @@ def nearest_distances(df: DataFrame, key: str, k: int, leaf_rows: int = LEAF_ROW
             }
         )
 
-    remote = placed.groupBy("leaf").cogroup(sent.groupBy("leaf")).applyInPandas(abroad, found_type)
-    # A vector that stayed at home has one row here, any other one row per leaf it reached.
-    found = local.select("x", "d", "w").unionAll(remote).select("x", F.arrays_zip("d", "w").alias("near"))
-    merged = found.groupBy("x").agg(F.array_sort(F.flatten(F.collect_list("near"))).alias("near"))
-    return points.join(merged, "x").select(key, _unfold(F.col("near"), k).alias("distances"))
+    settled, few = [], FIRST_ASKED
+    while True:
+        settled.append(found.filter(F.size("targets") == 0).select("x", "near"))
+        open_ = found.filter(F.size("targets") > 0)
+        if open_.isEmpty():
+            break
+        sent = open_.select("x", "reach", F.explode(F.slice("targets", 1, few)).alias("leaf"))
+        if asked is not None:
+            asked.append(sent.count())
+        # A leaf that many ask is there several times, each for some of those who ask.
+        shares = sent.groupBy("leaf").agg(F.ceil(F.count("*") / ASKING_ROWS).cast("int").alias("shares"))
+        there = placed.join(shares, "leaf").withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)))
+        sent = sent.join(shares, "leaf").withColumn("share", F.pmod(F.xxhash64("x"), F.col("shares")).cast("int"))
+        remote = there.drop("shares").groupBy("leaf", "share").cogroup(sent.drop("shares").groupBy("leaf", "share"))
+        remote = remote.applyInPandas(lambda _, points_there, asking: abroad(points_there, asking), found_type)
+        absent = [F.lit(None).cast(kind).alias(name) for name, kind in (("reach", "double"), ("targets", "array<bigint>"), ("gaps", "array<double>"))]
+        both = open_.unionAll(remote.select("x", F.arrays_zip("d", "w").alias("near"), *absent))
+        # At most k lists entries from each leaf asked in this round, and k are kept.
+        merged = both.groupBy("x").agg(
+            F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k).alias("near"),
+            *[F.max(F.when(F.col("reach").isNotNull(), F.struct("reach", "targets", "gaps"))).alias("own")],
+        )
+        kth = F.get(_unfold(F.col("near"), k), F.lit(k - 1))
+        merged = merged.select("x", "near", F.least("own.reach", kth).alias("reach"), "own.targets", "own.gaps")
+        rest = F.greatest(F.size(F.filter("gaps", lambda g: g <= F.col("reach") * (1 + 1e-9))) - few, F.lit(0))
+        merged = merged.select("x", "near", "reach", F.slice("targets", few + 1, rest).alias("targets"), F.slice("gaps", few + 1, rest).alias("gaps"))
+        found, few = materialise(merged, "merged"), 4 * few
+    nearby = settled[0]
+    for more in settled[1:]:
+        nearby = nearby.unionAll(more)
+    return points.join(nearby, "x").select(key, _unfold(F.col("near"), k).alias("distances"))
 
 
 def _unfold(near: Column, k: int) -> Column:

@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, functions as F
 from tenderlens.operators import dbscan, kmeans
 from tenderlens.session import identified, materialise
 
-BLOCK_ROWS = 2048
+# Rows of a block, and of the tiles that are compared at once within a pair of blocks.
+BLOCK_ROWS = (2048, 32_768)
+TILE_ROWS = 2048
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -18,23 +20,37 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(total)
 
 
-def _sums(dist, ids, clusters, weights):
-    """Weighted distance sums of each row to each cluster among the columns."""
-    order = np.argsort(clusters, kind="stable")
-    names, starts = np.unique(clusters[order], return_index=True)
-    sums = np.add.reduceat(dist[:, order] * weights[order], starts, axis=1)
-    return pd.DataFrame(
-        {"v": np.repeat(ids, len(names)), "other": np.tile(names, len(ids)), "total": sums.ravel()}
-    )
+class _Side:
+    """One block of a pair: its rows in the order of their clusters, and their sums to the other's clusters."""
+
+    def __init__(self, frame, other):
+        frame = frame.sort_values("cluster", kind="stable")
+        self.x, self.ids, self.weights = np.vstack(frame.x.to_numpy()), frame.v.to_numpy(), frame.weight.to_numpy()
+        self.clusters = frame.cluster.to_numpy()
+        self.names = np.unique(other.cluster.to_numpy())
+        self.totals = np.zeros((len(frame), len(self.names)))
+
+    def add(self, at, dist, other, other_at):
+        # Clusters are in order, so those of a tile are neighbours in ``names``.
+        names, starts = np.unique(other.clusters[other_at], return_index=True)
+        first = np.searchsorted(self.names, names[0])
+        self.totals[at, first : first + len(names)] += np.add.reduceat(dist * other.weights[other_at], starts, axis=1)
+
+    def frame(self):
+        many = len(self.names)
+        return pd.DataFrame({"v": np.repeat(self.ids, many), "other": np.tile(self.names, len(self.ids)), "total": self.totals.ravel()})
 
 
-def cluster_distance_sums(vectors: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def cluster_distance_sums(vectors: DataFrame, block_rows: int | None = None) -> DataFrame:
     """(v, other, total): summed distance of each vector to each cluster.
 
-    Vectors are cut into hash blocks; every pair of blocks is one group, so work and
-    memory of a task are fixed by the block size and no row pair is ever a row.
+    Vectors are cut into hash blocks and every pair of blocks is one group. A group adds up tile by
+    tile, so no row pair is ever a row, and a vector's sums leave a group once per cluster. Blocks
+    grow with the table up to a fixed size, which bounds the copies of a vector and the memory of a task.
     """
     count = vectors.count()
+    if block_rows is None:
+        block_rows = min(max(count // 64, BLOCK_ROWS[0]), BLOCK_ROWS[1])
     blocks = max(1, -(-count // block_rows))
     placed = vectors.withColumn("block", F.pmod(F.xxhash64("v"), F.lit(blocks)).cast("int"))
     last = F.lit(blocks - 1)
@@ -44,11 +60,15 @@ def cluster_distance_sums(vectors: DataFrame, block_rows: int = BLOCK_ROWS) -> D
     def block_pair(key, a, b):
         if not len(a) or not len(b):
             return pd.DataFrame({"v": [], "other": [], "total": []})
-        dist = _distances(np.vstack(a.x.to_numpy()), np.vstack(b.x.to_numpy()))
-        sums = _sums(dist, a.v.to_numpy(), b.cluster.to_numpy(), b.weight.to_numpy())
-        if key[0] == key[1]:
-            return sums
-        return pd.concat([sums, _sums(dist.T, b.v.to_numpy(), a.cluster.to_numpy(), a.weight.to_numpy())])
+        one, two = _Side(a, b), _Side(b, a)
+        for i in range(0, len(a), TILE_ROWS):
+            for j in range(0, len(b), TILE_ROWS):
+                at, there = slice(i, i + TILE_ROWS), slice(j, j + TILE_ROWS)
+                dist = _distances(one.x[at], two.x[there])
+                one.add(at, dist, two, there)
+                if key[0] != key[1]:
+                    two.add(there, dist.T, one, at)
+        return one.frame() if key[0] == key[1] else pd.concat([one.frame(), two.frame()])
 
     sums = left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInPandas(
         block_pair, "v bigint, other bigint, total double"
@@ -56,7 +76,7 @@ def cluster_distance_sums(vectors: DataFrame, block_rows: int = BLOCK_ROWS) -> D
     return sums.groupBy("v", "other").agg(F.sum("total").alias("total"))
 
 
-def silhouette(df: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def silhouette(df: DataFrame, block_rows: int | None = None) -> DataFrame:
     """One row: the mean silhouette of rows with ``features`` and ``cluster``, 0 below two clusters.
 
     Rows alone in their cluster score 0. Equal rows of a cluster are merged and weighted.

@@ -145,3 +145,26 @@ def test_knn_scores(spark, cloud):
     mean = np.sort(distances(cloud), axis=1)[:, :5].mean(axis=1)
     found = neighbours.knn_scores(frame(spark, cloud), "id", 5).orderBy("id").toPandas()
     assert np.allclose(found.anomaly_score, mean / mean.max())
+
+
+def test_cells_of_few_valued_axes_meet_few_others(spark):
+    """Cells on twelve axes of two values each meet near ones only, not all."""
+    draw = np.random.default_rng(3)
+    rows = [(i, draw.integers(0, 2, 12).astype(float).tolist()) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id bigint, features array<double>")
+    cut = dbscan._Cells(df, "id", 0.5)
+    cells = {tuple(x) for _, x in rows}
+    assert cut.pairs.count() == len(cells)
+
+
+def test_neighbours_in_many_dimensions_ask_few_leaves(spark):
+    draw = np.random.default_rng(8)
+    x = draw.normal(size=(4000, 8))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id bigint, features array<double>")
+    asked = []
+    found = {r.id: r.distances for r in neighbours.nearest_distances(df, "id", 4, leaf_rows=64, asked=asked).collect()}
+    for i in range(0, 4000, 37):
+        exact = np.sort(np.sqrt(((x - x[i]) ** 2).sum(axis=1)))[:4]
+        assert np.allclose(found[i], exact, atol=1e-12)
+    # The home leaf alone would send each vector to most of the 62 others.
+    assert len(asked) > 1 and sum(asked) < 45 * 4000
