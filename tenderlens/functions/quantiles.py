@@ -24,32 +24,29 @@ def exact_quantiles(df: DataFrame, targets: dict[str, tuple[Column, float]], sma
     """Linear-interpolation quantiles, nulls ignored; None for a column without values.
 
     ``targets`` maps a result name to (value column, probability). The value columns are
-    written once, so whatever they derive from is computed in a single pass.
+    written once, so whatever they derive from is computed in a single pass; a column
+    object that several targets share is written once as well.
     """
-    values = df.select(*[column.cast("double").alias(f"v{i}") for i, (column, _) in enumerate(targets.values())])
-    values = materialise(values, "values")
+    columns = {id(column): column for column, _ in targets.values()}
+    names = {key: f"v{i}" for i, key in enumerate(columns)}
+    values = materialise(df.select(*[column.cast("double").alias(names[key]) for key, column in columns.items()]), "values")
     counts = values.agg(*[F.count(name).alias(name) for name in values.columns]).first().asDict()
-    probabilities = {f"v{i}": p for i, (_, p) in enumerate(targets.values())}
+    asked = {target: (names[id(column)], p) for target, (column, p) in targets.items()}
 
     found = {}
-    direct = [name for name in values.columns if 0 < counts[name] <= small]
+    direct = {target: (name, p) for target, (name, p) in asked.items() if 0 < counts[name] <= small}
     if direct:
-        row = values.agg(*[F.percentile(name, F.lit(probabilities[name])).alias(name) for name in direct]).first()
-        found.update(row.asDict())
-
-    wanted = {}
-    for name in values.columns:
-        if counts[name] > small:
-            position = probabilities[name] * (counts[name] - 1)
-            for rank in {math.floor(position), math.ceil(position)}:
-                wanted[(name, rank)] = counts[name]
-    if wanted:
+        row = values.agg(*[F.percentile(name, F.lit(p)).alias(f"q{i}") for i, (name, p) in enumerate(direct.values())]).first()
+        found.update(zip(direct, row))
+
+    far = {target: (name, p * (counts[name] - 1)) for target, (name, p) in asked.items() if counts[name] > small}
+    if far:
+        wanted = {(name, rank): counts[name] for name, place in far.values() for rank in (math.floor(place), math.ceil(place))}
         at = values_at_ranks(values, wanted, small)
-        for name in {name for name, _ in wanted}:
-            position = probabilities[name] * (counts[name] - 1)
-            low, high = at[(name, math.floor(position))], at[(name, math.ceil(position))]
-            found[name] = low + (high - low) * (position - math.floor(position))
-    return {target: found.get(f"v{i}") for i, target in enumerate(targets)}
+        for target, (name, place) in far.items():
+            low, high = at[(name, math.floor(place))], at[(name, math.ceil(place))]
+            found[target] = low + (high - low) * (place - math.floor(place))
+    return {target: found.get(target) for target in targets}
 
 
 def exact_quantile(df: DataFrame, column: Column, probability: float, small: int = SMALL):

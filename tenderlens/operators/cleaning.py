@@ -1,6 +1,6 @@
 """Cleaning and derivation of notice columns, and the choice of columns for learning."""
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tenderlens.functions import scalars as S
 from tenderlens.functions.quantiles import exact_quantile
@@ -78,6 +78,18 @@ def value_counts(df: DataFrame, name: str) -> DataFrame:
     return df.filter(S.col(name).isNotNull()).groupBy(S.col(name).alias(name)).agg(F.count("*").alias("count"))
 
 
+def value_counts_of(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    """(field, value, count) of several text columns in one pass; ``names`` maps columns to field names."""
+    pairs = [F.struct(F.lit(field).alias("field"), S.col(name).cast("string").alias("value")) for name, field in names.items()]
+    return df.select(F.inline(F.array(*pairs))).filter("value is not null").groupBy("field", "value").agg(F.count("*").alias("count"))
+
+
+def top_values_of(df: DataFrame, names: dict[str, str], n: int = 10) -> DataFrame:
+    """The ``n`` most frequent values of each column, ties by value."""
+    order = Window.partitionBy("field").orderBy(F.desc("count"), "value")
+    return value_counts_of(df, names).withColumn("_place", F.row_number().over(order)).filter(F.col("_place") <= n).drop("_place")
+
+
 def top_values(df: DataFrame, name: str, n: int = 10) -> DataFrame:
     return value_counts(df, name).orderBy(F.desc("count"), S.col(name)).limit(n)
 

@@ -187,23 +187,33 @@ def score_histogram(df: DataFrame, bins: int = 20) -> DataFrame:
     return _histogram(df, F.col("anomaly_score"), S.status_label(_flag()), F.lit(0), bins)
 
 
-def box_statistics(df: DataFrame) -> DataFrame:
-    """Quartiles, whiskers and flier count of positive values per status (or overall)."""
+def _boxes(df: DataFrame) -> DataFrame:
+    """(status, v, q1, median, q3, inside) of positive values."""
     value = S.col(value_column(df))
     flagged = "is_outlier" in df.columns
     status = S.status_label(_flag()) if flagged else F.lit("ALL")
     names = ("NORMAL", "OUTLIER") if flagged else ("ALL",)
     rows = materialise(positive(df).select(status.alias("status"), value.cast("double").alias("v")), "boxes")
     probabilities = {"q1": 0.25, "median": 0.5, "q3": 0.75}
-    found = exact_quantiles(
-        rows, {(g, q): (F.when(F.col("status") == g, F.col("v")), p) for g in names for q, p in probabilities.items()}
-    )
+    own = {g: F.when(F.col("status") == g, F.col("v")) for g in names}
+    found = exact_quantiles(rows, {(g, q): (own[g], p) for g in names for q, p in probabilities.items()})
     # One row per status; a status without rows meets none below.
     quartiles = [(g, *[found[(g, q)] for q in probabilities]) for g in names]
     quartiles = df.sparkSession.createDataFrame(quartiles, "status string, q1 double, median double, q3 double")
     spread = 1.5 * (F.col("q3") - F.col("q1"))
     inside = F.col("v").between(F.col("q1") - spread, F.col("q3") + spread)
-    return rows.join(F.broadcast(quartiles), "status").groupBy("status", "q1", "median", "q3").agg(
+    return rows.join(F.broadcast(quartiles), "status").withColumn("inside", inside)
+
+
+def box_fliers(df: DataFrame) -> DataFrame:
+    """(status, value) of the positive values beyond the whiskers."""
+    return _boxes(df).filter("not inside").select("status", F.col("v").alias("value"))
+
+
+def box_statistics(df: DataFrame) -> DataFrame:
+    """Quartiles, whiskers and flier count of positive values per status (or overall)."""
+    inside = F.col("inside")
+    return _boxes(df).groupBy("status", "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col("v"))).alias("low_whisker"),
         F.max(F.when(inside, F.col("v"))).alias("high_whisker"),
         F.count_if(~inside).alias("fliers"),

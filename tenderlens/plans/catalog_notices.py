@@ -269,11 +269,8 @@ def c16(spark, folder):
 )
 def a1(spark, folder):
     df = cleaning.add_currency(tables.notices(spark, folder))
-    parts = [
-        cleaning.value_counts(df, name).select(F.lit(label).alias("field"), S.col(name).alias("value"), F.col("count").alias("n"))
-        for name, label in (("currency", "currency"), ("winner-size", "winner_size"), ("notice-type", "notice_type"))
-    ]
-    return pages.union_pages(parts)
+    names = {"currency": "currency", "winner-size": "winner_size", "notice-type": "notice_type"}
+    return cleaning.value_counts_of(df, names).withColumnRenamed("count", "n")
 
 
 @query(

@@ -377,6 +377,13 @@ def a19(spark, folder):
     return rounded(summaries.score_histogram(tables.scored_notices(spark, folder)), low=6, high=6)
 
 
+_QUARTILES = (
+    "pos as (select case when is_outlier then 'OUTLIER' else 'NORMAL' end status, eur from c where eur > 0)",
+    "qs as (select status, quantile_cont(eur, 0.25) q1, quantile_cont(eur, 0.5) median, quantile_cont(eur, 0.75) q3 "
+    "from pos group by status)",
+)
+
+
 @query(
     "a20_box_stats",
     select(
@@ -386,9 +393,7 @@ def a19(spark, folder):
   round(max(eur) filter (eur between q1 - 1.5 * (q3 - q1) and q3 + 1.5 * (q3 - q1)), 6) high_whisker,
   count(*) filter (not (eur between q1 - 1.5 * (q3 - q1) and q3 + 1.5 * (q3 - q1))) fliers, count(*) as count
 from pos join qs on pos.status = qs.status group by qs.status, q1, median, q3""",
-        "pos as (select case when is_outlier then 'OUTLIER' else 'NORMAL' end status, eur from c where eur > 0)",
-        "qs as (select status, quantile_cont(eur, 0.25) q1, quantile_cont(eur, 0.5) median, quantile_cont(eur, 0.75) q3 "
-        "from pos group by status)",
+        *_QUARTILES,
     ),
 )
 def a20(spark, folder):
@@ -396,6 +401,19 @@ def a20(spark, folder):
     return rounded(boxes, q1=6, median=6, q3=6, low_whisker=6, high_whisker=6)
 
 
+@query(
+    "a20_box_fliers",
+    select(
+        FLAGGED,
+        "select pos.status, round(eur, 6) as value from pos join qs on pos.status = qs.status "
+        "where not (eur between q1 - 1.5 * (q3 - q1) and q3 + 1.5 * (q3 - q1))",
+        *_QUARTILES,
+    ),
+)
+def a20_fliers(spark, folder):
+    return rounded(summaries.box_fliers(tables.flagged_notices(spark, folder)), value=6)
+
+
 @query(
     "a21_score_threshold",
     select(
@@ -536,11 +554,8 @@ def j2(spark, folder):
 )
 def w4(spark, folder):
     raw = tables.notices(spark, folder)
-    parts = [
-        cleaning.top_values(raw, column).select(F.lit(kind).alias("kind"), S.col(column).alias("name"), F.col("count").alias("n"))
-        for column, kind in (("notice-type", "type"), ("organisation-country-buyer", "country"))
-    ]
-    return parts[0].unionAll(parts[1])
+    top = cleaning.top_values_of(raw, {"notice-type": "type", "organisation-country-buyer": "country"})
+    return top.toDF("kind", "name", "n")
 
 
 @query("entry_outliers_by_country", select(FLAGGED, _BY_COUNTRY))

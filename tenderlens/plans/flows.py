@@ -5,6 +5,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tenderlens.functions import scalars as S
+from tenderlens.functions.quantiles import sample_rows
 from tenderlens.operators import cleaning, dbscan, features, forest, kmeans, neighbours, quality, runs, summaries
 from tenderlens.operators.features import FeatureState
 from tenderlens.session import identified, materialise
@@ -145,9 +146,16 @@ def train_clustering(
     min_samples: int = 5,
     n_clusters: int = 5,
     as_of: str | None = None,
+    sample_size: int | None = None,
+    numeric_only: bool = False,
 ) -> str:
-    """Fit the feature pipeline and the clustering and save both; a missing eps is taken from the elbow."""
-    state = fit_features(df, key)
+    """Fit the feature pipeline and the clustering and save both; a missing eps is taken from the elbow.
+
+    With ``sample_size`` both learn from exactly so many rows.
+    """
+    if sample_size:
+        df = materialise(sample_rows(df, F.col(f"`{key}`"), sample_size), "sample")
+    state = fit_features(df, key, numeric_only)
     matrix = materialise(features.with_features(df, state), "matrix")
     trained = None
     if method == "kmeans":

@@ -100,15 +100,12 @@ def feature_rows(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "lineitem")
         .groupBy("l_orderkey")
         .agg(F.sum("l_quantity").alias("quantity"), F.sum("l_discount").alias("discount"))
-        .select(
-            F.col("l_orderkey").cast("string").alias("notice-identifier"),
-            F.round("quantity", 6).alias("quantity"),
-            F.round("discount", 6).alias("discount"),
-        )
+        .select("l_orderkey", F.round("quantity", 6).alias("quantity"), F.round("discount", 6).alias("discount"))
     )
     base = cleaning.add_bidders(valued_notices(spark, folder))
     base = base.withColumn("total-value-eur-log", S.log_value(S.col("total-value-eur")))
-    return base.join(lines, "notice-identifier", "left").select(
+    # Both sides shuffle numbers; the text key is made from one.
+    return base.join(lines, S.col("notice-identifier").cast("bigint") == F.col("l_orderkey"), "left").select(
         "notice-identifier",
         "total-value-eur",
         "total-value-eur-log",
