@@ -1,5 +1,8 @@
 """Column expressions and table helpers that several operators share."""
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 # Words are runs of characters other than these blanks.
@@ -31,6 +34,13 @@ def unpacked(df: DataFrame, like: DataFrame) -> DataFrame:
     return df.select("row.*").toDF(*like.columns)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches of a task in smaller ones, so that few texts are Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def text_or_empty(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 

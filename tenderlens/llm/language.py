@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tenderlens.llm.common import pick
+from tenderlens.llm.common import pick, slices
 
 WIDTH = 4096
 SAMPLE = 2000  # labelled texts that are looked at in all, whatever the corpus
@@ -128,7 +128,7 @@ def learn(docs: DataFrame, training: Column, sample: int = SAMPLE, width: int =
         share = F.when(F.col("lang") == row.lang, F.lit(min(1.0, sample / len(counts) / row.texts))).otherwise(share)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = [(lang, vector(text, width)) for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
             found = [(lang, v.astype("<f4").tobytes()) for lang, v in found if v is not None]
             arrays = [pa.array([f[i] for f in found], kind) for i, kind in enumerate((pa.string(), pa.binary()))]
@@ -152,7 +152,7 @@ def identify(docs: DataFrame, model: Discriminator | None, width: int = WIDTH) -
     """(doc_id, lang_pred, score) per row of ``docs`` (doc_id, text)."""
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = [_judge(model, width, text) for text in batch.column(1).to_pylist()]
             langs, scores = pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())
             yield pa.RecordBatch.from_arrays([batch.column(0), langs, scores], names=["doc_id", "lang_pred", "score"])
@@ -166,7 +166,7 @@ def accepted(docs: DataFrame, model: Discriminator | None, least: float = 0.0, w
     place = docs.columns.index("text")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = [_judge(model, width, text) for text in batch.column(place).to_pylist()]
             yield batch.filter(pa.array([lang != "und" and score >= least for lang, score in found], pa.bool_()))
 

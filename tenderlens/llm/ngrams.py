@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tenderlens.llm.common import pick
+from tenderlens.llm.common import pick, slices
 from tenderlens.session import materialise
 
 CHUNK = 1_000_000  # tokens
@@ -212,7 +212,7 @@ def chunks(docs: DataFrame, held_out: Column, chunk: int = CHUNK) -> DataFrame:
                 _squeeze(places), _squeeze(counts), len(stream), sum(not h for _, h in docs_),
             )])
 
-        for batch in batches:
+        for batch in slices(batches):
             for doc_id, raw, held in zip(batch.column(0).to_pylist(), batch.column(1).cast("binary").to_pylist(), batch.column(2).to_pylist()):
                 own = [known.setdefault(word, len(known)) for word in (raw or b"").lower().split()]
                 own.append(0)

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tenderlens.llm import tokens
-from tenderlens.llm.common import pick
+from tenderlens.llm.common import pick, slices
 from tenderlens.session import materialise, scratch_path
 
 END_ID = 2
@@ -47,7 +47,7 @@ def write(docs: DataFrame, folder: str, path: str | None = None, end_id: int = E
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, before = tokens.encoder(path), TaskContext.get().partitionId(), 0
         end = end_id.to_bytes(4, "little")
-        for batch in batches:
+        for batch in slices(batches):
             chunks = [encoder.encode(raw) + end for raw in tokens.raw_texts(batch.column(1))]
             starts = before + np.cumsum([0, *map(len, chunks)]) // 4
             before = int(starts[-1])

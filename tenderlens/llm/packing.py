@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tenderlens.llm import tokens
-from tenderlens.llm.common import pick
+from tenderlens.llm.common import pick, slices
 from tenderlens.session import materialise
 
 CAPACITY = 4096
@@ -34,7 +34,7 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, e
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, seen = tokens.encoder(path), TaskContext.get().partitionId(), {}
         end, step = end_id.to_bytes(4, "little"), 4 * capacity
-        for batch in batches:
+        for batch in slices(batches):
             out = {name: [] for name in ("doc_id", "piece", "start", "length", "ids_crc32", "part", "nth", "ids")}
             for doc_id, raw in zip(batch.column(0).to_pylist(), tokens.raw_texts(batch.column(1))):
                 ids = encoder.encode(raw) + end

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tenderlens.llm.common import at, beside, pick, unpacked
+from tenderlens.llm.common import at, beside, pick, slices, unpacked
 from tenderlens.operators.dbscan import components
 from tenderlens.session import materialise
 
@@ -69,7 +69,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, text_hash, fp) with ``fp`` as a signed 64-bit integer."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(2).cast("binary").to_pylist()
             found = np.array([fingerprint(raw or b"", shingle) for raw in texts], "<u8").view("<i8")
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found)], names=["doc_id", "text_hash", "fp"])
