@@ -92,8 +92,7 @@ def op8(spark, folder):
 @query("op9_edit_counts")
 def op9(spark, folder):
     """Counts of every whole text before and after each run of digits is replaced by one 0."""
-    docs = edits.replacements(table(spark, folder, "documents"), "[0-9]+", "0")
-    return edits.apply_edits(edits.build_trees(docs, None, edits.LEAF, "edits"))
+    return edits.counts_after(table(spark, folder, "documents"), "[0-9]+", "0")
 
 
 OP10_SQL = r"""

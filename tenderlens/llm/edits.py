@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tenderlens.llm import tokens
-from tenderlens.llm.common import pick
+from tenderlens.llm.common import pick, slices
 
 LEAF = 32
 EDITS = "array<struct<start:int,end:int,text:string>>"
@@ -99,13 +99,10 @@ def _counter(path):
     return lambda text: len(encode(text.encode("utf-8", "replace"))) // 4
 
 
-def build_trees(docs: DataFrame, path: str | None = None, leaf: int = LEAF, *keep: str) -> DataFrame:
-    """The state of each document: text, leaf ends and sums; columns named in ``keep`` go along."""
-    path = path or tokens.vocabulary()
-
+def _builder(path: str, leaf: int, keep: tuple[str, ...]):
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count, pattern = _counter(path), _leaves(leaf)
-        for batch in batches:
+        for batch in slices(batches):
             texts = [text or "" for text in batch.column(1).to_pylist()]
             grown = [grow(text, count, pattern) for text in texts]
             ends = pa.array([g[0] for g in grown], pa.list_(pa.int32()))
@@ -113,43 +110,64 @@ def build_trees(docs: DataFrame, path: str | None = None, leaf: int = LEAF, *kee
             arrays = [batch.column(0), pa.array(texts, pa.string()), ends, sums, *batch.columns[2:]]
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "text", "leaf_ends", "sums", *keep])
 
-    slim = pick(docs, "doc_id", "text", *keep).withColumns({"doc_id": F.col("doc_id").cast("bigint"), "text": F.col("text").cast("string")})
-    kinds = dict(slim.dtypes)
-    return slim.mapInArrow(build, ", ".join([TREES, *[f"{name} {kinds[name]}" for name in keep]]))
-
+    return build
 
-def apply_edits(trees: DataFrame, path: str | None = None, state: bool = False) -> DataFrame:
-    """Counts before and after the column ``edits``; with ``state`` also the new text and tree."""
-    path = path or tokens.vocabulary()
 
+def _follower(path: str, state: bool):
     def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = _counter(path)
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for doc_id, text, ends, sums, edits in zip(*[column.to_pylist() for column in batch.columns]):
                 listed = [(e["start"], e["end"], e["text"] or "") for e in edits or [] if e and e["start"] is not None]
                 after, new_ends, new_sums, encoded = change(text, ends, sums, listed, count)
-                out.append((doc_id, sums[1], new_sums[1], len(ends), encoded, after, new_ends, new_sums))
-            columns = list(zip(*out)) or [[]] * 8
+                out.append((doc_id, sums[1], new_sums[1], len(ends), encoded, *((after, new_ends, new_sums) if state else ())))
             kinds = [pa.int64()] * 5 + [pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32())]
-            names = ["doc_id", "n_tokens_before", "n_tokens", "n_leaves", "n_encoded", "text", "leaf_ends", "sums"]
-            many = 8 if state else 5
-            arrays = [pa.array(c, k) for c, k in zip(columns[:many], kinds)]
-            yield pa.RecordBatch.from_arrays(arrays, names=names[:many])
-
-    slim = trees.select("doc_id", "text", "leaf_ends", "sums", "edits")
-    return slim.mapInArrow(follow, COUNTS + (", text string, leaf_ends array<int>, sums array<int>" if state else ""))
+            names = ["doc_id", "n_tokens_before", "n_tokens", "n_leaves", "n_encoded", "text", "leaf_ends", "sums"][: 8 if state else 5]
+            arrays = [pa.array(c, k) for c, k in zip(zip(*out), kinds)]
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
 
+    return follow
 
-def replacements(docs: DataFrame, pattern: str, new: str) -> DataFrame:
-    """``docs`` (doc_id, text) with ``edits`` that replace every match of a pattern."""
 
+def _finder(pattern: str, new: str):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         search = re.compile(pattern).finditer
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(1).to_pylist()
             found = [[{"start": m.start(), "end": m.end(), "text": new} for m in search(text or "")] for text in texts]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, _EDITS)], names=["doc_id", "text", "edits"])
 
-    slim = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    return slim.mapInArrow(find, f"doc_id bigint, text string, edits {EDITS}")
+    return find
+
+
+def _slim(docs: DataFrame, *keep: str) -> DataFrame:
+    kinds = {"doc_id": F.col("doc_id").cast("bigint"), "text": F.col("text").cast("string")}
+    return pick(docs, "doc_id", "text", *keep).withColumns(kinds)
+
+
+def build_trees(docs: DataFrame, path: str | None = None, leaf: int = LEAF, *keep: str) -> DataFrame:
+    """The state of each document: text, leaf ends and sums; columns named in ``keep`` go along."""
+    slim = _slim(docs, *keep)
+    kinds = dict(slim.dtypes)
+    schema = ", ".join([TREES, *[f"{name} {kinds[name]}" for name in keep]])
+    return slim.mapInArrow(_builder(path or tokens.vocabulary(), leaf, keep), schema)
+
+
+def apply_edits(trees: DataFrame, path: str | None = None, state: bool = False) -> DataFrame:
+    """Counts before and after the column ``edits``; with ``state`` also the new text and tree."""
+    slim = trees.select("doc_id", "text", "leaf_ends", "sums", "edits")
+    schema = COUNTS + (", text string, leaf_ends array<int>, sums array<int>" if state else "")
+    return slim.mapInArrow(_follower(path or tokens.vocabulary(), state), schema)
+
+
+def replacements(docs: DataFrame, pattern: str, new: str) -> DataFrame:
+    """``docs`` (doc_id, text) with ``edits`` that replace every match of a pattern."""
+    return _slim(docs).mapInArrow(_finder(pattern, new), f"doc_id bigint, text string, edits {EDITS}")
+
+
+def counts_after(docs: DataFrame, pattern: str, new: str, path: str | None = None, leaf: int = LEAF) -> DataFrame:
+    """Trees of all documents and their counts after replacing a pattern, in one pass and one process per task."""
+    path = path or tokens.vocabulary()
+    find, build, follow = _finder(pattern, new), _builder(path, leaf, ("edits",)), _follower(path, False)
+    return _slim(docs).mapInArrow(lambda batches: follow(build(find(batches))), COUNTS)

@@ -122,6 +122,13 @@ def test_edit_counts(request, whole, table):
     assert Counter((r.doc_id, r.n_tokens_before, r.n_tokens, r.text) for r in rows.collect()) == expected
 
 
+def test_edit_counts_in_one_pass(odd, empty):
+    made = edits.replacements(odd, "[0-9]+", "0")
+    apart = edits.apply_edits(edits.build_trees(made, None, edits.LEAF, "edits"))
+    assert Counter(edits.counts_after(odd, "[0-9]+", "0").collect()) == Counter(apart.collect())
+    assert edits.counts_after(empty, "[0-9]+", "0").count() == 0
+
+
 def test_random_edits_keep_trees_right(whole):
     draw, pattern = random.Random(3), edits._leaves(3)
     count = lambda text: len(whole(text))
