@@ -4,7 +4,7 @@ Texts are vectors of hashed character n-grams, of length one. Families are found
 texts: languages with the most similar mean vectors are joined until about the square root of
 their number is left. A linear support vector machine per family picks the family; within it, one
 machine for each two languages votes. The machines are fitted on a bounded sample of ``SAMPLE``
-labelled texts, evenly over the languages and chosen by hash; whole texts are used throughout.
+distinct labelled texts, evenly over the languages and chosen by hash; whole texts are used throughout.
 
 Null texts and texts without a letter are ``und`` with score 0, and so is every text where no
 language could be learned. Null ids count as the empty text for the split and are predicted like
@@ -18,7 +18,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tenderlens.llm.common import pick, slices
 
@@ -118,9 +118,10 @@ class Discriminator:
 def learn(docs: DataFrame, training: Column, sample: int = SAMPLE, width: int = WIDTH) -> Discriminator | None:
     """Fit on texts of ``docs`` (doc_id, text, lang) where ``training`` holds and there is a language."""
     known = pick(docs, "doc_id", "text", "lang").filter(training & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    # Drawn by a hash of the text, so many ids or none make no difference; copies are drawn together.
-    unit = F.pmod(F.xxhash64(F.lit(5), "text"), F.lit(1 << 30)) / (1 << 30)
-    counts = known.groupBy("lang").agg(F.count("*").alias("texts")).orderBy(F.desc("texts"), "lang").limit(sample).collect()
+    # Drawn by a hash of the text, so many ids or none make no difference; copies count once.
+    known = known.withColumn("hash", F.xxhash64(F.lit(5), "text"))
+    unit = F.pmod("hash", F.lit(1 << 30)) / (1 << 30)
+    counts = known.select("lang", "hash").distinct().groupBy("lang").agg(F.count("*").alias("texts")).orderBy(F.desc("texts"), "lang").limit(sample).collect()
     if not counts:
         return None
     share = F.lit(0.0)
@@ -134,9 +135,11 @@ def learn(docs: DataFrame, training: Column, sample: int = SAMPLE, width: int =
             arrays = [pa.array([f[i] for f in found], kind) for i, kind in enumerate((pa.string(), pa.binary()))]
             yield pa.RecordBatch.from_arrays(arrays, names=["lang", "v"])
 
-    drawn = known.filter(unit < share).select("lang", "text").mapInArrow(vectors, "lang string, v binary")
-    # The draw is by hash, so it can pass its mean a little: the bound is twice that.
-    rows = drawn.limit(2 * sample).collect()
+    drawn = known.filter(unit < share).groupBy("lang", "hash").agg(F.min("text").alias("text"))
+    # The draw is by hash, so it can pass its mean a little: the bound is twice that in each language.
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("hash"))
+    drawn = drawn.withColumn("nth", nth).filter(F.col("nth") <= math.ceil(2 * sample / len(counts)))
+    rows = drawn.select("lang", "text").mapInArrow(vectors, "lang string, v binary").collect()
     rows.sort(key=lambda row: (row.lang, row.v))
     if not rows:
         return None
