@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tenderlens.llm import edits, language, mixing, ngrams, orcfiles, packing, private, quality, simhash, topk
+from tenderlens.llm import edits, interactions, language, maxsketch, mixing, ngrams, orcfiles, packing, private, quality, simhash, slack, topk
 from tenderlens.llm.common import pick, split_by_id
 
 QUERIES = {}
@@ -132,3 +132,91 @@ def op10(spark, folder):
     judged = quality.apply_policy(quality.ledger(table(spark, folder, "documents")))
     names = "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept".split()
     return pick(judged, *names)
+
+
+@query("op11_min_slack_packing")
+def op11(spark, folder):
+    packed = slack.pack(table(spark, folder, "documents"))
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+OP12_SQL = r"""
+with parsed as (
+  select doc_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda t: t <> '') as terms
+  from documents where text is not null
+), docs as (
+  select doc_id, terms, len(terms)::bigint as n from parsed where len(terms) > 0
+), totals as (
+  select count(*)::bigint as n_docs, sum(n)::bigint as n_terms from docs
+), tf as (
+  select doc_id, n, term, count(*)::bigint as tf from (select doc_id, n, unnest(terms) as term from docs) group by all
+), w as (
+  select term, floor(1000 * ln((2 * n_docs + 2)::double / (2 * count(*) + 1)::double))::bigint as weight from tf, totals group by term, n_docs
+), items as (
+  select item_id, unnest(list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda t: t <> '')) as term
+  from benchmark where text is not null
+), asked as (
+  select item_id, term, count(*)::bigint as many from items group by all
+), scored as (
+  select item_id, doc_id,
+    sum(many * weight * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * n_docs) // n_terms))))::bigint as score
+  from asked join tf using (term) join w using (term), totals
+  group by item_id, doc_id
+), ranked as (
+  select *, row_number() over (partition by item_id order by score desc, doc_id) as place from scored where score > 0
+)
+select item_id, place::int as "rank", doc_id, score from ranked where place <= 10
+"""
+
+
+@query("op12_ranked_search", OP12_SQL)
+def op12(spark, folder):
+    return maxsketch.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+OP13_SQL = r"""
+with texts as (
+  select doc_id, coalesce(source, '') as part, coalesce(text, '') as t from documents
+), firsts as (
+  select t, min(doc_id) as first from texts group by t
+), failed as (
+  select doc_id, part, len(w) < 50 as a, 100 * len(list_distinct(w)) < 65 * len(w) as b,
+    100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 5 * length(t) as c,
+    regexp_matches(t, '[#$%&*|]') as d, doc_id > first as e
+  from (select *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from texts) join firsts using (t)
+), docs as (
+  select part, a::int + 2 * b::int + 4 * c::int + 8 * d::int + 16 * coalesce(e, false)::int as mask,
+    coalesce(quality = 1, false) as good, coalesce(toxic = 1, false) as toxic
+  from failed left join labels using (doc_id)
+), masks as (
+  select part, mask, count(*)::bigint as n, count_if(good)::bigint as n_good, count_if(toxic)::bigint as n_toxic from docs group by part, mask
+), letters as (
+  select unnest(['A', 'B', 'C', 'D', 'E']) as l, unnest([1, 2, 4, 8, 16]) as bit
+), orders as (
+  select p.l || q.l || r.l || s.l || t.l as filter_order, [p.bit, q.bit, r.bit, s.bit, t.bit] as bits
+  from letters p join letters q on p.l <> q.l join letters r on r.l not in (p.l, q.l)
+    join letters s on s.l not in (p.l, q.l, r.l) join letters t on t.l not in (p.l, q.l, r.l, s.l)
+), steps as (
+  select filter_order, step::int as step, bits[step] as own, coalesce(list_sum(bits[1:step - 1]), 0)::int as before
+  from orders, (select unnest([1, 2, 3, 4, 5]) as step)
+), found as (
+  select part, filter_order, step, any_value(own) as own,
+    coalesce(sum(n) filter ((mask & (before | own)) = 0), 0)::bigint as kept,
+    coalesce(sum(n) filter ((mask & before) = 0 and (mask & own) <> 0), 0)::bigint as removed,
+    coalesce(sum(n) filter ((mask & before) <> 0 and (mask & own) <> 0), 0)::bigint as redundant,
+    coalesce(sum(n) filter (mask = own), 0)::bigint as unique_fails,
+    coalesce(sum(n_good) filter ((mask & before) = 0 and (mask & own) <> 0), 0)::bigint as good_lost,
+    coalesce(sum(n_toxic) filter ((mask & before) = 0 and (mask & own) <> 0), 0)::bigint as toxic_lost
+  from masks, steps group by part, filter_order, step
+), shares as (
+  select part, own, sum(removed)::bigint as shapley from found group by part, own
+)
+select part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, shapley from found join shares using (part, own)
+"""
+
+
+@query("op13_filter_audit", OP13_SQL)
+def op13(spark, folder):
+    return interactions.audit(interactions.flagged(table(spark, folder, "documents")), table(spark, folder, "labels"))
