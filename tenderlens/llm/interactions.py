@@ -116,7 +116,7 @@ def sketch(hashes: DataFrame, segments: int, cells: int = SEGMENT, probes: int =
             places, counts = zip(*rows) if rows else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(owner, pa.int64()), pa.array(places, pa.binary()), pa.array(counts, pa.binary())], names=["segment", "places", "many"])
 
-    def merged(key, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def merged(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(cells, np.uint8)
         for batch in batches:
             for places, many in zip(batch.column("places"), batch.column("many")):
@@ -140,15 +140,12 @@ def repeated(hashes: DataFrame, sketches: DataFrame, segments: int, cells: int =
             chunks = [own[part].tobytes() for part in np.split(order, begins[1:])] if len(own) else []
             yield pa.RecordBatch.from_arrays([pa.array(owner, pa.int64()), pa.array(chunks, pa.binary())], names=["segment", "hashes"])
 
-    def asked(asking: Iterator[pa.RecordBatch], answering: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = [np.frombuffer(row.as_buffer(), np.uint8) for batch in answering for row in batch.column("counts")]
-        seen = np.zeros(0, np.int64)
-        for batch in asking:
-            for row in batch.column("hashes"):
-                own = np.frombuffer(row.as_buffer(), np.int64)
-                _, at = _cells(own, segments, cells, probes)
-                seen = np.union1d(seen, own[(counts[0][at] > 1).all(axis=1)])
-        yield pa.RecordBatch.from_arrays([pa.array(seen)], names=["hash"])
+    def asked(asking: pa.Table, answering: pa.Table) -> pa.Table:
+        counts = np.frombuffer(answering.column("counts")[0].as_buffer(), np.uint8)
+        # The distinct hashes of a segment are as few as its cells allow.
+        own = np.unique(np.concatenate([np.frombuffer(row.as_buffer(), np.int64) for row in asking.column("hashes")]))
+        _, at = _cells(own, segments, cells, probes)
+        return pa.table({"hash": own[(counts[at] > 1).all(axis=1)]})
 
     questions = hashes.mapInArrow(packed, "segment bigint, hashes binary")
     return materialise(questions.groupBy("segment").cogroup(sketches.groupBy("segment")).applyInArrow(asked, "hash bigint"), "repeated")
