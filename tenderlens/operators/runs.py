@@ -1,8 +1,9 @@
 """Stored runs: result rows, run metadata, and the queries over both.
 
-Result rows live in a Parquet table partitioned by ``run_id``; metadata in a second
-table. Rows are written first and metadata last, so a run is visible once complete:
-readers that span runs join the rows to the metadata.
+Result rows live in a Parquet table with a folder per ``run_id``; metadata in a second
+table. A run is written to a staging folder of its own. Its rows are then moved to their place,
+and one rename of its metadata publishes it: readers join the rows to the metadata. A store that broke
+off anywhere leaves nothing that is read, and the next one under the same id starts afresh.
 """
 
 import json
@@ -19,6 +20,7 @@ from tenderlens.schema import (
     STORED_VALUE_NAMES,
     TYPE_NAMES,
 )
+from tenderlens.sources.csvfiles import write_csv
 
 
 def result_rows(df: DataFrame, run_id: Column) -> DataFrame:
@@ -42,11 +44,21 @@ class RunStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.rows_path, self.runs_path = f"{root}/procurement_results", f"{root}/model_runs"
+        self.staging_path = f"{root}/_staging"
+
+    def _files(self):
+        """Hadoop's path class and the file system of the store."""
+        Path = self.spark._jvm.org.apache.hadoop.fs.Path
+        return Path, Path(self.rows_path).getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _folder(self, table: str, run_id: str):
+        """The folder of a run in a table, named as Spark names partitions."""
+        escaped = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(run_id)
+        return self._files()[0](f"{table}/run_id={escaped}")
 
     def _read(self, path: str, schema: str) -> DataFrame:
-        hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        system = hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not system.exists(hadoop_path):
+        Path, system = self._files()
+        if not system.exists(Path(path)):
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(path)
 
@@ -60,15 +72,24 @@ class RunStore:
         return self._read(self.rows_path, RESULT_SCHEMA).join(self.runs.select("run_id"), "run_id", "left_semi")
 
     def store(self, model_type, df, parameters=None, notes=None, executed_at=None, run_id=None) -> str:
-        """Append one run and return its id."""
+        """Store one run and return its id.
+
+        A run that is stored already stays as it is, so a call may be repeated under its id. One id
+        is written by one caller at a time.
+        """
         run_id = run_id or str(uuid.uuid4())
-        result_rows(df, F.lit(run_id)).write.mode("append").partitionBy("run_id").parquet(self.rows_path)
-        written = self._read(self.rows_path, RESULT_SCHEMA).filter(F.col("run_id") == run_id)
-        metadata = written.agg(
+        Path, system = self._files()
+        if system.exists(self._folder(self.runs_path, run_id)):
+            return run_id
+        staged = self._folder(self.staging_path, run_id)
+        system.delete(staged, True)
+        rows, metadata = f"{staged}/rows", f"{staged}/run"
+        result_rows(df, F.lit(run_id)).drop("run_id").write.parquet(rows)
+        written = self.spark.read.schema(RESULT_SCHEMA).parquet(rows)
+        found = written.agg(
             F.count("*").alias("record_count"),
             F.coalesce(F.sum(F.col("is_outlier").cast("bigint")), F.lit(0)).alias("outlier_count"),
         ).select(
-            F.lit(run_id).alias("run_id"),
             F.lit(model_type).alias("model_type"),
             F.lit(json.dumps(parameters) if parameters else None).cast("string").alias("parameters"),
             S.stamp(executed_at).alias("execution_date"),
@@ -77,15 +98,25 @@ class RunStore:
             S.percent(F.col("outlier_count"), F.col("record_count")).alias("outlier_percentage"),
             F.lit(notes).cast("string").alias("notes"),
         )
-        metadata.coalesce(1).write.mode("append").partitionBy("run_id").parquet(self.runs_path)
+        found.coalesce(1).write.parquet(metadata)
+        for source, table in ((rows, self.rows_path), (metadata, self.runs_path)):
+            self._move(system, Path(source), self._folder(table, run_id))
+        system.delete(staged, True)
         return run_id
 
+    def _move(self, system, source, target) -> None:
+        """Put a folder in its place; rows that an unpublished store left there go."""
+        system.delete(target, True)
+        system.mkdirs(target.getParent())
+        if not system.rename(source, target):
+            raise OSError(f"cannot move {source} to {target}")
+
     def export_csv(self, run_id: str, path: str) -> bool:
         """Write the rows of one run as CSV; False, and no files, for an empty run."""
         rows = run_rows(self.rows, run_id)
         if rows.isEmpty():
             return False
-        rows.write.option("header", True).csv(path)
+        write_csv(rows, path)
         return True
 
     def remove_old(self, days_to_keep: int = 30, as_of: str | None = None) -> int:
@@ -96,12 +127,11 @@ class RunStore:
         deletes leaves whole runs, and the next call goes on.
         """
         expired = expired_runs(self.runs, days_to_keep, as_of).select("run_id")
-        Path = self.spark._jvm.org.apache.hadoop.fs.Path
-        system = Path(self.rows_path).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        _, system = self._files()
         gone = 0
         for row in expired.toLocalIterator():
             for table in (self.runs_path, self.rows_path):
-                self._drop(system, Path(f"{table}/run_id={row.run_id}"))
+                self._drop(system, self._folder(table, row.run_id))
             gone += 1
         return gone
 

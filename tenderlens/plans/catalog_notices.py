@@ -6,7 +6,7 @@ from tenderlens.functions import scalars as S
 from tenderlens.operators import cleaning, summaries
 from tenderlens.plans.oracle import FLAGGED, NOTICES, VALUED, select
 from tenderlens.plans.register import query
-from tenderlens.session import materialise
+from tenderlens.session import materialise, scratch_path
 from tenderlens.sources import pages, tables
 
 
@@ -75,10 +75,12 @@ def p4(spark, folder):
 
 @query(
     "p4_single_page",
-    select(NOTICES, f"select notice_id, {_DAY} from n order by publication_date, notice_id limit 100 offset 200"),
+    select(NOTICES, f"select notice_id, {_DAY} from n order by publication_date, notice_id limit 100 offset 12300"),
 )
 def p4_single(spark, folder):
-    return pages.page(tables.notices(spark, folder), 3).select(notice_id(), publication_day())
+    """Page 124 of an index."""
+    index = pages.PageIndex.build(tables.notices(spark, folder), scratch_path(spark, "page_index"))
+    return index.page(124).select(notice_id(), publication_day())
 
 
 @query(

@@ -26,6 +26,9 @@ def rounded(df, **places):
 _ROW = "run_id, notice_id, round(value_eur, 6) value_eur, country, notice_type, is_outlier, round(anomaly_score, 4) anomaly_score"
 
 
+_AWKWARD_SQL = "case when notice_type = 'unknown' then notice_type else '\"' || notice_type || '\",' || chr(10) || 'or \"so\"' end notice_type"
+
+
 def shown(rows):
     return rounded(rows, value_eur=6, anomaly_score=4)
 
@@ -135,10 +138,18 @@ def s8(spark, folder):
     return rounded(store.runs, outlier_percentage=6).join(total, "run_id")
 
 
-@query("s9_export", select(RESULTS, f"select {_ROW.replace('run_id, ', '')} from r"))
+@query(
+    "s9_export",
+    select(
+        RESULTS,
+        f"select {_ROW.replace('run_id, ', '').replace('notice_type', _AWKWARD_SQL)} from r",
+    ),
+)
 def s9(spark, folder):
+    """Notice types hold a quote, a comma and a line break each."""
     store = runs.RunStore(spark, scratch_path(spark, "store"))
-    run_id = store.store("dbscan", tables.scored_notices(spark, folder), executed_at=AS_OF)
+    awkward = F.concat(F.lit('"'), S.col("notice-type"), F.lit('",\nor "so"'))
+    run_id = store.store("dbscan", tables.scored_notices(spark, folder).withColumn("notice-type", awkward), executed_at=AS_OF)
     path = scratch_path(spark, "export")
     store.export_csv(run_id, path)
     schema = (

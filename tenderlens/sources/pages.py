@@ -2,7 +2,7 @@
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from tenderlens.functions import scalars as S
 from tenderlens.schema import REQUESTED_FIELDS
@@ -12,30 +12,60 @@ PAGE_ROWS = 100
 MAX_PAGES = 5
 
 
+_REJECTED = "_rejected_page"
+
+
 def read_pages(
-    spark: SparkSession, path: str, notice_schema: T.StructType | None = None, page_per_line: bool = False
+    spark: SparkSession,
+    path: str,
+    notice_schema: T.StructType | None = None,
+    page_per_line: bool = False,
+    most_rejected: float = 0.0,
+    rejected_path: str | None = None,
 ) -> DataFrame:
     """One row per notice of the ``{"notices": [...]}`` documents below ``path``.
 
     A document is one page of bounded size: a file of its own, or with ``page_per_line``
     one line, which keeps large files splittable. Pages without notices give no rows.
-    Without ``notice_schema`` the fields are inferred, which reads the pages twice.
+    Without ``notice_schema`` the fields are inferred, which reads the pages once more.
+
+    Pages that cannot be read, as a whole or in their notices, are counted first. The read fails if their share is
+    above ``most_rejected``; otherwise their texts are written to ``rejected_path``, and the rest is read.
     """
     reader = spark.read.option("multiLine", not page_per_line)
-    if notice_schema is not None:
-        reader = reader.schema(T.StructType([T.StructField("notices", T.ArrayType(notice_schema))]))
-    pages = reader.json(path)
-    if "notices" not in pages.columns or not isinstance(pages.schema["notices"].dataType, T.ArrayType):
-        return spark.createDataFrame([], "`notice-identifier` string")
-    return pages.select(F.explode("notices").alias("notice")).select("notice.*")
+    if notice_schema is None:
+        found = reader.json(path).schema
+        kind = found["notices"].dataType if "notices" in found.names else None
+        kind = kind if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType) else None
+        kind = kind or T.ArrayType(T.StructType([T.StructField("notice-identifier", T.StringType())]))
+    else:
+        kind = T.ArrayType(notice_schema)
+    schema = T.StructType([T.StructField("notices", kind), T.StructField(_REJECTED, T.StringType())])
+    pages = reader.option("columnNameOfCorruptRecord", _REJECTED).schema(schema).json(path)
+    bad = F.col(_REJECTED).isNotNull()
+    counts = pages.agg(F.count("*").alias("pages"), F.count_if(bad).alias("rejected"), F.count("notices")).first()
+    if counts.rejected:
+        if counts.rejected > most_rejected * counts.pages:
+            raise ValueError(f"{counts.rejected} of {counts.pages} pages below {path} cannot be read")
+        if rejected_path:
+            in_part = F.col("notices").isNotNull().alias("read_in_part")
+            aside = pages.filter(bad).select(F.col("_metadata.file_path").alias("file"), in_part, F.col(_REJECTED).alias("page"))
+            aside.write.mode("append").json(rejected_path)
+    return pages.filter(~bad).select(F.explode("notices").alias("notice")).select("notice.*")
 
 
 def _as_text(value: Column, kind: T.DataType) -> Column:
     if isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):
         return F.to_json(value)
+    if isinstance(kind, T.BooleanType):
+        return F.when(value, "True").when(~value, "False")
     return value.cast("string")
 
 
+def _item_text(kind: T.DataType):
+    return lambda item: _as_text(item, kind)
+
+
 def flatten(df: DataFrame) -> DataFrame:
     """Structs one level deep become ``outer.inner`` columns, lists pipe-joined text."""
     out = []
@@ -48,8 +78,7 @@ def flatten(df: DataFrame) -> DataFrame:
                     leaf = F.to_json(leaf)
                 out.append(leaf.alias(f"{field.name}.{inner.name}"))
         elif isinstance(field.dataType, T.ArrayType):
-            kind = field.dataType.elementType
-            texts = F.transform(value, lambda item, kind=kind: _as_text(item, kind))
+            texts = F.transform(value, _item_text(field.dataType.elementType))
             out.append(F.array_join(texts, "|", "None").alias(field.name))
         else:
             out.append(value.alias(field.name))
@@ -94,6 +123,42 @@ def page(df: DataFrame, number: int, rows: int = PAGE_ROWS) -> DataFrame:
     return df.orderBy("publication-date", "notice-identifier").offset((number - 1) * rows).limit(rows)
 
 
+class PageIndex:
+    """A table kept in date and id order, of which any page is read without the pages before it.
+
+    Rows are dealt out into ranges of the order and carry their place within their range; a small table has the
+    number of rows before each range. Rows that agree in date and id follow each other by their other values. A page
+    reads the ranges it lies in, and of those only the places it covers.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.rows_path, self.ranges_path = spark, f"{path}/rows", f"{path}/ranges"
+
+    @classmethod
+    def build(cls, df: DataFrame, path: str) -> "PageIndex":
+        index = cls(df.sparkSession, path)
+        keys = [S.col("publication-date"), S.col("notice-identifier"), F.xxhash64(*[S.col(name) for name in df.columns])]
+        ordered = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+        place = F.monotonically_increasing_id() % (1 << 33)
+        ordered.withColumns({"_range": F.spark_partition_id(), "_place": place}).write.partitionBy("_range").parquet(index.rows_path)
+        counts = df.sparkSession.read.parquet(index.rows_path).groupBy("_range").agg(F.count("*").alias("rows"))
+        # One row per range.
+        before = F.sum("rows").over(Window.orderBy("_range")) - F.col("rows")
+        counts.withColumn("before", before).coalesce(1).write.parquet(index.ranges_path)
+        return index
+
+    def page(self, number: int, rows: int = PAGE_ROWS) -> DataFrame:
+        """Page ``number``, from 1; pages beyond the last are empty."""
+        begin, end = (number - 1) * rows, number * rows
+        ranges = self.spark.read.parquet(self.ranges_path).filter((F.col("before") < end) & (F.col("before") + F.col("rows") > begin))
+        places = [
+            (F.col("_range") == r["_range"]) & (F.col("_place") >= max(0, begin - r.before)) & (F.col("_place") < end - r.before)
+            for r in ranges.collect()  # each has a row of the page at least
+        ]
+        stored = self.spark.read.parquet(self.rows_path)
+        return stored.filter(reduce(lambda a, b: a | b, places, F.lit(False))).orderBy("_range", "_place").drop("_range", "_place")
+
+
 def union_pages(pages: list[DataFrame]) -> DataFrame:
     """All rows of all pages, duplicates kept, over the union of their columns."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), pages)

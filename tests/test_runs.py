@@ -1,6 +1,8 @@
 import pytest
 
 from tenderlens.operators import runs, summaries
+from tenderlens.schema import RESULT_SCHEMA
+from tenderlens.sources import csvfiles
 
 ROWS = [
     ("N123", 1000.0, "DE", "Contract notice", False, 0.3),
@@ -97,6 +99,47 @@ def test_export(spark, store, tmp_path):
     assert not (tmp_path / "empty").exists()
 
 
+def test_export_of_awkward_texts(spark, store, tmp_path):
+    rows = [('a "b", c', 1.0, "D,E", "two\nlines", True, 0.5), ("#1", 2.0, '"', ",", False, 0.25), ("plain", 3.0, None, None, False, 0.0)]
+    run_id = store.store("kmeans", spark.createDataFrame(rows, SCHEMA))
+    assert store.export_csv(run_id, str(tmp_path / "csv")) is True
+    back = csvfiles.read_csv(spark, str(tmp_path / "csv"), RESULT_SCHEMA)
+    assert sorted(map(repr, back.select(store.rows.columns).collect())) == sorted(map(repr, store.rows.collect()))
+
+
+@pytest.mark.parametrize("step", ["rows", "metadata", "move rows", "move metadata"])
+def test_a_store_that_breaks_off_and_is_retried(spark, store, monkeypatch, step):
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    whole, moved = runs.RunStore._move, []
+
+    def move(self, system, source, target):
+        moved.append(target)
+        if step == ("move rows", "move metadata")[len(moved) - 1]:
+            raise OSError("lost")
+        whole(self, system, source, target)
+
+    def lost(*args):
+        raise OSError("lost")
+
+    if step.startswith("move"):
+        monkeypatch.setattr(runs.RunStore, "_move", move)
+    else:
+        monkeypatch.setattr(runs, "result_rows" if step == "rows" else "write_csv", lost)
+        if step == "metadata":
+            monkeypatch.setattr(runs.S, "stamp", lost)
+    with pytest.raises(OSError):
+        store.store("kmeans", df, run_id="a/b:c")
+    monkeypatch.undo()
+    assert store.rows.count() == 0 and store.runs.count() == 0
+    for _ in range(2):
+        assert store.store("kmeans", df, run_id="a/b:c") == "a/b:c"
+        assert [(r.run_id, r.record_count) for r in store.runs.collect()] == [("a/b:c", 3)]
+        assert sorted(r.notice_id for r in store.rows.collect()) == ["N123", "N124", "N125"]
+        assert runs.rows_with_runs(store.rows, store.runs).count() == 3
+    store.store("kmeans", df, executed_at="2024-01-01 08:00:00", run_id="d")
+    assert store.remove_old(30, "2024-04-01") == 1 and store.rows.count() == 3
+
+
 def test_empty_run(spark, store):
     run_id = store.store("kmeans", spark.createDataFrame([], SCHEMA))
     row = store.runs.first()
