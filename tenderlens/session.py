@@ -1,7 +1,9 @@
 """Session settings and the shared scratch area."""
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -40,9 +42,36 @@ def _own_folder(spark: SparkSession) -> str:
     return f"{scratch_root(spark)}/tenderlens-{spark.sparkContext.applicationId}"
 
 
+_SCOPES: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch_scope() -> Iterator[list[str]]:
+    """A list of the folders that :func:`scratch_path` names within the block."""
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield made
+    finally:
+        _SCOPES.remove(made)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{_own_folder(spark)}/{uuid.uuid4().hex}/{name}"
+    folder = f"{_own_folder(spark)}/{uuid.uuid4().hex}"
+    for made in _SCOPES:
+        made.append(folder)
+    return f"{folder}/{name}"
+
+
+def drop_folders(spark: SparkSession, folders: list[str], still_read: DataFrame | None = None) -> list[str]:
+    """Delete intermediate folders, but for those that ``still_read`` reads; returns what is left."""
+    read = {part for path in (still_read.inputFiles() if still_read is not None else ()) for part in path.split("/")}
+    left = [folder for folder in folders if folder.rsplit("/", 1)[-1] in read]
+    for folder in set(folders) - set(left):
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return left
 
 
 def drop_scratch(spark: SparkSession) -> None:
