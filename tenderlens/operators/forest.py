@@ -3,6 +3,9 @@
 Every tree learns from at most 256 rows, so the whole forest is a node table of at
 most trees * 511 rows whatever the size of the training table. Only that table goes
 to the driver and to the executors.
+
+A row has its numbers and one code per text column. A split on a code asks whether a row has it, as a split on that
+category's 0/1 column would: each category that some rows of a node have and others have not counts as one feature.
 """
 
 import math
@@ -15,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tenderlens.functions import scalars as S
 from tenderlens.functions.quantiles import exact_quantile, sample_rows
-from tenderlens.operators.features import FeatureState, with_features
+from tenderlens.operators.features import FeatureState, with_codes
 from tenderlens.session import materialise, spread
 
 TREES = 100
@@ -26,13 +29,17 @@ NODE_SCHEMA = "tree int, node int, feature int, split double, size bigint"
 
 @dataclass
 class ForestState:
-    """Trees in heap order (children of node i are 2i+1 and 2i+2), sample size, threshold."""
+    """Trees in heap order (children of node i are 2i+1 and 2i+2), sample size, threshold.
+
+    Features from ``first_code`` on are codes: rows equal to the split go right. None: there are no codes.
+    """
 
     nodes: pd.DataFrame
     sample_rows: int
     contamination: float
     seed: int
     offset: float | None = None
+    first_code: int | None = None
 
     def to_dict(self):
         data = asdict(self)
@@ -75,32 +82,47 @@ def tree_samples(df: DataFrame, key: str, trees: int, rows: int, total: int, see
     return numbered.select("tree", F.col("number").alias("place"), "features")
 
 
-def grow(points: np.ndarray, rng: np.random.Generator, limit: int):
+def grow(points: np.ndarray, rng: np.random.Generator, limit: int, first_code: int | None = None):
     """Nodes (node, feature, split, size) of one tree: a random varying feature and a uniform split per node."""
+    numbers = points.shape[1] if first_code is None else first_code
     nodes = []
     stack = [(0, 0, np.arange(len(points)))]
     while stack:
         node, depth, at = stack.pop()
-        low, high = points[at].min(axis=0), points[at].max(axis=0)
-        varying = np.flatnonzero(high > low)
-        if depth >= limit or len(at) <= 1 or not len(varying):
+        own = points[at]
+        low, high = own[:, :numbers].min(axis=0), own[:, :numbers].max(axis=0)
+        varying = [(int(f), None) for f in np.flatnonzero(high > low)]
+        for column in range(numbers, points.shape[1]):
+            present = np.unique(own[:, column])
+            if len(present) > 1:
+                varying += [(column, code) for code in present]
+        if depth >= limit or len(at) <= 1 or not varying:
             nodes.append((node, -1, 0.0, len(at)))
             continue
-        feature = rng.choice(varying)
-        split = rng.uniform(low[feature], high[feature])
-        if split >= high[feature]:
-            split = low[feature]
-        nodes.append((node, int(feature), float(split), len(at)))
-        lower = points[at, feature] <= split
+        feature, code = varying[rng.integers(len(varying))]
+        if code is None:
+            split = rng.uniform(low[feature], high[feature])
+            if split >= high[feature]:
+                split = low[feature]
+            lower = own[:, feature] <= split
+        else:
+            split, lower = code, own[:, feature] != code
+        nodes.append((node, feature, float(split), len(at)))
         stack.append((2 * node + 2, depth + 1, at[~lower]))
         stack.append((2 * node + 1, depth + 1, at[lower]))
     return nodes
 
 
 def fit_trees(
-    df: DataFrame, key: str, trees: int = TREES, rows: int = SAMPLE_ROWS, contamination: float = 0.05, seed: int = 42
+    df: DataFrame,
+    key: str,
+    trees: int = TREES,
+    rows: int = SAMPLE_ROWS,
+    contamination: float = 0.05,
+    seed: int = 42,
+    first_code: int | None = None,
 ) -> ForestState:
-    """Grow the trees from rows with ``features``; the threshold is set by :func:`set_offset`."""
+    """Grow the trees from rows with ``features``, codes from place ``first_code`` on; :func:`set_offset` sets the threshold."""
     total = df.count()
     if not total:
         raise ValueError("no rows to train on")
@@ -112,7 +134,7 @@ def fit_trees(
     def build(group):
         group = group.sort_values("place")
         tree = int(group.tree.iloc[0])
-        grown = grow(np.vstack(group.features.to_numpy()), np.random.default_rng([seed, tree]), limit)
+        grown = grow(np.vstack(group.features.to_numpy()), np.random.default_rng([seed, tree]), limit, first_code)
         frame = pd.DataFrame(grown, columns=["node", "feature", "split", "size"])
         frame.insert(0, "tree", tree)
         return frame
@@ -124,7 +146,7 @@ def fit_trees(
     tasks = min(trees, df.sparkSession.sparkContext.defaultParallelism)
     nodes = samples.repartition(tasks, "tree").groupBy("tree").applyInPandas(build, NODE_SCHEMA).toPandas()
     nodes = nodes.sort_values(["tree", "node"], ignore_index=True)
-    return ForestState(nodes, rows, contamination, seed)
+    return ForestState(nodes, rows, contamination, seed, first_code=first_code)
 
 
 def _tables(nodes: pd.DataFrame, depth: int):
@@ -148,15 +170,20 @@ def _tables(nodes: pd.DataFrame, depth: int):
     return depth, feature, split, path
 
 
-def mean_path(points: np.ndarray, tables) -> np.ndarray:
+def mean_path(points: np.ndarray, tables, first_code: int | None = None) -> np.ndarray:
     depth, feature, split, path = tables
     flat, base = points.ravel(), np.arange(len(points)) * points.shape[1]
     total = np.zeros(len(points))
     for tree_feature, tree_split, tree_path in zip(feature, split, path):
         at = np.zeros(len(points), dtype=np.int64)
+        coded = first_code is not None and (tree_feature >= first_code).any()
         for _ in range(depth):
-            value = flat.take(base + tree_feature.take(at))
-            at = 2 * at + 1 + (value > tree_split.take(at))
+            own = tree_feature.take(at)
+            value, against = flat.take(base + own), tree_split.take(at)
+            right = value > against
+            if coded:
+                right = np.where(own >= first_code, value == against, right)
+            at = 2 * at + 1 + right
         total += tree_path.take(at)
     return total / len(feature)
 
@@ -164,6 +191,7 @@ def mean_path(points: np.ndarray, tables) -> np.ndarray:
 def score_column(df: DataFrame, state: ForestState) -> Column:
     """-2 ** (-mean path / expected path): lower is more anomalous."""
     tables = df.sparkSession.sparkContext.broadcast(_tables(state.nodes, depth_limit(state.sample_rows)))
+    first_code = state.first_code
     expected = float(average_path(state.sample_rows)) or 1.0
 
     @F.arrow_udf("double")
@@ -171,7 +199,7 @@ def score_column(df: DataFrame, state: ForestState) -> Column:
         if not len(features):
             return pa.array([], pa.float64())
         points = features.flatten().to_numpy(zero_copy_only=False).reshape(len(features), -1)
-        return pa.array(-np.exp2(-mean_path(points, tables.value) / expected))
+        return pa.array(-np.exp2(-mean_path(points, tables.value, first_code) / expected))
 
     return score(F.col("features"))
 
@@ -208,13 +236,13 @@ def train(
     seed: int = 42,
 ) -> ForestState:
     """Fit trees and threshold on ``df``, or on exactly ``sample_size`` of its rows."""
-    matrix = with_features(df, features).select(F.col(f"`{key}`").alias(key), "features")
+    matrix = with_codes(df, features).select(F.col(f"`{key}`").alias(key), "features")
     if sample_size:
         matrix = sample_rows(matrix, F.col(f"`{key}`"), sample_size, seed)
     matrix = spread(materialise(matrix, "matrix"))
-    return set_offset(matrix, fit_trees(matrix, key, trees, SAMPLE_ROWS, contamination, seed))
+    return set_offset(matrix, fit_trees(matrix, key, trees, SAMPLE_ROWS, contamination, seed, len(features.numeric)))
 
 
 def predict(df: DataFrame, features: FeatureState, state: ForestState, as_of: str | None = None) -> DataFrame:
-    scored = decide(with_features(df, features), state)
+    scored = decide(with_codes(df, features), state)
     return annotate(scored, F.col("decision"), F.col("decision") < 0, as_of).drop("features", "decision")

@@ -1,6 +1,7 @@
 """Queries over feature rows and points: features, forest, KMeans, density clustering."""
 
 import pandas as pd
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tenderlens.functions import scalars as S
@@ -134,8 +135,9 @@ _SIZES = ("large", "micro", "small", "sme", "unknown")
 )
 def f6(spark, folder):
     rows = feature_table(spark, folder)
-    coded = features.with_features(rows, features.fit(rows, [], ["primary-bidder-size"]))
-    return coded.select(notice_id(), *[F.col("features")[i].alias(f"size_{s}") for i, s in enumerate(_SIZES)])
+    coded = features.with_vectors(rows, features.fit(rows, [], ["primary-bidder-size"]))
+    places = vector_to_array("features")
+    return coded.select(notice_id(), *[places[i].alias(f"size_{s}") for i, s in enumerate(_SIZES)])
 
 
 _HOT = (
@@ -156,8 +158,8 @@ _HOT = (
 )
 def f7(spark, folder):
     rows = feature_table(spark, folder)
-    z = F.col("features")
-    coded = features.with_features(rows, features.fit(rows, *features.model_features(rows)))
+    z = vector_to_array("features")
+    coded = features.with_vectors(rows, features.fit(rows, *features.model_features(rows)))
     hot = F.array_position(F.slice(z, F.lit(5), F.size(z) - 4), 1.0).alias("hot")
     return coded.select(notice_id(), *[F.round(z[i], 6).alias(f"z{i}") for i in range(4)], hot, F.size(z).alias("width"))
 
@@ -175,8 +177,8 @@ def f7(spark, folder):
 def f8(spark, folder):
     rows = feature_table(spark, folder)
     state = features.fit(rows, *features.model_features(rows))
-    coded = features.with_features(rows.drop("discount", "notice-type"), state)
-    z = F.col("features")
+    coded = features.with_vectors(rows.drop("discount", "notice-type"), state)
+    z = vector_to_array("features")
     hot = F.size(F.filter(F.slice(z, F.lit(5), F.size(z) - 4), lambda v: v == 1.0)).alias("hot")
     return coded.select(notice_id(), F.round(z[0], 6).alias("z0"), F.round(z[3], 6).alias("z3"), hot, F.size(z).alias("width"))
 
@@ -224,7 +226,7 @@ def forest_inputs(spark, folder):
 def m1(spark, folder):
     """Per tree: every tree holds its whole sample in its leaves and stays within the depth limit."""
     rows, state = forest_inputs(spark, folder)
-    trained = forest.fit_trees(features.with_features(rows, state), KEY)
+    trained = forest.fit_trees(features.with_codes(rows, state), KEY, first_code=len(state.numeric))
     nodes = spark.createDataFrame(trained.nodes, forest.NODE_SCHEMA)
     deepest = 2 ** (forest.depth_limit(trained.sample_rows) + 1) - 2
     return nodes.groupBy("tree").agg(
@@ -237,8 +239,8 @@ def m1(spark, folder):
 @query("m2_forest_score")
 def m2(spark, folder):
     rows, state = forest_inputs(spark, folder)
-    matrix = spread(materialise(features.with_features(rows, state), "matrix"))
-    trained = forest.fit_trees(matrix, KEY)
+    matrix = spread(materialise(features.with_codes(rows, state), "matrix"))
+    trained = forest.fit_trees(matrix, KEY, first_code=len(state.numeric))
     return matrix.select(notice_id(), F.round(forest.score_column(matrix, trained), 9).alias("score"))
 
 
@@ -307,7 +309,7 @@ def _fixed_forest_sql() -> str:
 @query("m2_fixed_forest", select(FEATURES, _fixed_forest_sql(), *_FILLED))
 def m2_fixed(spark, folder):
     rows = feature_table(spark, folder)
-    coded = features.with_features(rows, features.fit(rows, *features.model_features(rows)))
+    coded = features.with_codes(rows, features.fit(rows, *features.model_features(rows)))
     numbers = coded.withColumn("features", F.slice("features", 1, 4))
     return numbers.select(notice_id(), F.round(forest.score_column(numbers, _fixed_forest()), 9).alias("score"))
 

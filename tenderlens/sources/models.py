@@ -1,10 +1,10 @@
-"""Saved models: one folder per version with a JSON document and, for a forest, the node table."""
+"""Saved models: one folder per version with a JSON document, the categories of text features and, for a forest, the node table."""
 
 import json
 
 from pyspark.sql import SparkSession
 
-from tenderlens.operators.features import FeatureState
+from tenderlens.operators.features import CATEGORIES, FeatureState
 from tenderlens.operators.forest import NODE_SCHEMA, ForestState
 from tenderlens.operators.kmeans import KMeansState
 
@@ -22,10 +22,23 @@ def exists(spark: SparkSession, path: str) -> bool:
     return document.getFileSystem(spark._jsc.hadoopConfiguration()).exists(document)
 
 
+def _save_features(spark: SparkSession, path: str, features: FeatureState) -> dict:
+    """The categories go to the model's folder; returns what the document holds."""
+    if features.categories:
+        table = spark.read.schema(CATEGORIES).parquet(features.categories)
+        table.write.partitionBy("feature").parquet(f"{path}/categories")
+    return features.to_dict()
+
+
+def _load_features(path: str, data: dict) -> FeatureState:
+    """Categories lie beside the document, wherever the folder is now."""
+    return FeatureState.from_dict({**data, "categories": f"{path}/categories" if data["categories"] else None})
+
+
 def save_forest(spark: SparkSession, path: str, features: FeatureState, state: ForestState, trained_at: str) -> str:
     """Write the model and return its folder; the node table goes first, so a model with a document is whole."""
     spark.createDataFrame(state.nodes, NODE_SCHEMA).coalesce(1).write.parquet(f"{path}/nodes")
-    document = {"features": features.to_dict(), "forest": state.to_dict(), "trained_at": trained_at}
+    document = {"features": _save_features(spark, path, features), "forest": state.to_dict(), "trained_at": trained_at}
     save_document(spark, path, document)
     return path
 
@@ -33,7 +46,7 @@ def save_forest(spark: SparkSession, path: str, features: FeatureState, state: F
 def load_forest(spark: SparkSession, path: str) -> tuple[FeatureState, ForestState]:
     document = load_document(spark, path)
     nodes = spark.read.schema(NODE_SCHEMA).parquet(f"{path}/nodes").orderBy("tree", "node").toPandas()
-    return FeatureState.from_dict(document["features"]), ForestState(nodes=nodes, **document["forest"])
+    return _load_features(path, document["features"]), ForestState(nodes=nodes, **document["forest"])
 
 
 def save_clustering(
@@ -47,7 +60,7 @@ def save_clustering(
     min_samples: int | None = None,
 ) -> str:
     document = {
-        "features": features.to_dict(),
+        "features": _save_features(spark, path, features),
         "method": method,
         "kmeans": kmeans.to_dict() if kmeans else None,
         "eps": eps,
@@ -60,7 +73,7 @@ def save_clustering(
 
 def load_clustering(spark: SparkSession, path: str) -> dict:
     document = load_document(spark, path)
-    document["features"] = FeatureState.from_dict(document["features"])
+    document["features"] = _load_features(path, document["features"])
     if document["kmeans"]:
         document["kmeans"] = KMeansState(**document["kmeans"])
     return document

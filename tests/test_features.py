@@ -1,4 +1,7 @@
+import json
+
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -38,12 +41,16 @@ def test_matrix(spark):
     )
     state = features.fit(df, ["x", "empty", "constant"], ["kind"])
     assert state.numeric["x"][0] == 2.5 and "empty" not in state.numeric
-    assert state.categorical == {"kind": ("a", ["a", "b"])}
+    assert state.categorical == {"kind": ("a", 2)}
+    assert sorted((r.value, r.code) for r in spark.read.parquet(state.categories).collect()) == [("a", 0), ("b", 1)]
     filled = np.array([1, 2, 4, 2.5, 3])
     z = (filled - filled.mean()) / filled.std()
     got = [r.features for r in features.with_features(df, state).collect()]
     expected = [[z[0], 0, 0, 1], [z[1], 0, 1, 0], [z[2], 0, 1, 0], [z[3], 0, 0, 1], [z[4], 0, 1, 0]]
     assert np.allclose(got, expected)
+    assert np.allclose([r.features.toArray() for r in features.with_vectors(df, state).collect()], expected)
+    coded = [r.features for r in features.with_codes(df, state).collect()]
+    assert np.allclose(coded, [[*row[:2], row[3]] for row in expected])
     unseen = spark.createDataFrame([("c",)], "kind string")
     assert np.allclose(features.with_features(unseen, state).first().features, [(0 - filled.mean()) / filled.std(), 0, 0, 0])
     absent = spark.createDataFrame([(1.0,)], "x double")
@@ -51,15 +58,66 @@ def test_matrix(spark):
     assert features.FeatureState.from_dict(state.to_dict()) == state
 
 
-def test_many_categories(spark):
-    df = spark.range(1500).select("id", F.concat(F.lit("c"), F.col("id")).alias("kind"))
-    state = features.fit(df, [], ["kind"])
-    rows = features.with_features(df, state).filter("id in (0, 7, 1499)").collect()
-    assert all(len(r.features) == 1500 and sum(r.features) == 1 and r.features[sorted(state.categorical["kind"][1]).index(r.kind)] == 1 for r in rows)
+def test_many_categories(spark, monkeypatch):
+    """A value per row: numbered in order over several ranges, joined by a shuffle, rows as wide as before."""
+    monkeypatch.setattr(features, "MOST_BROADCAST", 100)
+    df = spark.range(1500).select("id", F.concat(F.lit("c"), F.col("id")).alias("kind"), (F.col("id") % 3).cast("string").alias("few"))
+    state = features.fit(df, [], ["kind", "few"])
+    assert state.categorical == {"kind": ("c0", 1500), "few": ("0", 3)} and state.width == 1503
+    order = {value: code for code, value in enumerate(sorted(f"c{i}" for i in range(1500)))}
+    assert {r.id: r.features for r in features.with_codes(df, state).collect()} == {i: [order[f"c{i}"], i % 3] for i in range(1500)}
+    rows = features.with_vectors(df, state).collect()
+    assert all(r.features.size == 1503 and r.features.indices.tolist() == [order[r.kind], 1500 + r.id % 3] for r in rows)
     coded = features.encode_many(df, "kind", "hot")
     assert coded.first().hot.size == 1500
 
 
+def test_categories_are_numbered_by_ranges(spark):
+    rows = [(f, f"v{i}") for f in ("a", "b c", "d") for i in range(700)]
+    counts = spark.createDataFrame(rows, "feature string, value string").repartition(7)
+    found = features.numbered_categories(counts).collect()
+    order = {f"v{i}": code for code, i in enumerate(sorted(range(700), key=lambda i: f"v{i}"))}
+    assert sorted((r.feature, r.value, r.code) for r in found) == sorted((f, v, order[v]) for f, v in rows)
+
+
+def test_a_million_categories(spark):
+    """A forest learns from a text column with a million values; the model and its rows stay small."""
+    df = spark.range(1_000_000).select(F.col("id").alias("row"), (F.col("id") % 1000).cast("double").alias("v"), F.concat(F.lit("buyer "), F.col("id")).alias("buyer"))
+    state = features.fit(df, ["v"], ["buyer"])
+    assert state.categorical == {"buyer": ("buyer 0", 1_000_000)}
+    assert len(json.dumps(state.to_dict())) < 2000
+    assert {r.n for r in features.with_codes(df, state).select(F.size("features").alias("n")).distinct().collect()} == {2}
+    trained = forest.train(df, "row", state, trees=10)
+    assert trained.first_code == 1 and len(trained.nodes) <= 10 * 511
+    coded = trained.nodes[trained.nodes.feature == 1]
+    assert len(coded) and coded.split.between(0, 999_999).all()
+    scored = forest.predict(df.limit(100), state, trained)
+    assert scored.count() == 100
+
+
+def test_code_splits_are_splits_on_one_hot_columns():
+    """The same draws on codes and on 0/1 columns give trees that part rows alike."""
+    rng = np.random.default_rng(3)
+    points = np.column_stack([rng.normal(size=200), rng.integers(0, 4, 200), rng.integers(0, 2, 200)])
+    nodes = {n: (f, s, z) for n, f, s, z in forest.grow(points, np.random.default_rng(1), 8, 1)}
+    assert {f for f, _, _ in nodes.values()} >= {0, 1, 2}
+    sizes = {0: np.arange(200)}
+    for node in sorted(nodes):
+        feature, split, size = nodes[node]
+        at = sizes[node]
+        assert len(at) == size
+        if feature >= 0:
+            right = points[at, feature] > split if feature == 0 else points[at, feature] == split
+            assert 0 < right.sum() < len(at)
+            sizes[2 * node + 1], sizes[2 * node + 2] = at[~right], at[right]
+    table = pd.DataFrame([(0, n, f, s, z) for n, (f, s, z) in nodes.items()], columns=["tree", "node", "feature", "split", "size"])
+    depths = forest.mean_path(points, forest._tables(table, 8), 1)
+    for node, at in sizes.items():
+        if nodes[node][0] < 0:
+            level = int(np.log2(node + 1))
+            assert np.allclose(depths[at], level + forest.average_path(len(at)))
+
+
 def slow_path(point, nodes):
     at, depth = 0, 0
     while nodes[at][0] >= 0:
