@@ -1,7 +1,8 @@
 """Exact order statistics that never gather a column in one place.
 
-A column of at most ``small`` values is handled by Spark's exact ``percentile``.
-Above that, ranks are found by narrowing: an approximate sketch proposes two cut
+A quantile is interpolated from the values at two ranks, by one formula whatever the size.
+Ranks of at most ``small`` values are read off in order; above that they are found by
+narrowing: an approximate sketch proposes two cut
 values around the wanted rank, one counting pass places the rank exactly against
 them, and only the open interval between them is looked at again. Cut values are
 counted apart from the interval, so a value that fills a third of the table ends
@@ -33,19 +34,13 @@ def exact_quantiles(df: DataFrame, targets: dict[str, tuple[Column, float]], sma
     counts = values.agg(*[F.count(name).alias(name) for name in values.columns]).first().asDict()
     asked = {target: (names[id(column)], p) for target, (column, p) in targets.items()}
 
+    places = {target: (name, p * (counts[name] - 1)) for target, (name, p) in asked.items() if counts[name]}
+    wanted = {(name, rank): counts[name] for name, place in places.values() for rank in (math.floor(place), math.ceil(place))}
+    at = values_at_ranks(values, wanted, small)
     found = {}
-    direct = {target: (name, p) for target, (name, p) in asked.items() if 0 < counts[name] <= small}
-    if direct:
-        row = values.agg(*[F.percentile(name, F.lit(p)).alias(f"q{i}") for i, (name, p) in enumerate(direct.values())]).first()
-        found.update(zip(direct, row))
-
-    far = {target: (name, p * (counts[name] - 1)) for target, (name, p) in asked.items() if counts[name] > small}
-    if far:
-        wanted = {(name, rank): counts[name] for name, place in far.values() for rank in (math.floor(place), math.ceil(place))}
-        at = values_at_ranks(values, wanted, small)
-        for target, (name, place) in far.items():
-            low, high = at[(name, math.floor(place))], at[(name, math.ceil(place))]
-            found[target] = low + (high - low) * (place - math.floor(place))
+    for target, (name, place) in places.items():
+        low, high = at[(name, math.floor(place))], at[(name, math.ceil(place))]
+        found[target] = low + (high - low) * (place - math.floor(place))
     return {target: found.get(target) for target in targets}
 
 
@@ -108,6 +103,7 @@ def values_at_ranks(values: DataFrame, wanted: dict[tuple[str, int], int], small
         last = [s for s in open_ if s.inside <= small]
         if last:
             # At most ``small`` values are left in each interval.
+            # Ranks in one interval share its list.
             picks = [F.sort_array(F.collect_list(s.interval()))[s.rank] for s in last]
             for s, value in zip(last, values.agg(*[p.alias(f"p{i}") for i, p in enumerate(picks)]).first()):
                 s.value = value

@@ -11,11 +11,10 @@ of cells, labelled by hooking and pointer jumping.
 
 import math
 
-import numpy as np
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tenderlens.functions import scalars as S
-from tenderlens.operators.neighbours import reached, space_partition
+from tenderlens.operators.neighbours import SpacePartition
 from tenderlens.session import materialise, spread
 
 # Row pairs that may be compared directly instead of splitting boxes further.
@@ -58,7 +57,7 @@ def _renamed(df: DataFrame, suffix: str) -> DataFrame:
     return df.select(*[F.col(c).alias(f"{c}_{suffix}") for c in df.columns])
 
 
-def near_cells(cells: DataFrame, eps: float, dims: int, leaf_rows: int = LEAF_CELLS) -> DataFrame:
+def near_cells(cells: DataFrame, eps: float, dims: int, leaf_rows: int = LEAF_CELLS, tree_leaves: int | None = None) -> DataFrame:
     """All ordered pairs (a, b) of cells, itself included, with boxes at most eps apart.
 
     Cells meet in the leaves of a kd partition of their centres, which splits axes of any
@@ -67,18 +66,10 @@ def near_cells(cells: DataFrame, eps: float, dims: int, leaf_rows: int = LEAF_CE
     """
     centre = F.transform(F.arrays_zip("lo", "hi"), lambda e: (e["lo"] + e["hi"]) / 2)
     points = spread(materialise(cells.withColumn("x", centre), "centres"))
-    tree = cells.sparkSession.sparkContext.broadcast(space_partition(points, points.count(), leaf_rows))
-    radius = 2 * eps * (1 + 1e-6)
-
-    def place(batches, near):
-        for batch in batches:
-            x = np.vstack(batch.x.to_numpy()) if len(batch) else np.empty((0, dims))
-            rows, leaves = reached(tree.value, x, np.full(len(x), radius) if near else None)
-            yield batch.iloc[rows].assign(leaf=leaves)
-
-    schema = T.StructType([*points.schema.fields, T.StructField("leaf", T.LongType())])
-    left = points.mapInPandas(lambda batches: place(batches, True), schema).drop("x")
-    right = points.mapInPandas(lambda batches: place(batches, False), schema).drop("x")
+    space = SpacePartition(points, points.count(), leaf_rows, tree_leaves)
+    # Radii with a little to spare for rounding.
+    left = space.touched(points.withColumn("radius", F.lit(2 * eps * (1 + 1e-6))), "radius").drop("x", "radius", "gap")
+    right = space.home(points).drop("x")
     pairs = _renamed(left, "a").withColumnRenamed("leaf_a", "leaf").join(_renamed(right, "b").withColumnRenamed("leaf_b", "leaf"), "leaf")
     pairs = pairs.filter(_gap(("lo_a", "hi_a"), ("lo_b", "hi_b"), dims) <= eps)
     return pairs.select("cell_a", "cell_b", "n_a", "n_b", "lo_b", "hi_b")

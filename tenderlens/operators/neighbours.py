@@ -2,21 +2,26 @@
 
 Equal vectors are merged first and carry a weight, so copies never meet each other.
 A kd partition built from a bounded sample cuts space into leaves of a few thousand
-distinct vectors. Every vector finds its k nearest in its own leaf; only vectors
+distinct vectors. Where they are too many for one tree, each leaf of a first one is cut by a tree of its own, grown
+on executors and kept as a table; the driver holds the first one only. Every vector finds its k nearest in its own leaf; only vectors
 whose k-th distance reaches over a leaf border are sent on, to just those leaves: first
 to the closest few, then, with the k-th distance these have left, to more.
 Spark partitions, shuffles and merges; NumPy searches within one leaf.
 """
 
+import math
+import pickle
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tenderlens.functions.quantiles import portable_hash, sample_rows
 from tenderlens.session import materialise
 
 LEAF_ROWS = 2048
-MAX_LEAVES = 32_768
+# Leaves of one tree; two levels hold the square of it.
+TREE_LEAVES = 32_768
 _SAMPLES_PER_LEAF = 8
 # Further leaves a vector asks in its first round; each round asks four times as many.
 FIRST_ASKED = 4
@@ -149,36 +154,123 @@ def _matrix(vectors) -> np.ndarray:
     return np.vstack(vectors.to_numpy()) if len(vectors) else np.empty((0, 1))
 
 
-def space_partition(vectors: DataFrame, count: int, leaf_rows: int):
-    leaves = int(min(max(count // leaf_rows, 1), MAX_LEAVES))
-    if leaves == 1:
-        return cut_space(np.zeros((1, 1)), 1)
-    # A bounded sample: rows whose hash falls under a fixed share, about 8 per leaf.
-    share = min(1.0, leaves * _SAMPLES_PER_LEAF / count)
-    drawn = portable_hash(F.array_join(F.transform("x", lambda v: v.cast("string")), ","), 7) < int(share * 2**52)
-    rows = vectors.filter(drawn).select("x").collect()
-    sample = np.array([row.x for row in rows]) if rows else np.zeros((1, 1))
-    sample = sample[np.lexsort(sample.T)]
-    return cut_space(sample, leaves)
+def _drawn(share: float, seed: int) -> Column:
+    """Whether a vector is in a sample of this share, by its hash."""
+    text = F.array_join(F.transform("x", lambda v: v.cast("string")), ",")
+    return portable_hash(text, seed) < int(min(1.0, share) * 2**52)
+
+
+def _sorted(sample: np.ndarray) -> np.ndarray:
+    return sample[np.lexsort(sample.T)]
 
 
-def nearest_distances(df: DataFrame, key: str, k: int, leaf_rows: int = LEAF_ROWS, asked: list | None = None) -> DataFrame:
+class SpacePartition:
+    """A kd partition of distinct vectors ``x`` into leaves of some ``leaf_rows``, of one level or two.
+
+    Leaves are numbers. Rows find their own leaf with :meth:`home` and all leaves that a ball around them touches with
+    :meth:`touched`.
+    """
+
+    def __init__(self, vectors: DataFrame, count: int, leaf_rows: int, tree_leaves: int | None = None):
+        most = tree_leaves or TREE_LEAVES
+        leaves = max(count // leaf_rows, 1)
+        # Each side of two levels is filled evenly.
+        top = leaves if leaves <= most else min(most, math.ceil(math.sqrt(leaves)))
+        # A bounded sample: rows whose hash falls under a fixed share, about 8 per leaf.
+        rows = vectors.filter(_drawn(top * _SAMPLES_PER_LEAF / count, 7)).select("x").collect() if top > 1 else []
+        sample = np.array([row.x for row in rows]) if rows else np.zeros((1, 1))
+        self.top = vectors.sparkSession.sparkContext.broadcast(cut_space(_sorted(sample), top))
+        self.below = None if top == leaves else self._grown(vectors, count, -(-leaves // top))
+
+    def _grown(self, vectors: DataFrame, count: int, leaves: int) -> DataFrame:
+        """(top, tree): a tree for each leaf of the first one, from a sample of the rows there."""
+
+        def grow(group):
+            tree = cut_space(_sorted(_matrix(group.x)), leaves)
+            return pd.DataFrame({"top": [group.top.iloc[0]], "tree": [pickle.dumps(tree)]})
+
+        tops = self.top.value[0] if self.top.value[0] < 0 else 1 + sum(1 for _ in self.top.value[1])
+        share = leaves * abs(tops) * _SAMPLES_PER_LEAF / count
+        sample = self._at_top(vectors.select("x").filter(_drawn(share, 11)), None)
+        return materialise(sample.groupBy("top").applyInPandas(grow, "top bigint, tree binary"), "trees")
+
+    def _at_top(self, rows: DataFrame, radius: str | None, name: str = "top") -> DataFrame:
+        """``rows`` with the leaves of the first tree: their own or, with a column ``radius``, all that are touched, and their ``gap``."""
+        top = self.top
+
+        def place(batches):
+            for batch in batches:
+                if not len(batch):
+                    continue
+                x = _matrix(batch.x)
+                if radius is None:
+                    at, leaves = reached(top.value, x)
+                    yield batch.iloc[at].assign(**{name: leaves})
+                else:
+                    at, leaves, gaps = reached(top.value, x, batch[radius].to_numpy(), gaps=True)
+                    yield batch.iloc[at].assign(**{name: leaves, "gap": gaps})
+
+        fields = [T.StructField(name, T.LongType())] + ([] if radius is None else [T.StructField("gap", T.DoubleType())])
+        return rows.mapInPandas(place, T.StructType([*rows.schema.fields, *fields]))
+
+    def _below(self, rows: DataFrame, radius: str | None) -> DataFrame:
+        """Rows at leaves ``top`` of the first tree with the leaves of the second one.
+
+        Rows of a leaf are dealt over some tasks, and in each of them its tree comes first.
+        """
+        shares = rows.groupBy("top").agg(F.ceil(F.count("*") / ASKING_ROWS).alias("shares"))
+        trees = self.below.join(shares, "top").select("top", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("shares") - 1)).alias("share"), "tree")
+        known = rows.join(shares, "top").withColumn("share", F.pmod(F.xxhash64("x"), F.col("shares"))).drop("shares")
+        both = known.withColumn("tree", F.lit(None).cast("binary")).unionByName(trees, allowMissingColumns=True)
+        dealt = both.repartition("top", "share").sortWithinPartitions("top", "share", F.col("tree").isNull())
+        columns = rows.columns
+
+        def place(batches):
+            tree = None
+            for batch in batches:
+                cuts = np.flatnonzero(batch.tree.notna().to_numpy())
+                for a, b in zip([0, *cuts], [*cuts, len(batch)]):
+                    part = batch.iloc[a:b]
+                    if len(part) and part.tree.iloc[0] is not None:
+                        tree, part = pickle.loads(part.tree.iloc[0]), part.iloc[1:]
+                    if not len(part):
+                        continue
+                    x, part = _matrix(part.x), part[columns]
+                    if radius is None:
+                        at, leaves = reached(tree, x)
+                        found = part.iloc[at]
+                    else:
+                        at, leaves, gaps = reached(tree, x, part[radius].to_numpy(), gaps=True)
+                        # The distance to the region of the leaf is at least that to each tree's part of it.
+                        found = part.iloc[at].assign(gap=np.maximum(part.gap.to_numpy()[at], gaps))
+                    yield found.assign(leaf=found.top.to_numpy() * (1 << 31) + leaves)
+
+        schema = T.StructType([*rows.schema.fields, T.StructField("leaf", T.LongType())])
+        return dealt.mapInPandas(place, schema).drop("top")
+
+    def home(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with their own ``leaf``."""
+        return self._at_top(rows, None, "leaf") if self.below is None else self._below(self._at_top(rows, None), None)
+
+    def touched(self, rows: DataFrame, radius: str) -> DataFrame:
+        """``rows`` once for each ``leaf`` within the distance in column ``radius``, and the ``gap`` to it."""
+        return self._at_top(rows, radius, "leaf") if self.below is None else self._below(self._at_top(rows, radius), radius)
+
+
+def nearest_distances(
+    df: DataFrame, key: str, k: int, leaf_rows: int = LEAF_ROWS, asked: list | None = None, tree_leaves: int | None = None
+) -> DataFrame:
     """(key, distances): the k smallest distances of each row, itself included, ascending.
 
     Fewer than k rows in the table give fewer distances. ``asked`` gets the number of
-    questions to further leaves, by round.
+    questions to further leaves, by round. ``tree_leaves`` bounds the leaves of one tree.
     """
     points = df.select(F.col(f"`{key}`").alias(key), F.col("features").alias("x"))
     vectors = materialise(points.groupBy("x").agg(F.count("*").alias("weight")), "vectors")
     count = vectors.count()
-    tree = df.sparkSession.sparkContext.broadcast(space_partition(vectors, count, leaf_rows))
-
-    def place(batches):
-        for batch in batches:
-            rows, leaves = reached(tree.value, _matrix(batch.x))
-            yield batch.iloc[rows].assign(leaf=leaves)
-
-    placed = materialise(vectors.mapInPandas(place, "x array<double>, weight bigint, leaf bigint"), "leaves")
+    space = SpacePartition(vectors, count, leaf_rows, tree_leaves)
+    placed = materialise(space.home(vectors), "leaves")
+    tree = space.top if space.below is None else None
 
     def home(group):
         x = _matrix(group.x)
@@ -188,27 +280,37 @@ def nearest_distances(df: DataFrame, key: str, k: int, leaf_rows: int = LEAF_ROW
             reach = np.full(len(x), np.inf)
         else:
             reach = dist[:, -1]
-        rows, leaves, gaps = reached(tree.value, x, reach, gaps=True)
         # k copies of one vector are its k nearest already.
-        others = (leaves != group.leaf.iloc[0]) & (weights[rows] < k)
+        asking = weights < k
+        kept = at >= 0
+        found = {
+            "x": group.x.to_numpy(),
+            "reach": reach,
+            "d": [row[ok] for row, ok in zip(dist, kept)],
+            "w": [weights[row[ok]] for row, ok in zip(at, kept)],
+        }
+        if tree is None:
+            return pd.DataFrame({**found, "leaf": group.leaf.to_numpy(), "asking": asking})
+        rows, leaves, gaps = reached(tree.value, x, reach, gaps=True)
+        others = (leaves != group.leaf.iloc[0]) & asking[rows]
         rows, leaves, gaps = rows[others], leaves[others], gaps[others]
         order = np.lexsort((leaves, gaps, rows))
         cuts = np.searchsorted(rows[order], np.arange(1, len(x)))
-        kept = at >= 0
-        return pd.DataFrame(
-            {
-                "x": group.x.to_numpy(),
-                "reach": reach,
-                "d": [row[ok] for row, ok in zip(dist, kept)],
-                "w": [weights[row[ok]] for row, ok in zip(at, kept)],
-                "targets": np.split(leaves[order], cuts),
-                "gaps": np.split(gaps[order], cuts),
-            }
-        )
+        return pd.DataFrame({**found, "targets": np.split(leaves[order], cuts), "gaps": np.split(gaps[order], cuts)})
 
     found_type = "x array<double>, d array<double>, w array<bigint>"
-    local = placed.groupBy("leaf").applyInPandas(home, f"{found_type}, reach double, targets array<bigint>, gaps array<double>")
-    found = materialise(local.select("x", F.arrays_zip("d", "w").alias("near"), "reach", "targets", "gaps"), "local")
+    near = F.arrays_zip("d", "w").alias("near")
+    if tree is not None:
+        local = placed.groupBy("leaf").applyInPandas(home, f"{found_type}, reach double, targets array<bigint>, gaps array<double>")
+        found = materialise(local.select("x", near, "reach", "targets", "gaps"), "local")
+    else:
+        local = placed.groupBy("leaf").applyInPandas(home, f"{found_type}, reach double, leaf bigint, asking boolean")
+        local = materialise(local.select("x", near, "reach", F.col("leaf").alias("own"), "asking"), "local")
+        far = space.touched(local.filter("asking").select("x", "reach", "own"), "reach").filter("leaf <> own")
+        far = far.groupBy("x").agg(F.array_sort(F.collect_list(F.struct("gap", "leaf"))).alias("far"))
+        none = F.array().cast("array<struct<gap:double,leaf:bigint>>")
+        found = local.join(far, "x", "left").withColumn("far", F.coalesce("far", none))
+        found = materialise(found.select("x", "near", "reach", F.col("far.leaf").alias("targets"), F.col("far.gap").alias("gaps")), "asking")
 
     def abroad(points_there, asked):
         if not len(asked) or not len(points_there):

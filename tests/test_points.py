@@ -168,3 +168,35 @@ def test_neighbours_in_many_dimensions_ask_few_leaves(spark):
         assert np.allclose(found[i], exact, atol=1e-12)
     # The home leaf alone would send each vector to most of the 62 others.
     assert len(asked) > 1 and sum(asked) < 45 * 4000
+
+
+def test_two_levels_of_trees(spark, cloud):
+    """Tiny trees: leaves of a few rows, a first tree of some leaves and one more below each of them."""
+    df = frame(spark, cloud)
+    vectors = df.select(F.col("features").alias("x")).distinct()
+    count = vectors.count()
+    space = neighbours.SpacePartition(vectors, count, 8, tree_leaves=12)
+    assert space.below is not None and len(space.top.value[1]) < 12 and space.below.count() > 2
+    home = {tuple(r.x): r.leaf for r in space.home(vectors).collect()}
+    assert len(home) == count and len(set(home.values())) > 12
+    near = space.touched(vectors.withColumn("r", F.lit(0.4)), "r").collect()
+    found = {}
+    for r in near:
+        found.setdefault(tuple(r.x), {})[r.leaf] = r.gap
+    points = np.array(list(home))
+    for x, leaf in home.items():
+        assert found[x][leaf] == 0.0
+        far = np.sqrt(((points - np.array(x)) ** 2).sum(axis=1))
+        for other in points[far <= 0.4]:
+            # No leaf with a row in the ball is left out, and no gap is above a distance there.
+            assert found[x][home[tuple(other)]] <= np.sqrt(((other - np.array(x)) ** 2).sum()) * (1 + 1e-9)
+    got = neighbours.nearest_distances(df, "id", 5, 8, tree_leaves=12).orderBy("id").toPandas()
+    assert np.array_equal(np.vstack(got.distances), np.sort(distances(cloud), axis=1)[:, :5])
+
+
+def test_dbscan_on_two_levels(spark, cloud, monkeypatch):
+    monkeypatch.setattr(neighbours, "TREE_LEAVES", 4)
+    monkeypatch.setattr(dbscan, "LEAF_CELLS", 4)
+    monkeypatch.setattr(dbscan.near_cells, "__defaults__", (4, None))
+    found = dbscan.dbscan(frame(spark, cloud), "id", 0.3, 5).orderBy("id").toPandas()
+    assert np.array_equal(found.cluster, brute_labels(cloud, 0.3, 5))
