@@ -1,4 +1,11 @@
-"""Quality of a clustering: exact Euclidean silhouette and the evaluation records."""
+"""Quality of a clustering: exact Euclidean silhouette and the evaluation records.
+
+The mean distance of a row to a cluster is never below its distance to the cluster's centroid. A row is therefore
+compared with its own cluster and with others from the nearest centroid on, in rounds, until the next centroid is no
+nearer than the smallest mean found; all further clusters are left out without loss.
+"""
+
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -7,9 +14,13 @@ from pyspark.sql import DataFrame, functions as F
 from tenderlens.operators import dbscan, kmeans
 from tenderlens.session import identified, materialise
 
-# Rows of a block, and of the tiles that are compared at once within a pair of blocks.
-BLOCK_ROWS = (2048, 32_768)
-TILE_ROWS = 2048
+# Members of a cluster, and rows that are compared with them, in one group.
+BLOCK_ROWS = 16_384
+TILE_ROWS = 1024
+# Other clusters that a row visits in its first round; each round visits four times as many.
+FIRST_VISITED = 2
+# Coordinates of centroids that are held at once.
+CENTROID_NUMBERS = 1 << 20
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -20,85 +31,148 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(total)
 
 
-class _Side:
-    """One block of a pair: its rows in the order of their clusters, and their sums to the other's clusters."""
-
-    def __init__(self, frame, other):
-        frame = frame.sort_values("cluster", kind="stable")
-        self.x, self.ids, self.weights = np.vstack(frame.x.to_numpy()), frame.v.to_numpy(), frame.weight.to_numpy()
-        self.clusters = frame.cluster.to_numpy()
-        self.names = np.unique(other.cluster.to_numpy())
-        self.totals = np.zeros((len(frame), len(self.names)))
-
-    def add(self, at, dist, other, other_at):
-        # Clusters are in order, so those of a tile are neighbours in ``names``.
-        names, starts = np.unique(other.clusters[other_at], return_index=True)
-        first = np.searchsorted(self.names, names[0])
-        self.totals[at, first : first + len(names)] += np.add.reduceat(dist * other.weights[other_at], starts, axis=1)
+def _matrix(vectors) -> np.ndarray:
+    return np.vstack(vectors.to_numpy())
 
-    def frame(self):
-        many = len(self.names)
-        return pd.DataFrame({"v": np.repeat(self.ids, many), "other": np.tile(self.names, len(self.ids)), "total": self.totals.ravel()})
 
+def distance_sums(visits: DataFrame, vectors: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(v, other, total): summed distance of each visiting vector (v, x, other) to all rows of cluster ``other``.
 
-def cluster_distance_sums(vectors: DataFrame, block_rows: int | None = None) -> DataFrame:
-    """(v, other, total): summed distance of each vector to each cluster.
-
-    Vectors are cut into hash blocks and every pair of blocks is one group. A group adds up tile by
-    tile, so no row pair is ever a row, and a vector's sums leave a group once per cluster. Blocks
-    grow with the table up to a fixed size, which bounds the copies of a vector and the memory of a task.
+    The members and the visitors of a cluster are dealt into blocks, and each pair of blocks is one group, which
+    adds up tile by tile: no row pair is ever a row, and no cluster or visitor has to fit in a task.
     """
-    count = vectors.count()
-    if block_rows is None:
-        block_rows = min(max(count // 64, BLOCK_ROWS[0]), BLOCK_ROWS[1])
-    blocks = max(1, -(-count // block_rows))
-    placed = vectors.withColumn("block", F.pmod(F.xxhash64("v"), F.lit(blocks)).cast("int"))
-    last = F.lit(blocks - 1)
-    left = placed.withColumn("i", F.col("block")).withColumn("j", F.explode(F.sequence(F.col("block"), last)))
-    right = placed.withColumn("j", F.col("block")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("block"))))
-
-    def block_pair(key, a, b):
-        if not len(a) or not len(b):
+    blocks = F.ceil(F.count("*") / block_rows)
+    members = vectors.groupBy(F.col("cluster").alias("other")).agg(blocks.alias("member_blocks"))
+    visitors = visits.groupBy("other").agg(blocks.alias("visitor_blocks"))
+    cuts = materialise(members.join(visitors, "other"), "cuts")
+
+    def dealt(rows, own, theirs):
+        block = F.pmod(F.xxhash64("v"), F.col(f"{own}_blocks")).alias(own)
+        copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(f"{theirs}_blocks") - 1)).alias(theirs)
+        return rows.join(cuts, "other").select(*rows.columns, block, copies)
+
+    left = dealt(visits.select("v", "x", "other"), "visitor", "member")
+    right = dealt(vectors.select("v", "x", "weight", F.col("cluster").alias("other")), "member", "visitor")
+    keys = ["other", "member", "visitor"]
+
+    def block_pair(asking, there):
+        if not len(asking) or not len(there):
             return pd.DataFrame({"v": [], "other": [], "total": []})
-        one, two = _Side(a, b), _Side(b, a)
-        for i in range(0, len(a), TILE_ROWS):
-            for j in range(0, len(b), TILE_ROWS):
-                at, there = slice(i, i + TILE_ROWS), slice(j, j + TILE_ROWS)
-                dist = _distances(one.x[at], two.x[there])
-                one.add(at, dist, two, there)
-                if key[0] != key[1]:
-                    two.add(there, dist.T, one, at)
-        return one.frame() if key[0] == key[1] else pd.concat([one.frame(), two.frame()])
-
-    sums = left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInPandas(
-        block_pair, "v bigint, other bigint, total double"
-    )
+        one, two, weights = _matrix(asking.x), _matrix(there.x), there.weight.to_numpy().astype(float)
+        total = np.zeros(len(one))
+        for i in range(0, len(one), TILE_ROWS):
+            for j in range(0, len(two), TILE_ROWS):
+                at, to = slice(i, i + TILE_ROWS), slice(j, j + TILE_ROWS)
+                total[at] += _distances(one[at], two[to]) @ weights[to]
+        return pd.DataFrame({"v": asking.v, "other": asking.other, "total": total})
+
+    sums = left.groupBy(keys).cogroup(right.groupBy(keys)).applyInPandas(block_pair, "v bigint, other bigint, total double")
     return sums.groupBy("v", "other").agg(F.sum("total").alias("total"))
 
 
-def silhouette(df: DataFrame, block_rows: int | None = None) -> DataFrame:
+def _centroids(vectors: DataFrame) -> DataFrame:
+    """(cluster, size, centre)."""
+    values = vectors.select("cluster", "weight", F.posexplode("x").alias("axis", "value"))
+    means = values.groupBy("cluster", "axis").agg((F.sum(F.col("value") * F.col("weight")) / F.sum("weight")).alias("mean"), F.sum("weight").alias("size"))
+    ordered = F.array_sort(F.collect_list(F.struct("axis", "mean")))
+    return means.groupBy("cluster").agg(F.max("size").alias("size"), F.transform(ordered, lambda e: e["mean"]).alias("centre"))
+
+
+def _blocks(centroids: DataFrame, dims: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(clusters, centres), some at a time."""
+    held, most = [], max(1, CENTROID_NUMBERS // max(dims, 1))
+    for row in centroids.select("cluster", "centre").orderBy("cluster").toLocalIterator():
+        held.append(row)
+        if len(held) == most:
+            yield np.array([r.cluster for r in held]), np.array([r.centre for r in held])
+            held = []
+    if held:
+        yield np.array([r.cluster for r in held]), np.array([r.centre for r in held])
+
+
+_STATE = "v bigint, x array<double>, cluster bigint, weight bigint, best double, after_far double, after_cluster bigint"
+
+
+def _next_visits(state: DataFrame, centroids: DataFrame, dims: int, many: int) -> DataFrame:
+    """(.., visit): up to ``many`` clusters per row, the nearest centroids not visited yet and nearer than ``best``.
+
+    Centroids are in order of distance and cluster; ``after_far`` and ``after_cluster`` name the last one visited.
+    """
+    kind = "array<struct<far:double,cluster:bigint>>"
+    found = state.withColumn("visit", F.array().cast(kind))
+    for names, centres in _blocks(centroids, dims):
+
+        def near(batches, names=names, centres=centres):
+            for batch in batches:
+                lists = []
+                step = max(1, CENTROID_NUMBERS // len(names))
+                for at in range(0, len(batch), step):
+                    part = batch.iloc[at : at + step]
+                    # A little less than the distance, so that rounding never leaves a cluster out.
+                    far = _distances(_matrix(part.x), centres) * (1 - 1e-9)
+                    best, last = part.best.to_numpy()[:, None], part.after_far.to_numpy()[:, None]
+                    after = (far > last) | ((far == last) & (names > part.after_cluster.to_numpy()[:, None]))
+                    open_ = (far < best) & after & (names != part.cluster.to_numpy()[:, None])
+                    for row, ok in zip(far, open_):
+                        own = np.flatnonzero(ok)
+                        own = own[np.lexsort((names[own], row[own]))[:many]]
+                        lists.append([{"far": float(row[c]), "cluster": int(names[c])} for c in own])
+                yield batch.assign(new=lists)
+
+        columns = _STATE + f", visit {kind}"
+        found = found.mapInPandas(near, f"{columns}, new {kind}")
+        found = found.withColumn("visit", F.slice(F.array_sort(F.concat("visit", "new")), 1, many)).drop("new")
+    return found
+
+
+def silhouette(df: DataFrame, block_rows: int = BLOCK_ROWS, first: int = FIRST_VISITED, compared: list | None = None) -> DataFrame:
     """One row: the mean silhouette of rows with ``features`` and ``cluster``, 0 below two clusters.
 
-    Rows alone in their cluster score 0. Equal rows of a cluster are merged and weighted.
-    The measure compares every vector with every other; its cost is quadratic by definition.
+    Rows alone in their cluster score 0. Equal rows of a cluster are merged and weighted. ``compared`` gets the
+    number of pairs of a vector and a cluster that are looked at, by round.
     """
-    merged = df.groupBy(F.col("cluster").cast("bigint").alias("cluster"), F.col("features").alias("x")).agg(
-        F.count("*").alias("weight")
-    )
+    merged = df.groupBy(F.col("cluster").cast("bigint").alias("cluster"), F.col("features").alias("x")).agg(F.count("*").alias("weight"))
     vectors = materialise(merged.withColumn("v", F.monotonically_increasing_id()), "vectors")
-    sizes = vectors.groupBy("cluster").agg(F.sum("weight").alias("size"))
-    sums = cluster_distance_sums(vectors, block_rows)
-    around = sums.join(sizes.select(F.col("cluster").alias("other"), F.col("size").alias("other_size")), "other")
-    own = F.col("other") == F.col("cluster")
-    rows = around.join(vectors.select("v", "cluster", "weight"), "v")
-    rows = rows.groupBy("v", "weight").agg(
-        F.max(F.when(own, F.try_divide("total", F.col("other_size") - 1))).alias("a"),
-        F.min(F.when(~own, F.col("total") / F.col("other_size"))).alias("b"),
-    )
-    a, b = F.col("a"), F.col("b")
+    centroids = materialise(_centroids(vectors), "centroids")
+    sizes = centroids.select(F.col("cluster").alias("other"), "size")
+    shape = vectors.select(F.size("x").alias("dims")).first()
+    if shape is None or centroids.count() < 2:
+        return df.sparkSession.createDataFrame([(0.0,)], "silhouette_score double")
+
+    nothing = [F.lit(v).cast(kind).alias(name) for v, kind, name in ((float("inf"), "double", "best"), (-1.0, "double", "after_far"), (-1, "bigint", "after_cluster"))]
+    state, own, many = vectors.select("v", "x", "cluster", "weight", *nothing), None, first
+    done = []
+    while True:
+        state = materialise(_next_visits(state, centroids, shape.dims, many), "visits")
+        done.append(state.filter(F.size("visit") == 0).select("v", "weight", "best"))
+        state = state.filter(F.size("visit") > 0)
+        visits = state.select("v", "x", F.explode("visit.cluster").alias("other"))
+        if own is None:
+            visits = visits.unionAll(vectors.select("v", "x", F.col("cluster").alias("other")))
+        elif state.isEmpty():
+            break
+        if compared is not None:
+            compared.append(visits.count())
+        sums = materialise(distance_sums(visits, vectors, block_rows), "sums")
+        if own is None:
+            own = sums
+        means = sums.join(sizes, "other").select("v", "other", (F.col("total") / F.col("size")).alias("mean"))
+        met = state.join(means, "v").filter("other <> cluster")
+        last = F.element_at("visit", -1)
+        found = met.groupBy("v").agg(F.min("mean").alias("mean"))
+        moved = state.join(found, "v").withColumns({"best": F.least("best", "mean"), "after_far": last["far"], "after_cluster": last["cluster"]})
+        # A row that found fewer clusters than it could visit has seen all that are near enough.
+        done.append(moved.filter(F.size("visit") < many).select("v", "weight", "best"))
+        state, many = moved.filter(F.size("visit") >= many).drop("visit", "mean"), 4 * many
+    rows = done[0]
+    for more in done[1:]:
+        rows = rows.unionAll(more)
+    own = own.join(vectors.select("v", "cluster"), "v").filter("other = cluster").join(sizes, "other")
+    own = own.select("v", F.try_divide("total", F.col("size") - 1).alias("a"))
+    a, b = F.col("a"), F.col("best")
     score = F.coalesce(F.try_divide(b - a, F.greatest(a, b)), F.lit(0.0))
-    mean = F.try_divide(F.sum(F.when(b.isNotNull(), score).otherwise(0.0) * F.col("weight")), F.sum("weight"))
-    return rows.agg(F.coalesce(mean, F.lit(0.0)).alias("silhouette_score"))
+    mean = F.sum(score * F.col("weight")) / F.sum("weight")
+    return rows.join(own, "v").agg(mean.alias("silhouette_score"))
 
 
 def kmeans_record(df: DataFrame, state: kmeans.KMeansState) -> DataFrame:

@@ -447,6 +447,39 @@ def w1(spark, folder):
     return ranks.select("customer", "rank", F.round("distance", 9).alias("distance"))
 
 
+SIX_EPS = 0.6
+
+
+def six_points(spark, folder):
+    """Customers with six standardised numbers: balance, nation, and the number, sum, maximum and minimum of their orders."""
+    price = F.col("o_totalprice")
+    orders = tables.table(spark, folder, "orders").groupBy(F.col("o_custkey").alias("customer"))
+    orders = orders.agg(F.count("*").alias("orders"), F.sum(price).alias("spent"), F.max(price).alias("most"), F.min(price).alias("least"))
+    table = materialise(tables.customer_features(spark, folder).join(orders, "customer", "left"), "customers")
+    return features.with_features(table, features.fit_zero_filled(table, ["balance", "nation", "orders", "spent", "most", "least"]))
+
+
+@query(
+    "w1_knn_six_features",
+    select(
+        oracle.SIX_POINTS,
+        "select id as customer, cast(rank as integer) as rank, round(distance, 9) distance from kn",
+        oracle.knn(5, oracle.SIX).strip(),
+    ),
+)
+def w1_six(spark, folder):
+    ranks = neighbours.neighbour_ranks(six_points(spark, folder), "customer", 5)
+    return ranks.select("customer", "rank", F.round("distance", 9).alias("distance"))
+
+
+@query(
+    "m10_dbscan_six_features",
+    select(oracle.dbscan(SIX_EPS, MIN_SAMPLES, oracle.SIX_POINTS, oracle.SIX), "select id as customer, cluster from lab"),
+)
+def m10_six(spark, folder):
+    return dbscan.dbscan(six_points(spark, folder), "customer", SIX_EPS, MIN_SAMPLES)
+
+
 _SAMPLED = (
     "p0 as (select c_custkey id, c_acctbal, c_nationkey, (c_acctbal - avg(c_acctbal) over ()) / stddev_pop(c_acctbal) over () x, "
     "(c_nationkey - avg(c_nationkey) over ()) / stddev_pop(c_nationkey) over () y from customer), "

@@ -89,19 +89,35 @@ a as (select id, any_value(x) x, any_value(y) y, arg_min(cluster, (distance, clu
 )
 
 
-def pairs(eps: float, name: str = "n") -> str:
+# Six numbers of a customer; those without orders count as 0.
+SIX = tuple(f"f{i}" for i in range(6))
+SIX_POINTS = (
+    """
+co as (select c_custkey id, c_acctbal v0, c_nationkey v1, count(o_orderkey) v2, coalesce(sum(o_totalprice), 0) v3,
+         coalesce(max(o_totalprice), 0) v4, coalesce(min(o_totalprice), 0) v5
+       from customer left join orders on o_custkey = c_custkey group by all),
+p as (select id, """
+    + ", ".join(f"(v{i} - avg(v{i}) over ()) / stddev_pop(v{i}) over () f{i}" for i in range(6))
+    + " from co)"
+)
+
+
+def _distance(columns: tuple[str, ...]) -> str:
+    return "sqrt(" + " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in columns) + ")"
+
+
+def pairs(eps: float, name: str = "n", columns: tuple[str, ...] = ("x", "y")) -> str:
     """All pairs of points within eps, self included."""
     return f"""
-{name} as (select a.id i, b.id j from p a join p b
-      on sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) <= {eps})"""
+{name} as (select a.id i, b.id j from p a join p b on {_distance(columns)} <= {eps})"""
 
 
-def dbscan(eps: float, min_samples: int) -> str:
+def dbscan(eps: float, min_samples: int, points: str = POINTS, columns: tuple[str, ...] = ("x", "y")) -> str:
     """Labels ``lab(id, cluster)`` of the points; needs ``with recursive``."""
     return (
-        POINTS
+        points
         + ","
-        + pairs(eps)
+        + pairs(eps, columns=columns)
         + f""",
 core as (select i from n group by i having count(*) >= {min_samples}),
 ed as (select n.i, n.j from n join core c on n.i = c.i join core k on n.j = k.i),
@@ -109,15 +125,15 @@ rc as (select i, i as root from core union select ed.j, rc.root from rc join ed
 comp as (select i, min(root) root from rc group by i),
 cl as (select i, dense_rank() over (order by root) - 1 c from comp),
 bd as (select n.i, min(cl.c) c from n join cl on n.j = cl.i group by n.i),
-lab as (select p.id, p.x, p.y, cast(coalesce(cl.c, bd.c, -1) as bigint) cluster
+lab as (select p.*, cast(coalesce(cl.c, bd.c, -1) as bigint) cluster
         from p left join cl on p.id = cl.i left join bd on p.id = bd.i)"""
     )
 
 
-def knn(k: int) -> str:
+def knn(k: int, columns: tuple[str, ...] = ("x", "y")) -> str:
     """``kn(id, rank, distance)`` of the k nearest points, itself included."""
     return f"""
-kd as (select a.id, b.id other, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) distance from p a, p b),
+kd as (select a.id, b.id other, {_distance(columns)} distance from p a, p b),
 kr as (select id, distance, row_number() over (partition by id order by distance, other) as rank from kd),
 kn as (select * from kr where rank <= {k})"""
 

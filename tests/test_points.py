@@ -112,11 +112,36 @@ def test_silhouette(spark, cloud):
         a = d[i, mine].sum() / (mine.sum() - 1)
         b = min(d[i, labels == c].mean() for c in set(labels) - {own})
         scores.append((b - a) / max(a, b) if max(a, b) else 0.0)
-    for block_rows in (4096, 50):
-        assert quality.silhouette(df, block_rows).first()[0] == pytest.approx(np.mean(scores), abs=1e-12)
+    for block_rows, first in ((4096, 2), (50, 1)):
+        assert quality.silhouette(df, block_rows, first).first()[0] == pytest.approx(np.mean(scores), abs=1e-12)
     assert quality.silhouette(df.withColumn("cluster", F.lit(1))).first()[0] == 0.0
 
 
+def test_silhouette_visits_few_clusters(spark, monkeypatch):
+    """Forty clusters far from each other: a row is compared with its own and the next ones only."""
+    monkeypatch.setattr(quality, "CENTROID_NUMBERS", 24)
+    draw = np.random.default_rng(5)
+    centres = draw.uniform(-100, 100, (40, 2))
+    labels = draw.integers(0, 40, 800)
+    points = centres[labels] + draw.normal(0, 1, (800, 2))
+    rows = [(i, [float(v) for v in p], int(c)) for i, (p, c) in enumerate(zip(points, labels))]
+    compared = []
+    df = spark.createDataFrame(rows, "id bigint, features array<double>, cluster int")
+    found = quality.silhouette(df, 64, compared=compared).first()[0]
+    d, scores = distances(points), []
+    for i, own in enumerate(labels):
+        means = {c: d[i, labels == c].sum() / ((labels == c).sum() - (c == own)) for c in set(labels)}
+        a, b = means.pop(own), min(means.values())
+        scores.append((b - a) / max(a, b))
+    assert found == pytest.approx(np.mean(scores), abs=1e-9)
+    assert sum(compared) < 5 * 800
+
+
+def test_silhouette_of_nothing(spark):
+    df = spark.createDataFrame([], "id bigint, features array<double>, cluster int")
+    assert quality.silhouette(df).first()[0] == 0.0
+
+
 def test_kmeans(spark, cloud):
     df = frame(spark, cloud)
     state = kmeans.fit(df, "id", 4, n_init=4)
