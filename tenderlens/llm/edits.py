@@ -6,8 +6,8 @@ next one too where the blank between them is gone; sums above those leaves are u
 all others stay.
 
 Null texts are empty and count 0; null or empty edits leave a document as it is. Edits are
-(start, end, text) in code points of the present text, end exclusive, sorted and without
-overlap; null ones are left out. Rows with repeated or null ids are handled alone.
+(start, end, text) in code points of the present text, end exclusive, in any order; insertions at
+one place follow each other as listed, and null edits are left out. Edits that overlap or leave the text are an error. Rows with repeated or null ids are handled alone.
 """
 
 import re
@@ -94,6 +94,18 @@ def change(text: str, ends: list[int], sums: list[int], edits: list[tuple[int, i
     return "".join(parts), new_ends, sums, encoded
 
 
+def _in_order(edits, length: int) -> list[tuple[int, int, str]]:
+    """Edits by place; those of one document must not touch the same code points."""
+    listed = [(e["start"], e["end"], e["text"] or "") for e in edits or [] if e and e["start"] is not None and e["end"] is not None]
+    listed.sort(key=lambda e: e[:2])
+    for (_, before, _), (start, _, _) in zip([(0, 0, ""), *listed], [*listed, (length, length, "")]):
+        if start < before:
+            raise ValueError("edits overlap or lie outside of the text")
+    if any(end < start for start, end, _ in listed):
+        raise ValueError("an edit ends before it starts")
+    return listed
+
+
 def _counter(path):
     encode = tokens.encoder(path).encode
     return lambda text: len(encode(text.encode("utf-8", "replace"))) // 4
@@ -119,8 +131,7 @@ def _follower(path: str, state: bool):
         for batch in slices(batches):
             out = []
             for doc_id, text, ends, sums, edits in zip(*[column.to_pylist() for column in batch.columns]):
-                listed = [(e["start"], e["end"], e["text"] or "") for e in edits or [] if e and e["start"] is not None]
-                after, new_ends, new_sums, encoded = change(text, ends, sums, listed, count)
+                after, new_ends, new_sums, encoded = change(text, ends, sums, _in_order(edits, len(text)), count)
                 out.append((doc_id, sums[1], new_sums[1], len(ends), encoded, *((after, new_ends, new_sums) if state else ())))
             kinds = [pa.int64()] * 5 + [pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32())]
             names = ["doc_id", "n_tokens_before", "n_tokens", "n_leaves", "n_encoded", "text", "leaf_ends", "sums"][: 8 if state else 5]

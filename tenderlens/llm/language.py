@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tenderlens.llm.common import pick, slices
+from tenderlens.session import materialise
 
 WIDTH = 4096
 SAMPLE = 2000  # labelled texts that are looked at in all, whatever the corpus
@@ -121,12 +122,13 @@ def learn(docs: DataFrame, training: Column, sample: int = SAMPLE, width: int =
     # Drawn by a hash of the text, so many ids or none make no difference; copies count once.
     known = known.withColumn("hash", F.xxhash64(F.lit(5), "text"))
     unit = F.pmod("hash", F.lit(1 << 30)) / (1 << 30)
-    counts = known.select("lang", "hash").distinct().groupBy("lang").agg(F.count("*").alias("texts")).orderBy(F.desc("texts"), "lang").limit(sample).collect()
-    if not counts:
+    # One row per language, each with a text that is drawn in any case.
+    texts = known.select("lang", "hash").distinct().groupBy("lang").agg(F.count("*").alias("texts"), F.min("hash").alias("first"))
+    texts = materialise(texts, "texts")
+    many = texts.count()
+    if not many:
         return None
-    share = F.lit(0.0)
-    for row in counts:
-        share = F.when(F.col("lang") == row.lang, F.lit(min(1.0, sample / len(counts) / row.texts))).otherwise(share)
+    share = F.least(F.lit(1.0), F.lit(sample / many) / F.col("texts"))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -135,10 +137,11 @@ def learn(docs: DataFrame, training: Column, sample: int = SAMPLE, width: int =
             arrays = [pa.array([f[i] for f in found], kind) for i, kind in enumerate((pa.string(), pa.binary()))]
             yield pa.RecordBatch.from_arrays(arrays, names=["lang", "v"])
 
-    drawn = known.filter(unit < share).groupBy("lang", "hash").agg(F.min("text").alias("text"))
+    drawn = known.join(texts, "lang").filter((unit < share) | (F.col("hash") == F.col("first")))
+    drawn = drawn.groupBy("lang", "hash").agg(F.min("text").alias("text"))
     # The draw is by hash, so it can pass its mean a little: the bound is twice that in each language.
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("hash"))
-    drawn = drawn.withColumn("nth", nth).filter(F.col("nth") <= math.ceil(2 * sample / len(counts)))
+    drawn = drawn.withColumn("nth", nth).filter(F.col("nth") <= math.ceil(2 * sample / many))
     rows = drawn.select("lang", "text").mapInArrow(vectors, "lang string, v binary").collect()
     rows.sort(key=lambda row: (row.lang, row.v))
     if not rows:

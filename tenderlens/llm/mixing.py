@@ -7,7 +7,8 @@ the bucket where the budget ends is cut into finer buckets, and only its documen
 at again, until one hash is left there. Nothing is sorted and no document leaves its row.
 
 Null texts have size 0 and a null source is one source, after all others. The hash covers id and
-text, so rows with null or repeated ids are told apart; rows equal in both go together. A
+text, so rows with null or repeated ids are told apart. Where the budget ends among rows equal in both, which are all
+alike, as many of them are taken as come nearest to it. A
 source without words has target 0. An empty table gives no rows; other columns are ignored.
 """
 
@@ -21,7 +22,7 @@ SHARE = 1.5
 PASSES = 2
 SEED = 17
 BITS = 10  # of the hash that one histogram tells apart
-LEVELS = 6  # 60 of 64 bits; documents that agree in those go together
+LEVELS = 6  # 60 of 64 bits; documents that agree in those are told apart by number
 
 
 def _hash(doc_id: Column, text: Column, seed: int) -> Column:
@@ -76,7 +77,8 @@ def thresholds(sized: DataFrame, budgets: DataFrame, levels: int = LEVELS) -> Da
 
     ``budgets`` has (source, budget) and other columns. Each level sums words by bucket
     within the bucket where the budget ends; a source whose budget is met exactly, or
-    whose last bucket holds one hash, stays as it is.
+    whose last bucket holds one hash, stays as it is. Of several documents at the last level's hash ``edge``, any
+    ``some`` are taken besides.
     """
     open_ = budgets.withColumns({"prefix": F.lit(0).cast("bigint"), "left": F.col("budget").cast("double")})
     for level in range(levels):
@@ -97,7 +99,15 @@ def thresholds(sized: DataFrame, budgets: DataFrame, levels: int = LEVELS) -> Da
         open_ = found.drop("at", "all")
     # What is left of the bucket goes with the budget where that brings it nearer.
     nearer = F.when(F.col("at.words") - F.col("left") < F.col("left"), 1).otherwise(0)
-    return found.withColumn("prefix", F.shiftleft(F.col("prefix") + nearer, BITS * (levels - 1 - level))).drop("at", "all")
+    if level < levels - 1:
+        several = F.lit(False)
+    else:
+        several = F.coalesce(F.col("at.docs") > 1, F.lit(False))
+    each = F.col("at.words") / F.col("at.docs")
+    some = F.when(several & (each > 0), F.ceil(F.col("left") / each - 0.5)).otherwise(0).cast("bigint")
+    edge = F.when(several, F.col("prefix")).otherwise(-1)
+    ends = F.shiftleft(F.col("prefix") + F.when(several, 0).otherwise(nearer), BITS * (levels - 1 - level))
+    return found.withColumns({"edge": edge, "some": some, "prefix": ends}).drop("at", "all")
 
 
 def planned(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, passes: int = PASSES, levels: int = LEVELS) -> DataFrame:
@@ -108,23 +118,48 @@ def planned(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, passes: int
     return thresholds(sized, aims, levels).withColumnRenamed("source", "own")
 
 
-def times(hash_: Column, passes: int = PASSES, levels: int = LEVELS) -> Column:
-    more = F.shiftrightunsigned(hash_, 64 - BITS * levels) < F.col("prefix")
+def _top(hash_: Column, levels: int) -> Column:
+    return F.shiftrightunsigned(hash_, 64 - BITS * levels)
+
+
+def times(hash_: Column, nth: Column, passes: int = PASSES, levels: int = LEVELS) -> Column:
+    """How often a row is taken; ``nth`` numbers the rows at a source's edge from 0."""
+    more = (_top(hash_, levels) < F.col("prefix")) | ((_top(hash_, levels) == F.col("edge")) & (nth < F.col("some")))
     return (F.col("whole") + F.when(more & (F.col("whole") < passes), 1).otherwise(0)).cast("bigint")
 
 
+def _numbered(rows: DataFrame, plan: DataFrame, levels: int) -> DataFrame:
+    """``rows`` (source, hash, ..) with the plan of their source, and ``nth`` for those at an edge.
+
+    Rows at an edge are written, numbered within their part and shifted by the parts before, so that not even
+    a third of all rows being alike brings them to one task.
+    """
+    joined = rows.join(plan, F.col("source").eqNullSafe(F.col("own")))
+    if plan.filter("some > 0").isEmpty():
+        return joined.withColumn("nth", F.lit(0).cast("bigint"))
+    at_edge = (_top(F.col("hash"), levels) == F.col("edge")) & (F.col("some") > 0)
+    placed = materialise(joined.filter(at_edge).withColumns({"part": F.spark_partition_id(), "place": F.monotonically_increasing_id()}), "edges")
+    # One row per part and source.
+    sizes = placed.groupBy("source", "part").agg(F.count("*").alias("rows"))
+    before = F.sum("rows").over(Window.partitionBy("source").orderBy("part")) - F.col("rows")
+    sizes = materialise(sizes.select(F.col("source").alias("its"), F.col("part").alias("its_part"), before.alias("before")), "parts")
+    nth = F.row_number().over(Window.partitionBy("source", "part").orderBy("place")) - 1 + F.col("before")
+    numbered = placed.join(sizes, F.col("source").eqNullSafe(F.col("its")) & (F.col("part") == F.col("its_part")))
+    numbered = numbered.withColumn("nth", nth.cast("bigint")).drop("part", "place", "its", "its_part", "before")
+    return joined.filter(~at_edge).withColumn("nth", F.lit(0).cast("bigint")).unionByName(numbered)
+
+
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, passes: int = PASSES, seed: int = SEED, levels: int = LEVELS):
     """(doc_id, source, size, source_size, target, times, taken); ``times`` is how often the mix repeats the document."""
     sized = sizes(docs, seed)
     plan = planned(sized, weights, share, passes, levels)
-    joined = sized.join(plan, F.col("source").eqNullSafe(F.col("own"))).withColumn("times", times(F.col("hash"), passes, levels))
+    joined = _numbered(sized, plan, levels).withColumn("times", times(F.col("hash"), F.col("nth"), passes, levels))
     return joined.select("doc_id", "source", "size", "source_size", "target", "times", (F.col("times") * F.col("size")).alias("taken"))
 
 
 def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, passes: int = PASSES, seed: int = SEED, levels: int = LEVELS):
     """``docs`` with every row as often as the mix takes it."""
-    plan = planned(sizes(docs, seed), weights, share, passes, levels).select("own", "whole", "prefix")
+    plan = planned(sizes(docs, seed), weights, share, passes, levels).select("own", "whole", "prefix", "edge", "some")
     rows = beside(docs, source=at(docs, "source"), hash=_hash(at(docs, "doc_id"), at(docs, "text"), seed))
-    joined = rows.join(plan, F.col("source").eqNullSafe(F.col("own")))
-    again = F.explode(F.array_repeat(F.lit(1), times(F.col("hash"), passes, levels).cast("int")))
-    return unpacked(joined.select("row", again), docs)
+    again = F.explode(F.array_repeat(F.lit(1), times(F.col("hash"), F.col("nth"), passes, levels).cast("int")))
+    return unpacked(_numbered(rows, plan, levels).select("row", again), docs)

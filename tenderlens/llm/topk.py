@@ -9,8 +9,8 @@ lies above and, at the k-th score itself, the smallest ids.
 Vectors that are null or hold null or non-finite components take no part. Vectors of another
 length than the query's have no product with it and are no candidates of it. Rows with equal
 ids are rows of their own; null ids are never queries and come after all others in ties. Fewer
-candidates than k are all returned. An empty table gives no rows. Scores beyond 2^61 either
-way stop there. Other columns are ignored.
+candidates than k are all returned. An empty table gives no rows. Scores are exact up to 2^62 either
+way; a pair with one beyond is an error, not a wrong number. Other columns are ignored.
 """
 
 from collections.abc import Iterator
@@ -29,7 +29,7 @@ BINS = 256
 CANDIDATES = 8192  # vectors of a block
 QUERIES = 512
 STRIPE = 2048  # candidates scored at once
-MOST = 1 << 61  # scores beyond stop there
+MOST = (1 << 62) - 2  # the range of all scores, and so any difference of two, fits a long
 _LOWEST = -(1 << 62)
 
 _VECTORS = "is_query boolean, part int, block int, dims int, uids binary, ids binary, cells binary, norm double"
@@ -93,7 +93,9 @@ def _scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
     exact = np.vectorize(int, otypes=[object])
     products = exact(a).dot(exact(b).T)
-    return np.clip(products, -MOST, MOST).astype(np.int64)
+    if max(products.max(), -products.min()) > MOST:
+        raise OverflowError("a score is beyond 2^62")
+    return products.astype(np.int64)
 
 
 def _cells(raw: bytes, many: int, dims: int) -> np.ndarray:
@@ -184,7 +186,8 @@ def top_k(table: DataFrame, is_query, k: int = K, vec_id: str = "vec_id", embedd
 
     queries = packed.filter("is_query").mapInArrow(unpack, "from_part int, block int, dims int, uid bigint, query_id bigint, cells binary, norm double")
     # No product is larger than that of the lengths.
-    reach = F.least(F.col("norm") * F.col("longest") + 1, F.lit(float(MOST))).cast("bigint") + 1
+    longest_product = F.col("norm") * F.col("longest") * (1 + 1e-12) + 1
+    reach = F.when(longest_product >= float(MOST), F.lit(MOST)).otherwise(longest_product.cast("bigint")) + 1
     queries = queries.join(longest, "dims").withColumn("reach", reach).drop("norm", "longest")
     queries = materialise(queries.withColumns({"low": -F.col("reach"), "high": F.col("reach"), "need": F.lit(k).cast("bigint")}).drop("reach"), "queries")
 
@@ -205,7 +208,7 @@ def top_k(table: DataFrame, is_query, k: int = K, vec_id: str = "vec_id", embedd
         counts = counts.select("uid", "bin", upto.alias("upto"), (upto - F.col("scores")).alias("above"))
         met = counts.join(state.select(F.col("uid").alias("own"), "need"), F.col("uid") == F.col("own")).filter("upto >= need")
         ends = met.groupBy("uid").agg(F.max(F.struct("bin", "above")).alias("at")).select("uid", "at.bin", "at.above")
-        width = F.greatest(F.lit(1), F.expr(f"(high - low + {BINS - 1}) div {BINS}"))
+        width = F.greatest(F.lit(1), F.expr(f"(high - low - 1) div {BINS} + 1"))
         joined = state.join(ends, "uid", "left")
         wide = F.col("high") - F.col("low") > 1
         low = F.when(~wide, F.col("low")).when(F.col("bin").isNull(), F.lit(_LOWEST)).otherwise(F.col("low") + F.col("bin") * F.col("width"))

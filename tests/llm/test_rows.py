@@ -47,9 +47,8 @@ def test_mixing(request, table):
         assert r.source_size == size_of[r.source] and r.target == pytest.approx(target[r.source], rel=1e-12)
         assert r.taken in (0, r.size, 2 * r.size)
         taken[r.source] += r.taken
-    copies = 2 if table == "odd" else 1
     for name in size_of:
-        assert abs(taken[name] - target[name]) <= copies * largest[name] / 2 + 1e-6
+        assert abs(taken[name] - target[name]) <= largest[name] / 2 + 1e-6
     assert Counter(mixing.mix(docs.repartition(5)).collect()) == Counter(rows)
 
 
@@ -172,11 +171,34 @@ def test_top_k(spark):
     assert topk.top_k(table.limit(0), lambda c: c % 5 == 0).count() == 0
 
 
-def test_top_k_with_huge_components(spark):
-    rows = [(0, [1e12, 1.0]), (1, [1e12, 3.0]), (2, [-1e12, 2.0]), (3, [1e300, 0.0])]
+def test_top_k_with_large_scores(spark):
+    """Exact beyond what doubles tell apart, up to 2^62."""
+    half = float(1 << 30)
+    rows = [(0, [half, 0.0]), (1, [half, 0.0]), (2, [half - 1, 0.0]), (3, [half, -1 / 256]), (4, [half / 2, 3.0])]
     table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
-    found = topk.top_k(table, lambda c: c == 1, k=3).collect()
-    assert [row.vec_id for row in found][:1] in ([0], [3]) and len(found) == 3
+    found = topk.top_k(table, lambda c: c == 1, k=4, scale=1).collect()
+    cells = [[int(np.floor(x)) for x in v] for _, v in rows]
+    scores = sorted(((-(c[0] * cells[1][0] + c[1] * cells[1][1]), i) for i, c in enumerate(cells) if i != 1))
+    assert [(r["rank"], r.vec_id, r.score) for r in sorted(found, key=lambda r: r["rank"])] == [(n + 1, i, -s) for n, (s, i) in enumerate(scores)]
+
+
+def test_top_k_beyond_the_range_of_scores(spark):
+    for component in (1e12, 1e300):
+        table = spark.createDataFrame([(0, [component, 1.0]), (1, [component, 3.0])], "vec_id bigint, embedding array<double>")
+        with pytest.raises(Exception, match="beyond 2\\^62"):
+            topk.top_k(table, lambda c: c == 1, k=3).collect()
+
+
+@pytest.mark.parametrize("copies, target", [(500, 3075), (300, 1025), (7, 30)])
+def test_mixing_takes_some_of_equal_rows(spark, copies, target):
+    """A source of rows alike in id and text comes as near to its budget as whole rows can."""
+    rows = [(1, "one two three four five six seven eight", "a")] * copies + [(2, "x " * (copies * 8 * 9), "b")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(5)
+    share = target * 4 / 3 / (copies * 8 + copies * 72)
+    found = [r for r in mixing.mix(docs, share=share).collect() if r.source == "a"]
+    assert len(found) == copies and abs(sum(r.taken for r in found) - found[0].target) <= 4
+    texts = mixing.mixed(docs, share=share)
+    assert sum(len(r.text.split()) for r in texts.collect() if r.source == "a") == sum(r.taken for r in found)
 
 
 def test_language_on_held_out_documents(spark):
@@ -198,6 +220,14 @@ def test_language_of_odd_documents(odd, empty):
     assert {r.lang_pred for r in language.identify(odd, None).collect()} == {"und"}
 
 
+def test_more_languages_than_the_sample(spark):
+    """Every language is learned, also where the sample is smaller than their number."""
+    rows = [(i, f"{word} {word}{i} {word}{word}", f"l{i % 12}") for i in range(240) for word in ["abcdefghijkl"[i % 12] * 4]]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language.learn(docs, F.lit(True), sample=5)
+    assert {name for family in model.families for name in family} == {f"l{i}" for i in range(12)}
+
+
 def test_language_blocks_count_each_ngram_once(monkeypatch):
     text = "der schnelle braune fuchs springt über den hund"
     whole = language.vector(text)

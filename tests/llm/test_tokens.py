@@ -156,3 +156,16 @@ def test_edits_encode_little(whole):
     ends, sums = edits.grow(text, lambda t: len(whole(t)), edits._leaves(32))
     edits.change(text, ends, sums, [(20_000, 20_004, "other")], lambda t: encoded.append(len(t)) or 0)
     assert sum(encoded) < 400
+
+
+def test_edits_in_any_order(spark, whole):
+    def after(text, todo):
+        kinds = "doc_id bigint, text string, edits array<struct<start:int,end:int,text:string>>"
+        made = spark.createDataFrame([(1, text, todo)], kinds)
+        return edits.apply_edits(edits.build_trees(made, None, 2, "edits"), state=True).first()
+
+    row = after("aa bb cc dd", [(6, 8, "xy"), None, (0, 2, ""), (3, 3, "one "), (3, 3, "two "), (11, 11, "!")])
+    assert row.text == " one two bb xy dd!" and row.n_tokens == len(whole(row.text))
+    for todo in ([(0, 4, "x"), (3, 5, "y")], [(6, 8, "x"), (0, 7, "y")], [(-1, 2, "x")], [(9, 12, "x")], [(5, 4, "x")]):
+        with pytest.raises(Exception, match="overlap|before it starts"):
+            after("aa bb cc dd", todo)
