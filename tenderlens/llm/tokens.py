@@ -13,7 +13,7 @@ import types
 import numpy as np
 
 # Words whose ids a task process keeps before it starts anew; about 200 bytes each.
-KEPT_WORDS = 500_000
+KEPT_WORDS = 200_000
 # Lower-case letters that no normal form changes; one mark may follow.
 PLAIN = re.compile("([a-zß-öø-ÿ]+)([.,]?)")
 
