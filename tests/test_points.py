@@ -145,8 +145,7 @@ def test_silhouette_of_nothing(spark):
 def test_kmeans(spark, cloud):
     df = frame(spark, cloud)
     state = kmeans.fit(df, "id", 4, n_init=4)
-    again = kmeans.fit(df.repartition(1), "id", 4, n_init=4, parallelism=1)
-    assert state == again
+    assert kmeans.fit(df.repartition(1), "id", 4, n_init=4) == kmeans.fit(df.repartition(7), "id", 4, n_init=4) == state
     d = np.sqrt(((cloud[:, None, :] - np.array(state.centroids)[None]) ** 2).sum(-1))
     found = kmeans.detect(df, state).orderBy("id").toPandas()
     assert np.array_equal(found.cluster, d.argmin(axis=1))
@@ -160,6 +159,44 @@ def test_kmeans(spark, cloud):
     assert np.allclose(constant.distance, d.min(axis=0)[d.argmin(axis=1)])
 
 
+def plain_lloyd(points, centroids):
+    while True:
+        near = ((points[:, None, :] - centroids[None]) ** 2).sum(-1).argmin(axis=1)
+        moved = np.array([points[near == c].mean(axis=0) if (near == c).any() else centroids[c] for c in range(len(centroids))])
+        if np.allclose(moved, centroids, atol=1e-13):
+            return moved, ((points - moved[near]) ** 2).sum()
+        centroids = moved
+
+
+def test_kmeans_is_the_best_of_its_starts(spark, cloud):
+    """Each start moved by plain NumPy to where it no longer moves; one vector holds a third of all rows."""
+    state = kmeans.fit(frame(spark, cloud), "id", 5, n_init=6, tol=0.0)
+    x, weights = np.unique(cloud, axis=0, return_counts=True)
+    found = frame(spark, cloud).groupBy(F.col("features").alias("x")).agg(F.count("*").alias("n")).orderBy(F.xxhash64(F.lit(42), "x")).collect()
+    drawn, many = np.array([r.x for r in found]), np.array([float(r.n) for r in found])
+    assert len(found) == len(x) and sum(many) == weights.sum()
+    ends = [plain_lloyd(cloud, kmeans.seeds(drawn, many, 5, np.random.default_rng([42, n]))) for n in range(6)]
+    costs = [cost for _, cost in ends]
+    assert state.inertia == pytest.approx(min(costs), rel=1e-9)
+    assert np.allclose(state.centroids, ends[int(np.argmin(costs))][0], atol=1e-9)
+
+
+def test_kmeans_passes(spark, cloud, monkeypatch):
+    """All starts share each pass over the rows."""
+    passes, plain = [], kmeans._pass
+    monkeypatch.setattr(kmeans, "_pass", lambda vectors, starts, *more: passes.append(len(starts)) or plain(vectors, starts, *more))
+    kmeans.fit(frame(spark, cloud), "id", 3, n_init=5, max_iter=4)
+    assert len(passes) <= 5 and passes[0] == passes[-1] == 5
+
+
+def test_kmeans_of_few_vectors(spark):
+    state = kmeans.fit(frame(spark, np.array([[1.0, 2.0]] * 5 + [[3.0, 2.0]])), "id", 4)
+    assert sorted(state.centroids) == [[1.0, 2.0], [3.0, 2.0]] and state.inertia == 0.0
+    assert kmeans.fit(frame(spark, np.zeros((3, 2))), "id", 2).centroids == [[0.0, 0.0]]
+    with pytest.raises(ValueError):
+        kmeans.fit(spark.createDataFrame([], "id bigint, features array<double>"), "id", 2)
+
+
 def test_elbow(spark, cloud):
     kth = np.sort(np.sort(distances(cloud), axis=1)[:, 4])
     expected = kth[np.argmax(np.diff(kth)) + 1]
