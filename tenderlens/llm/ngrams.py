@@ -1,7 +1,7 @@
 """Language-model scores from an Elias-Fano trie of n-grams.
 
-The trie has two levels. Level one holds the distinct training words, by hash, with their counts.
-Level two holds, for each context, a pointer to its successors, the successors in ascending order and
+The trie has two levels. Level one holds the distinct training words, by hash, with their probabilities in 16
+bits. Level two holds, for each context, a pointer to its successors, the successors in ascending order and
 their probabilities in 8 bits. Contexts, pointers and successors are non-decreasing numbers and
 so are stored as Elias-Fano codes, some two bits above the entropy of their gaps. Successors
 are found relative to their context: its pointers bound the range, and the number searched there is
@@ -11,7 +11,7 @@ Nothing of the model is in one place. Texts are cut into chunks of about ``CHUNK
 chunk asks a level's shards for its distinct words, then for its distinct pairs of words, and gets an answer
 for each, so a pair that is everywhere costs a row per chunk. Shards are by hash; a context that
 fills more than a piece is spread over several. A shard writes its level to a file, maps it into memory
-and answers from there.
+and answers from there, words as well as pairs; what is decoded at a time is a block of its contexts and their successors.
 
 Probabilities: p(w) = (c + 0.1) / (N + 0.1 (V + 1)), and p(w | u) = (1 - b) c(u, w) / c(u) + b p(w),
 where the weight b of contexts as frequent as u (by powers of two) is the share of their pairs
@@ -40,6 +40,7 @@ SEED = 42
 SAMPLE = 1024  # every so many-th code's place in the upper bits is kept
 BLOCK = 1 << 18  # successors decoded at once
 LOWEST, STEP = -8.0, 8.0 / 254  # of log10 probabilities in 8 bits; 0 is absent
+LOWEST_WORD, STEP_WORD = -20.0, 20.0 / 65534  # of single words, in 16 bits
 CLASSES = 48  # of contexts by frequency
 
 
@@ -113,6 +114,41 @@ def codes(probabilities: np.ndarray) -> np.ndarray:
     return (1 + np.rint((np.maximum(np.log10(probabilities), LOWEST) - LOWEST) / STEP)).astype(np.uint8)
 
 
+class WordLevel:
+    """Level one of one shard, mapped from a file: words by hash, and the share of all tokens that each is."""
+
+    @staticmethod
+    def encode(hashes: np.ndarray, counts: np.ndarray, tokens: int) -> bytes:
+        """``tokens`` is at least the number of training tokens; shares have 0.1 added to the count."""
+        share = np.maximum(np.log10((counts + 0.1) / (tokens + 0.1)), LOWEST_WORD)
+        return EliasFano.encode(hashes) + (1 + np.rint((share - LOWEST_WORD) / STEP_WORD)).astype("<u2").tobytes()
+
+    def __init__(self, raw: np.ndarray):
+        self.hashes = EliasFano(raw)
+        self.codes = raw[self.hashes.size :]
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places from 1, and 16-bit codes, of words in ascending order of their hashes; 0 for those that are absent."""
+        place, code = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), "<u2")
+        at = 0
+        for first in range(0, self.hashes.many, BLOCK):
+            own = self.hashes.slice(first, min(first + BLOCK, self.hashes.many))
+            end = len(hashes) if first + BLOCK >= self.hashes.many else int(np.searchsorted(hashes, own[-1], "right"))
+            met = np.minimum(np.searchsorted(own, hashes[at:end]), len(own) - 1)
+            hit = np.flatnonzero(own[met] == hashes[at:end])
+            found = first + met[hit]
+            place[at + hit] = found + 1
+            code[at + hit] = self.codes[2 * first : 2 * (first + len(own))].view("<u2")[found - first]
+            at = end
+        return place, code
+
+
+def word_shares(codes_: np.ndarray, tokens: int) -> np.ndarray:
+    """Count and 0.1, as the codes of words have it; 0.1 for words that are absent."""
+    share = 10.0 ** (LOWEST_WORD + STEP_WORD * (codes_.astype(float) - 1)) * (tokens + 0.1)
+    return np.where(codes_ > 0, share, 0.1)
+
+
 PROBABILITIES = np.concatenate([[0.0], 10.0 ** (LOWEST + STEP * np.arange(255))])
 
 
@@ -136,16 +172,23 @@ class Level:
 
     def find(self, contexts: np.ndarray, successors: np.ndarray) -> np.ndarray:
         """8-bit codes of pairs in ascending order, 0 for those that are absent."""
-        out = np.zeros(len(contexts), np.uint8)
-        own, pointers = self.contexts.all(), self.pointers.all().astype(np.int64)
-        if not len(own):
-            return out
-        place = np.minimum(np.searchsorted(own, contexts), len(own) - 1)
-        known = np.flatnonzero(own[place] == contexts)
-        place = place[known]
-        wanted = place.astype("<u8") * np.uint64(self.words) + successors[known]
+        out, asked = np.zeros(len(contexts), np.uint8), 0
+        for begin in range(0, self.contexts.many, BLOCK):
+            stop = min(begin + BLOCK, self.contexts.many)
+            own, pointers = self.contexts.slice(begin, stop), self.pointers.slice(begin, stop + 1).astype(np.int64)
+            upto = int(np.searchsorted(contexts, own[-1], "right"))
+            mine = np.arange(asked, upto)
+            asked = upto
+            place = np.searchsorted(own, contexts[mine])
+            known = own[np.minimum(place, len(own) - 1)] == contexts[mine]
+            self._within(mine[known], place[known], begin, pointers, successors, out)
+        return out
+
+    def _within(self, rows: np.ndarray, place: np.ndarray, begin: int, pointers: np.ndarray, successors: np.ndarray, out: np.ndarray) -> None:
+        """Looks up rows whose contexts are at ``place`` of a block that begins at context ``begin``."""
+        wanted = (place + begin).astype("<u8") * np.uint64(self.words) + successors[rows]
         at = 0
-        while at < len(known):
+        while at < len(rows):
             # As many contexts as fill a block; the last one's range is whole.
             first = pointers[place[at]]
             last = max(int(np.searchsorted(pointers, first + BLOCK, "right")) - 1, int(place[at]) + 1)
@@ -153,17 +196,16 @@ class Level:
             range_ = self.successors.slice(int(first), int(pointers[last]))
             met = np.minimum(np.searchsorted(range_, wanted[at:end]), len(range_) - 1)
             hit = range_[met] == wanted[at:end]
-            out[known[at:end][hit]] = self.codes[first + met[hit]]
+            out[rows[at:end][hit]] = self.codes[first + met[hit]]
             at = end
-        return out
 
 
-def mapped(raw: bytes, words: int, ask):
-    """``ask`` the level that ``raw`` holds, from a file without a name."""
+def mapped(raw: bytes, ask):
+    """``ask`` the bytes of a level, mapped from a file without a name."""
     with tempfile.TemporaryFile() as file:
         file.write(raw)
         file.flush()
-        return ask(Level(np.memmap(file, np.uint8, "r"), words))
+        return ask(np.memmap(file, np.uint8, "r"))
 
 
 _CHUNKS = "chunk bigint, doc_ids array<bigint>, held_out array<boolean>, ends binary, stream binary, hashes binary, places binary, counts binary, tokens bigint, docs bigint"
@@ -230,7 +272,7 @@ def chunks(docs: DataFrame, held_out: Column, chunk: int = CHUNK) -> DataFrame:
 
 
 _ASKED = "chunk bigint, shard bigint, keys binary, counts binary, totals binary"
-_ANSWERS = "chunk bigint, shard bigint, places binary, counts binary, level binary, words bigint, tokens bigint"
+_ANSWERS = "chunk bigint, shard bigint, places binary, counts binary, codes binary, level binary, words bigint, tokens bigint"
 
 
 def _by_shard(shards: np.ndarray):
@@ -240,8 +282,8 @@ def _by_shard(shards: np.ndarray):
     return [(int(shards[p[0]]), p) for p in np.split(order, cuts) if len(p)]
 
 
-def word_level(cut: DataFrame, shards: int) -> DataFrame:
-    """Level one: a row per shard with its training words, and an answer per chunk and shard."""
+def word_level(cut: DataFrame, shards: int, tokens: int) -> DataFrame:
+    """Level one: a row per shard with its training words, and an answer per chunk and shard; ``tokens`` are all there are."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -258,14 +300,14 @@ def word_level(cut: DataFrame, shards: int) -> DataFrame:
         every, inverse = np.unique(np.concatenate(keys), return_inverse=True)
         counts = np.bincount(inverse, np.concatenate([_expand(row["counts"]) for row in rows]), len(every)).astype(np.int64)
         # Known words are numbered from 1 in the order of their hashes.
-        place = np.where(counts > 0, np.cumsum(counts > 0), 0)
+        level = WordLevel.encode(every[counts > 0], counts[counts > 0], tokens)
+        place, code = mapped(level, lambda raw: WordLevel(raw).find(every))
         out, at = [], 0
         for row, own in zip(rows, keys):
             mine = inverse[at : at + len(own)]
             at += len(own)
-            out.append((row["chunk"], row["shard"], _squeeze(place[mine]), _squeeze(counts[mine]), None, 0, 0))
-        level = EliasFano.encode(every[counts > 0])
-        out.append((None, rows[0]["shard"], None, _squeeze(counts[counts > 0]), level, int((counts > 0).sum()), int(counts.sum())))
+            out.append((row["chunk"], row["shard"], _squeeze(place[mine]), _squeeze(counts[mine]), _squeeze(code[mine]), None, 0, 0))
+        out.append((None, rows[0]["shard"], None, _squeeze(counts[counts > 0]), None, level, int((counts > 0).sum()), int(counts.sum())))
         return pa.Table.from_batches([_batch(_ANSWERS, out)])
 
     asked = cut.select("chunk", "hashes", "counts").mapInArrow(ask, _ASKED)
@@ -278,18 +320,20 @@ class _Chunk:
     def __init__(self, row: dict, before: dict[int, int], start: tuple[int, int]):
         answers = sorted(row["words"], key=lambda a: a["shard"])
         # Shards are ranges of hashes, so answers in the order of shards are in the order of hashes.
-        number, count = [], []
+        number, count, code = [], [], []
         for a in answers:
             own = _expand(a["places"])
             number.append(np.where(own > 0, own + before[a["shard"]], 0))
             count.append(_expand(a["counts"]))
+            code.append(_expand(a["codes"]))
         places = _expand(row["places"])
+        self.code = np.concatenate(code)[places]
         self.number, self.count = np.concatenate(number)[places], np.concatenate(count)[places]
         self.stream, self.ends = _expand(row["stream"]), _expand(row["ends"])
         self.held_out = np.array(row["held_out"], bool)
         begins = np.concatenate([[0], self.ends[:-1]])
         number, count = self.number[self.stream], self.count[self.stream]
-        self.word, self.word_count = number, count
+        self.word, self.word_count, self.word_code = number, count, self.code[self.stream]
         # A document's first word follows the start mark.
         self.context, self.context_count = np.roll(number, 1), np.roll(count, 1)
         self.context[begins], self.context_count[begins] = start
@@ -321,7 +365,8 @@ def score(docs: DataFrame, held_out: Column, chunk: int = CHUNK) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score); learns where not ``held_out``, a column over doc_id."""
     cut = chunks(docs, held_out, chunk)
     entries = cut.agg(F.sum("tokens").alias("tokens"), F.sum("docs").alias("docs"), F.sum(F.length("hashes")).alias("bytes")).first()
-    level_one = word_level(cut, 1 + (entries.bytes or 0) // (6 * WORDS))
+    tokens = entries.tokens or 0
+    level_one = word_level(cut, 1 + (entries.bytes or 0) // (6 * WORDS), tokens)
     # One small row per shard.
     shards = level_one.filter("chunk is null").select("shard", "words", "tokens").orderBy("shard").collect()
     before, known, learned = {}, 0, 0
@@ -333,7 +378,7 @@ def score(docs: DataFrame, held_out: Column, chunk: int = CHUNK) -> DataFrame:
         raise ValueError("pairs of more than 2^32 distinct words do not fit 64 bits")
 
     answers = level_one.filter("chunk is not null").groupBy("chunk")
-    answers = answers.agg(F.collect_list(F.struct("shard", "places", "counts")).alias("words"))
+    answers = answers.agg(F.collect_list(F.struct("shard", "places", "counts", "codes")).alias("words"))
     numbered = cut.join(answers, "chunk")
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -362,7 +407,7 @@ def score(docs: DataFrame, held_out: Column, chunk: int = CHUNK) -> DataFrame:
         context, word = every // np.uint64(words), every % np.uint64(words)
         seen = counts > 0
         level = Level.encode(context[seen], word[seen], counts[seen] / total[seen], words)
-        found = mapped(level, words, lambda level: level.find(context, word))
+        found = mapped(level, lambda raw: Level(raw, words).find(context, word))
         kind = np.log2(np.maximum(total, 1)).astype(np.int64)
         once = np.bincount(kind[counts == 1], minlength=CLASSES).tolist()
         all_ = np.bincount(kind, counts, CLASSES).astype(np.int64).tolist()
@@ -390,16 +435,16 @@ def score(docs: DataFrame, held_out: Column, chunk: int = CHUNK) -> DataFrame:
                 answered = {a["shard"]: a["codes"] for a in row["pairs"] or []}
                 for shard, p in _by_shard(_pair_shards(keys, totals, words, pair_shards)):
                     found[p] = np.frombuffer(answered[shard], np.uint8)
-                single = (own.word_count + 0.1) / norm
+                base, single = (own.word_count + 0.1) / norm, word_shares(own.word_code, tokens) / norm
                 weight = np.where(own.context_count > 0, back_off[np.log2(np.maximum(own.context_count, 1)).astype(np.int64)], 1.0)
-                pair = np.zeros(len(single))
+                pair = np.zeros(len(single))  # 0 where there is no such pair
                 pair[own.asks] = PROBABILITIES[found][inverse]
                 begins = np.concatenate([[0], own.ends[:-1]])
                 add = lambda values: np.add.reduceat(values, begins)
                 arrays = [
                     pa.array(row["doc_ids"], pa.int64()), pa.array(row["held_out"], pa.bool_()), pa.array(np.diff(own.ends, prepend=0)),
                     pa.array(add((own.word_count > 0).astype(np.int64))), pa.array(np.full(len(begins), learned, np.int64)),
-                    pa.array(add(np.log10(single))), pa.array(add(np.log10((1 - weight) * pair + weight * single))),
+                    pa.array(add(np.log10(base))), pa.array(add(np.log10((1 - weight) * pair + weight * single))),
                 ]
                 yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 

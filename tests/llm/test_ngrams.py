@@ -31,11 +31,26 @@ def test_level_finds_what_it_holds(monkeypatch):
     held = draw.random(len(pairs)) < 0.5
     p = draw.random(len(pairs))
     raw = ngrams.Level.encode(pairs[held] // 1000, pairs[held] % 1000, p[held], 1000)
-    found = ngrams.mapped(raw, 1000, lambda level: level.find(pairs // 1000, pairs % 1000))
+    found = ngrams.mapped(raw, lambda mapped: ngrams.Level(mapped, 1000).find(pairs // 1000, pairs % 1000))
     assert ((found > 0) == held).all()
     assert np.allclose(np.log10(ngrams.PROBABILITIES[found[held]]), np.log10(p[held]), atol=ngrams.STEP / 2 + 1e-9)
 
 
+def test_word_level_finds_what_it_holds(monkeypatch):
+    monkeypatch.setattr(ngrams, "BLOCK", 70)
+    draw = np.random.default_rng(6)
+    hashes = np.unique(draw.integers(0, 1 << 63, 900, dtype=np.uint64) * np.uint64(2))
+    held = draw.random(len(hashes)) < 0.6
+    counts = draw.integers(1, 10**6, held.sum())
+    raw = ngrams.WordLevel.encode(hashes[held], counts, 10**10)
+    place, code = ngrams.mapped(raw, lambda mapped: ngrams.WordLevel(mapped).find(hashes))
+    assert (place[held] == np.arange(1, held.sum() + 1)).all() and (place[~held] == 0).all() and (code[~held] == 0).all()
+    shares = ngrams.word_shares(code, 10**10)
+    assert np.allclose(np.log10(shares[held]), np.log10(counts + 0.1), atol=ngrams.STEP_WORD / 2 + 1e-9) and (shares[~held] == 0.1).all()
+    nothing = ngrams.mapped(ngrams.WordLevel.encode(hashes[:0], counts[:0], 0), lambda mapped: ngrams.WordLevel(mapped).find(hashes))
+    assert not nothing[0].any() and not nothing[1].any()
+
+
 def expected(rows):
     docs = [(i, zlib.crc32(("" if i is None else str(i)).encode()) % 10 == 0, [w.lower() for w in (t or "").encode().split()] + [b""]) for i, t in rows]
     single, pair, starts = Counter(), Counter(), 0
