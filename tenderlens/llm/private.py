@@ -2,13 +2,14 @@
 
 Patterns propose spans. Labelers vote on each: the shape of the kind, a gazetteer of words that
 announce personal data, the characters around it, and the variety of its digits. Votes may
-contradict and abstain. Expectation-maximisation over the histogram of vote patterns estimates
-how far each labeler can be trusted and how likely each pattern is personal; these figures train
-the final span classifier, a logistic model on the span's features, which decides on spans of the
+contradict and abstain. Expectation-maximisation over the histogram of votes estimates
+how far each labeler can be trusted and how likely each combination is personal; these figures train
+the final span classifier, a logistic model that sees more than the labelers do: the words before and
+behind the span, by hash, and the characters it is made of. It decides on spans of the
 further kinds. Spans of the base kinds follow exact rules and always stay.
 
-The histogram has at most as many rows as there are vote patterns, whatever the corpus; all else
-are column expressions.
+The histogram has at most a row for each combination of votes, sizes, word buckets and forms, whatever the corpus;
+all else are column expressions.
 
 Null texts are empty and have no spans. Rows are judged alone, so null or repeated ids change
 nothing. An empty table gives no rows; other columns are ignored.
@@ -16,6 +17,7 @@ nothing. An empty table gives no rows; other columns are ignored.
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tenderlens.llm.common import at, beside, let, pick, text_or_empty, unpacked
@@ -44,6 +46,10 @@ GAZETTEER = (
 ).split()
 LABELERS = ("shape", "gazetteer", "context", "variety")
 LENGTHS = (12, 16, 24)
+NEAR = 40  # characters on either side in which the nearest word is looked for
+BEFORE, BEHIND = 16, 8  # buckets of that word; 0 is none
+FORMS = (r"\p{L}", " ", "[.-]", r"[()\[\]]")  # bits: whether the span has such characters
+FEATURES = ("size", "before", "behind", "form")
 ROUNDS = 25
 STEPS = 300
 _BLOCK = 64
@@ -88,6 +94,11 @@ def _vote(when: Column) -> Column:
     return F.when(when, 1).otherwise(-1)
 
 
+def _word_bucket(text: Column, pattern: str, buckets: int) -> Column:
+    word = F.regexp_extract(text, pattern, 1)
+    return F.when(word == "", 0).otherwise(F.pmod(F.xxhash64(F.lower(word)), F.lit(buckets)).cast("int") + 1)
+
+
 def _labels(kind: str, match: Column, left: Column, right: Column) -> Column:
     announced = F.lower(left).rlike(rf"(?:^|[^\p{{L}}])(?:{'|'.join(GAZETTEER)})[^\p{{L}}]*$")
     alone = ~left.rlike(r"[\p{L}0-9_]$") & ~right.rlike(r"^[\p{L}0-9_]")
@@ -99,6 +110,9 @@ def _labels(kind: str, match: Column, left: Column, right: Column) -> Column:
         _vote(alone).alias("context"),
         F.when(F.length(digits) >= 6, _vote(varied)).otherwise(0).alias("variety"),
         sum((F.when(F.length(match) > n, 1).otherwise(0) for n in LENGTHS), F.lit(0)).alias("size"),
+        _word_bucket(left, r"(\p{L}+)[^\p{L}]*$", BEFORE).alias("before"),
+        _word_bucket(right, r"^[^\p{L}]*(\p{L}+)", BEHIND).alias("behind"),
+        sum((F.when(match.rlike(form), 1 << i).otherwise(0) for i, form in enumerate(FORMS)), F.lit(0)).alias("form"),
     )
 
 
@@ -134,7 +148,7 @@ def _candidates(rows: DataFrame) -> DataFrame:
             rest = F.aggregate(F.slice(f"l_{kind}", whole * _BLOCK + 1, i % _BLOCK), zero, add)
             piece = F.get(f"p_{kind}", i)
             start = before + rest + F.length(piece)
-            left, right = F.right(piece, F.lit(32)), F.substring(F.get(f"p_{kind}", i + 1), 1, 1)
+            left, right = F.right(piece, F.lit(NEAR)), F.substring(F.get(f"p_{kind}", i + 1), 1, NEAR)
             return F.struct(
                 F.lit(kind).alias("kind"),
                 start.cast("bigint").alias("start"),
@@ -171,15 +185,15 @@ def detect(rows: DataFrame) -> DataFrame:
 
 
 def patterns(detected: DataFrame) -> dict[tuple, int]:
-    """Histogram of (kind, votes, size) over all candidates: at most kinds x 3^labelers x sizes rows."""
+    """Histogram of (kind, votes, features) over all candidates: at most kinds x 3^labelers x sizes x buckets x forms rows."""
     # The plain explode would have a filter inferred that works the spans out once more.
     each = detected.select(F.explode_outer("spans").alias("s")).select("s.kind", "s.labels.*").filter("kind is not null")
-    rows = each.groupBy("kind", *LABELERS, "size").agg(F.count("*").alias("n")).collect()
+    rows = each.groupBy("kind", *LABELERS, *FEATURES).agg(F.count("*").alias("n")).collect()
     return {tuple(row[:-1]): row.n for row in rows}
 
 
 def reliabilities(counts: dict[tuple, int], rounds: int = ROUNDS):
-    """Posterior of each pattern, and each labeler's chances of its votes for personal and other spans."""
+    """Posterior of each (kind, votes, ..), and each labeler's chances of its votes for personal and other spans."""
     post = {key: 1 / (1 + math.exp(-1.5 * sum(key[1 : 1 + len(LABELERS)]))) for key in counts}
     table = {}
     for _ in range(rounds):
@@ -203,35 +217,40 @@ def reliabilities(counts: dict[tuple, int], rounds: int = ROUNDS):
 
 
 def _features(key: tuple) -> list[float]:
-    kind, *votes, size = key
-    return [1.0, *[float(kind == k) for k in KINDS], *map(float, votes), *[float(size == i) for i in range(1, len(LENGTHS) + 1)]]
+    kind, *votes, size, before, behind, form = key
+    buckets = [[float(value == i) for i in range(1, most + 1)] for value, most in ((size, len(LENGTHS)), (before, BEFORE), (behind, BEHIND))]
+    return [1.0, *[float(kind == k) for k in KINDS], *map(float, votes), *sum(buckets, []), *[float(form >> i & 1) for i in range(len(FORMS))]]
 
 
 def classifier(counts: dict[tuple, int], steps: int = STEPS) -> list[float]:
     """Weights of a logistic model fitted to the posteriors; kinds weigh alike however frequent they are."""
-    post, _ = reliabilities(counts)
-    of_kind = {kind: sum(n for key, n in counts.items() if key[0] == kind) for kind in KINDS}
-    rows = [(_features(key), post[key], n / of_kind[key[0]]) for key, n in sorted(counts.items())]
-    weights = [0.0] * (1 + len(KINDS) + len(LABELERS) + len(LENGTHS))
+    votes: dict[tuple, int] = {}
+    for key, n in counts.items():
+        votes[key[: 1 + len(LABELERS)]] = votes.get(key[: 1 + len(LABELERS)], 0) + n
+    post, _ = reliabilities(votes)
+    of_kind = {kind: sum(n for key, n in votes.items() if key[0] == kind) for kind in KINDS}
+    keys = sorted(counts)
+    x = np.array([_features(key) for key in keys]).reshape(len(keys), len(_features((KINDS[0], *[0] * (len(LABELERS) + len(FEATURES))))))
+    y = np.array([post[key[: 1 + len(LABELERS)]] for key in keys])
+    share = np.array([counts[key] / of_kind[key[0]] for key in keys])
+    weights = np.zeros(x.shape[1])
     for _ in range(steps):
-        slope = [0.01 * w for w in weights]
-        for x, y, n in rows:
-            p = 1 / (1 + math.exp(-max(-30.0, min(30.0, sum(w * v for w, v in zip(weights, x))))))
-            for i, v in enumerate(x):
-                slope[i] += n * (p - y) * v
-        weights = [w - 0.3 * s for w, s in zip(weights, slope)]
-    return weights
+        p = 1 / (1 + np.exp(-np.clip(x @ weights, -30.0, 30.0)))
+        weights -= 0.3 * (0.01 * weights + x.T @ (share * (p - y)))
+    return weights.tolist()
 
 
 def _odds(weights: list[float], span: Column) -> Column:
-    own = iter(weights)
+    own, labels = iter(weights), span["labels"]
     odds = F.lit(next(own))
     for kind in KINDS:
         odds += F.when(span["kind"] == kind, F.lit(next(own))).otherwise(0.0)
     for name in LABELERS:
-        odds += span["labels"][name] * F.lit(next(own))
-    for i in range(1, len(LENGTHS) + 1):
-        odds += F.when(span["labels"]["size"] == i, F.lit(next(own))).otherwise(0.0)
+        odds += labels[name] * F.lit(next(own))
+    for name, most in (("size", len(LENGTHS)), ("before", BEFORE), ("behind", BEHIND)):
+        odds += F.get(F.array(F.lit(0.0), *[F.lit(next(own)) for _ in range(most)]), labels[name])
+    for i in range(len(FORMS)):
+        odds += F.when(labels["form"].bitwiseAND(1 << i) != 0, F.lit(next(own))).otherwise(0.0)
     return odds
 
 
@@ -256,8 +275,9 @@ def redacted(docs: DataFrame) -> DataFrame:
     """``docs`` with every span in ``text`` replaced by its kind in brackets; null texts stay null."""
     rows = beside(docs)
     rows = rows.withColumn("text", text_or_empty(at(docs, "text")))
-    weights = classifier(patterns(detect(rows.select("text"))))
-    found = decided(detect(rows), weights)
+    # Written once: spans are counted first and decided on afterwards.
+    detected = materialise(detect(rows).drop("text"), "detected")
+    found = decided(detected, classifier(patterns(detected))).withColumn("text", text_or_empty(at(docs, "text")))
     ordered = F.sort_array(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
     found = found.withColumn("spans", ordered)
     empty = F.struct(F.lit(0).cast("bigint").alias("upto"), F.array().cast("array<string>").alias("parts"))

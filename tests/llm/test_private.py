@@ -1,6 +1,7 @@
 """Personal data against plain regular expressions."""
 
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -81,6 +82,62 @@ def test_further_kinds(spark):
     assert len(found[7]) == 3000 and len(found[6]) == 0
 
 
+def planted(draw, many):
+    """Texts with spans of the further kinds, and with look-alikes that are part of something else."""
+    word = lambda: "".join(draw.choice("abcdefghijklmnoprstuvw") for _ in range(draw.randrange(2, 9)))
+    digits = lambda n: "".join(draw.choice("0123456789") for _ in range(n))
+    texts, personal, other = [], [], []
+    for i in range(many):
+        true = draw.random() < 0.5
+        kind = draw.choice(["local_phone", "national_id", "iban", "spelled_email"])
+        span = {
+            "local_phone": f"{draw.randrange(2, 10)}{digits(2)}-{digits(3)}-{digits(4)}" if true else f"1{draw.choice('01')}1-111-{draw.choice('01') * 4}",
+            "national_id": f"{draw.randrange(100, 600)}-{draw.randrange(10, 99)}-{draw.randrange(1000, 9999)}" if true else f"000-00-{draw.choice('01') * 4}",
+            "iban": f"DE{digits(2)} {' '.join(digits(4) for _ in range(4))} {digits(2)}" if true else f"AB11 {' '.join(['1111'] * 3)}",
+            "spelled_email": f"{word()} [at] {word()} [dot] org",
+        }[kind]
+        announce = {"local_phone": "call", "national_id": "ssn", "iban": "iban", "spelled_email": "mail"}[kind]
+        before = f"{word()} {announce} " if true else f"{word()} part{digits(1)}x" if kind != "spelled_email" else f"{word()} "
+        text = f"{word()} {before}{span} {word()}"
+        start = text.index(span)
+        (personal if true else other).append((i, kind, start, start + len(span)))
+        texts.append((i, text))
+    return texts, personal, other
+
+
+def test_precision_and_recall_of_further_kinds(spark):
+    texts, personal, other = planted(random.Random(4), 1500)
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(4)
+    found = {(r.doc_id, s.kind, s.start, s.end) for r in private.find(docs).collect() for s in r.spans if s.kind in private.MORE}
+    hits = found & set(personal)
+    assert len(hits) >= 0.95 * len(personal)
+    # Spelled addresses are personal wherever they stand.
+    wrong = [f for f in found & set(other) if f[1] != "spelled_email"]
+    assert len(wrong) <= 0.05 * len(hits)
+
+
+def test_classifier_sees_more_than_the_votes(spark):
+    """With no vote on it, the word before a span tells."""
+    counts = {}
+    for before, good in ((3, True), (7, False)):
+        votes = (1, 1, 1, 1) if good else (-1, 0, -1, -1)
+        counts["local_phone", *votes, 0, before, 0, 4] = 900
+        counts["local_phone", 1, 0, 1, 0, 0, before, 0, 4] = 10
+    weights = private.classifier(counts)
+    odds = {before: sum(w * v for w, v in zip(weights, private._features(("local_phone", 1, 0, 1, 0, 0, before, 0, 4)))) for before in (3, 7)}
+    assert odds[3] > odds[7] + 1
+
+
+def test_very_long_text(spark):
+    """Whole texts of a million characters with spans at both ends and between."""
+    parts = ["x@y.zz", "lorem ipsum " * 30_000, "10.0.0.1 ", "dolor " * 60_000, "+49 30 1234567", " sit amet" * 40_000, " 4111 1111 1111 1111"]
+    text = "".join(parts)
+    assert len(text) > 1_000_000
+    docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    row = private.find(docs).first()
+    assert [(s.kind, s.start, s.end) for s in row.base] == plain(text)
+
+
 def test_reliabilities_trust_the_better_labeler():
     counts = {("card", 1, 1, 1, 1, 1): 500, ("card", -1, 0, -1, -1, 1): 500, ("card", 1, 0, 1, -1, 1): 60, ("card", -1, 1, -1, 1, 1): 40}
     post, table = private.reliabilities(counts)
