@@ -102,10 +102,14 @@ def values_at_ranks(values: DataFrame, wanted: dict[tuple[str, int], int], small
             return {key: s.value for key, s in searches.items()}
         last = [s for s in open_ if s.inside <= small]
         if last:
-            # At most ``small`` values are left in each interval.
-            # Ranks in one interval share its list.
-            picks = [F.sort_array(F.collect_list(s.interval()))[s.rank] for s in last]
-            for s, value in zip(last, values.agg(*[p.alias(f"p{i}") for i, p in enumerate(picks)]).first()):
+            # At most ``small`` values are left in each interval, and ranks in one interval share its list.
+            lists = {}
+            for s in last:
+                lists.setdefault((s.name, s.low, s.high), []).append(s)
+            gathered = [F.sort_array(F.collect_list(own[0].interval())).alias(f"l{i}") for i, own in enumerate(lists.values())]
+            picks = [F.col(f"l{i}")[s.rank].alias(f"p{i}_{j}") for i, own in enumerate(lists.values()) for j, s in enumerate(own)]
+            row = values.agg(*gathered).select(*picks).first()
+            for s, value in zip([s for own in lists.values() for s in own], row):
                 s.value = value
             continue
         grid = [i / _GRID for i in range(_GRID + 1)]
