@@ -24,6 +24,8 @@ from tenderlens.session import materialise, spread
 TREES = 100
 SAMPLE_ROWS = 256
 _OVERSAMPLE = 1.5
+# Hashes of repeated rows that are sent to all tasks.
+MOST_BROADCAST = 100_000
 NODE_SCHEMA = "tree int, node int, feature int, split double, size bigint"
 
 
@@ -68,7 +70,9 @@ def tree_samples(df: DataFrame, key: str, trees: int, rows: int, total: int, see
     """
     alike = F.xxhash64(F.col(f"`{key}`"), "features")
     known = df.select(F.col(f"`{key}`").alias("_key"), "features", alike.alias("_alike"), F.monotonically_increasing_id().alias("_row"))
-    again = known.groupBy("_alike").agg(F.count("*").alias("_many")).filter("_many > 1")
+    # Hashes alone are shuffled, and the rows only if very many of them are alike.
+    again = materialise(known.groupBy("_alike").agg(F.count("*").alias("_many")).filter("_many > 1"), "alike")
+    again = F.broadcast(again) if again.count() <= MOST_BROADCAST else again
     known = known.join(again, "_alike", "left").withColumn("_row", F.when(F.col("_many") > 1, F.col("_row")).otherwise(0))
 
     def unit(tree):

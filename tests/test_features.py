@@ -168,6 +168,15 @@ def test_forest_run_and_reload(spark, table, tmp_path):
     assert sorted(again.collect()) == sorted(rows)
 
 
+def test_drawing_leaves_rows_where_they_are(spark):
+    from tenderlens.session import materialise
+
+    df = materialise(spark.range(5000).select("id", F.array(F.rand(1)).alias("features")), "rows")
+    plan = forest.tree_samples(df, "id", 10, 256, 5000, 42)._jdf.queryExecution().executedPlan().toString()
+    before_draw = plan[plan.index("Generate") :]
+    assert "BroadcastExchange" in before_draw and "hashpartitioning" not in before_draw
+
+
 def test_samples_of_null_and_repeated_keys(spark):
     from tenderlens.session import materialise
 
