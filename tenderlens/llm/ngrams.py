@@ -1,21 +1,22 @@
 """Language-model scores from an Elias-Fano trie of n-grams.
 
-The trie has two levels. Level one holds the distinct training words, by hash, with their probabilities in 16
-bits. Level two holds, for each context, a pointer to its successors, the successors in ascending order and
-their probabilities in 8 bits. Contexts, pointers and successors are non-decreasing numbers and
-so are stored as Elias-Fano codes, some two bits above the entropy of their gaps. Successors
+The trie has ``order`` levels. Level one holds the distinct training words, by hash, with their probabilities in 16
+bits. Each further level holds, for each context, a pointer to its successors, the successors in ascending order and
+their probabilities in 8 bits; a context is named by its place in the level above. Contexts, pointers and successors are
+non-decreasing numbers and so are stored as Elias-Fano codes, some two bits above the entropy of their gaps. Successors
 are found relative to their context: its pointers bound the range, and the number searched there is
 the context's place times the number of words plus the successor.
 
 Nothing of the model is in one place. Texts are cut into chunks of about ``CHUNK`` tokens. A
-chunk asks a level's shards for its distinct words, then for its distinct pairs of words, and gets an answer
-for each, so a pair that is everywhere costs a row per chunk. Shards are by hash; a context that
+chunk asks a level's shards for its distinct words, then for its distinct pairs of a context and a word, level by level, and gets
+an answer for each, so a pair that is everywhere costs a row per chunk. Shards are by hash; a context that
 fills more than a piece is spread over several. A shard writes its level to a file, maps it into memory
 and answers from there, words as well as pairs; what is decoded at a time is a block of its contexts and their successors.
 
-Probabilities: p(w) = (c + 0.1) / (N + 0.1 (V + 1)), and p(w | u) = (1 - b) c(u, w) / c(u) + b p(w),
-where the weight b of contexts as frequent as u (by powers of two) is the share of their pairs
-seen once, which estimates how often what follows is new. Unknown contexts have b = 1.
+Probabilities: p(w) = (c + 0.1) / (N + 0.1 (V + 1)), and p(w | h) = (1 - b) c(h, w) / c(h) + b p(w | h'), h' being h without
+its first word. The weight b of contexts as frequent as h (by powers of two) is the share of their pairs
+seen once, which estimates how often what follows is new. Unknown contexts have b = 1, and so have contexts of several
+words that were seen once, whose only pair was seen once: from level three on they are not asked for.
 
 Null texts are empty and have the end token alone. Null ids count as the empty text for the split;
 repeated rows are scored one by one and learned from as often as they occur. With no training documents
@@ -33,6 +34,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tenderlens.llm.common import pick, slices
 from tenderlens.session import materialise
 
+ORDER = 3
 CHUNK = 1_000_000  # tokens
 WORDS = 1_000_000  # asked words of a level-one shard
 TOKENS = 3_000_000  # tokens of a level-two shard; a context with more is spread
@@ -153,7 +155,7 @@ PROBABILITIES = np.concatenate([[0.0], 10.0 ** (LOWEST + STEP * np.arange(255))]
 
 
 class Level:
-    """Level two of one shard, mapped from a file."""
+    """A level of pairs of one shard, mapped from a file."""
 
     @staticmethod
     def encode(contexts: np.ndarray, successors: np.ndarray, probabilities: np.ndarray, words: int) -> bytes:
@@ -170,9 +172,9 @@ class Level:
         self.contexts, self.pointers, self.successors = found
         self.codes = raw[at:]
 
-    def find(self, contexts: np.ndarray, successors: np.ndarray) -> np.ndarray:
-        """8-bit codes of pairs in ascending order, 0 for those that are absent."""
-        out, asked = np.zeros(len(contexts), np.uint8), 0
+    def find(self, contexts: np.ndarray, successors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places from 1, and 8-bit codes, of pairs in ascending order; 0 for those that are absent."""
+        out, asked = (np.zeros(len(contexts), np.int64), np.zeros(len(contexts), np.uint8)), 0
         for begin in range(0, self.contexts.many, BLOCK):
             stop = min(begin + BLOCK, self.contexts.many)
             own, pointers = self.contexts.slice(begin, stop), self.pointers.slice(begin, stop + 1).astype(np.int64)
@@ -184,7 +186,7 @@ class Level:
             self._within(mine[known], place[known], begin, pointers, successors, out)
         return out
 
-    def _within(self, rows: np.ndarray, place: np.ndarray, begin: int, pointers: np.ndarray, successors: np.ndarray, out: np.ndarray) -> None:
+    def _within(self, rows: np.ndarray, place: np.ndarray, begin: int, pointers: np.ndarray, successors: np.ndarray, out: tuple) -> None:
         """Looks up rows whose contexts are at ``place`` of a block that begins at context ``begin``."""
         wanted = (place + begin).astype("<u8") * np.uint64(self.words) + successors[rows]
         at = 0
@@ -196,7 +198,8 @@ class Level:
             range_ = self.successors.slice(int(first), int(pointers[last]))
             met = np.minimum(np.searchsorted(range_, wanted[at:end]), len(range_) - 1)
             hit = range_[met] == wanted[at:end]
-            out[rows[at:end][hit]] = self.codes[first + met[hit]]
+            out[0][rows[at:end][hit]] = first + met[hit] + 1
+            out[1][rows[at:end][hit]] = self.codes[first + met[hit]]
             at = end
 
 
@@ -271,7 +274,7 @@ def chunks(docs: DataFrame, held_out: Column, chunk: int = CHUNK) -> DataFrame:
     return materialise(slim.mapInArrow(encode, _CHUNKS), "chunks")
 
 
-_ASKED = "chunk bigint, shard bigint, keys binary, counts binary, totals binary"
+_ASKED = "chunk bigint, shard bigint, keys binary, sizes binary, words binary, counts binary, totals binary"
 _ANSWERS = "chunk bigint, shard bigint, places binary, counts binary, codes binary, level binary, words bigint, tokens bigint"
 
 
@@ -291,7 +294,7 @@ def word_level(cut: DataFrame, shards: int, tokens: int) -> DataFrame:
                 hashes, counts = decode(row["hashes"]), _expand(row["counts"])
                 # Hash ranges of one size; the upper half of the bits is plenty to tell them apart.
                 shard = ((hashes >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
-                rows = [(row["chunk"], s, EliasFano.encode(hashes[p]), _squeeze(counts[p]), None) for s, p in _by_shard(shard)]
+                rows = [(row["chunk"], s, EliasFano.encode(hashes[p]), None, None, _squeeze(counts[p]), None) for s, p in _by_shard(shard)]
                 yield _batch(_ASKED, rows)
 
     def answer(table: pa.Table) -> pa.Table:
@@ -315,9 +318,12 @@ def word_level(cut: DataFrame, shards: int, tokens: int) -> DataFrame:
 
 
 class _Chunk:
-    """A chunk whose words have got their numbers (0: unknown) and training counts."""
+    """A chunk whose words have got their numbers (0: unknown), training counts and codes.
 
-    def __init__(self, row: dict, before: dict[int, int], start: tuple[int, int]):
+    ``context`` names each token's context by its place in the level above, from 1, 0 being none.
+    """
+
+    def __init__(self, row: dict, before: dict[int, int], start: tuple[int, int], words: int):
         answers = sorted(row["words"], key=lambda a: a["shard"])
         # Shards are ranges of hashes, so answers in the order of shards are in the order of hashes.
         number, count, code = [], [], []
@@ -327,23 +333,59 @@ class _Chunk:
             count.append(_expand(a["counts"]))
             code.append(_expand(a["codes"]))
         places = _expand(row["places"])
-        self.code = np.concatenate(code)[places]
-        self.number, self.count = np.concatenate(number)[places], np.concatenate(count)[places]
-        self.stream, self.ends = _expand(row["stream"]), _expand(row["ends"])
+        number, count, code = (np.concatenate(own)[places] for own in (number, count, code))
+        stream, self.ends = _expand(row["stream"]), _expand(row["ends"])
+        self.words, self.chunk = words, row["chunk"]
         self.held_out = np.array(row["held_out"], bool)
-        begins = np.concatenate([[0], self.ends[:-1]])
-        number, count = self.number[self.stream], self.count[self.stream]
-        self.word, self.word_count, self.word_code = number, count, self.code[self.stream]
+        self.begins = np.concatenate([[0], self.ends[:-1]])
+        self.word, self.word_count, self.word_code = number[stream], count[stream], code[stream]
         # A document's first word follows the start mark.
-        self.context, self.context_count = np.roll(number, 1), np.roll(count, 1)
-        self.context[begins], self.context_count[begins] = start
+        self.follow(self.word, self.word_count, *start)
         self.learned = np.repeat(~self.held_out, np.diff(self.ends, prepend=0))
-        self.asks = np.flatnonzero((self.context > 0) & (self.word > 0) & (self.context_count > 0))
-
-    def pairs(self, words: int):
-        """(distinct pairs, their place for each asking token)."""
-        keys = self.context[self.asks].astype("<u8") * np.uint64(words) + self.word[self.asks].astype("<u8")
-        return np.unique(keys, return_inverse=True)
+        self.least = 1
+
+    def follow(self, context: np.ndarray, count: np.ndarray, first: int = 0, first_count: int = 0) -> None:
+        """What ends at a token is the context of the next one of its document."""
+        self.context, self.context_count = np.roll(context, 1), np.roll(count, 1)
+        self.context[self.begins], self.context_count[self.begins] = first, first_count
+
+    def pairs(self, shards: int) -> None:
+        """Tokens that ask, the distinct pairs they ask for, and the pairs' shards."""
+        self.asks = np.flatnonzero((self.context > 0) & (self.word > 0) & (self.context_count >= self.least))
+        contexts, local = np.unique(self.context[self.asks].astype("<u8"), return_inverse=True)
+        keys, self.inverse = np.unique(local.astype("<u8") * np.uint64(self.words) + self.word[self.asks].astype("<u8"), return_inverse=True)
+        self.pair_context, self.pair_word = contexts[(keys // np.uint64(self.words)).astype(np.int64)], keys % np.uint64(self.words)
+        self.totals = np.zeros(len(keys), np.int64)
+        self.totals[self.inverse] = self.context_count[self.asks]
+        self.parts = _by_shard(_pair_shards(self.pair_context, self.pair_word, self.totals, shards))
+
+    def questions(self, shards: int) -> list[tuple]:
+        self.pairs(shards)
+        counts = np.bincount(self.inverse, self.learned[self.asks], len(self.totals)).astype(np.int64)
+        rows = []
+        for shard, p in self.parts:
+            own, first, sizes = np.unique(self.pair_context[p], return_index=True, return_counts=True)
+            rows.append((self.chunk, shard, EliasFano.encode(own), _squeeze(sizes), _squeeze(self.pair_word[p]), _squeeze(counts[p]), _squeeze(self.totals[p][first])))
+        return rows
+
+    def answered(self, answers: list[dict] | None, shards: int) -> np.ndarray:
+        """Takes the answers of a level in; returns c(h, w) / c(h) of each token. The pairs are the contexts of the next level."""
+        self.pairs(shards)
+        code, place, count = (np.zeros(len(self.totals), kind) for kind in (np.uint8, np.int64, np.int64))
+        by_shard = {a["shard"]: a for a in answers or []}
+        for shard, p in self.parts:
+            own = by_shard[shard]
+            code[p] = np.frombuffer(own["codes"], np.uint8)
+            if own["places"] is not None:
+                local, count[p] = _expand(own["places"]), _expand(own["counts"])
+                place[p] = np.where(local > 0, (local - 1) * shards + shard + 1, 0)
+        found, places, counts = np.zeros(len(self.word)), np.zeros(len(self.word), np.int64), np.zeros(len(self.word), np.int64)
+        found[self.asks] = PROBABILITIES[code][self.inverse]
+        places[self.asks], counts[self.asks] = place[self.inverse], count[self.inverse]
+        self.asked_count = self.context_count
+        self.follow(places, counts)
+        self.least = 2
+        return found
 
 
 def _mix(values: np.ndarray) -> np.ndarray:
@@ -351,17 +393,58 @@ def _mix(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(29))
 
 
-def _pair_shards(keys: np.ndarray, totals: np.ndarray, words: int, shards: int) -> np.ndarray:
+def _pair_shards(context: np.ndarray, word: np.ndarray, totals: np.ndarray, shards: int) -> np.ndarray:
     """A context has a shard for each ``TOKENS`` / 16 of its tokens; its successors are dealt over them."""
-    context, word = keys // np.uint64(words), keys % np.uint64(words)
     pieces = np.uint64(1) + totals.astype("<u8") // np.uint64(max(TOKENS // 16, 1))
     return (_mix(context + (_mix(word) % pieces) * np.uint64(0x100000001B3)) % np.uint64(shards)).astype(np.int64)
 
 
-_PAIRS = "chunk bigint, shard bigint, codes binary, level binary, classes array<bigint>"
+_PAIRS = "chunk bigint, shard bigint, codes binary, places binary, counts binary, level binary, classes array<bigint>"
+
 
+def pair_level(asked: DataFrame, words: int, last: bool) -> DataFrame:
+    """A level of pairs: a row per shard with its code, and an answer per chunk and shard.
 
-def score(docs: DataFrame, held_out: Column, chunk: int = CHUNK) -> DataFrame:
+    Places and counts, which the next level needs, are answered for pairs that were seen twice or more.
+    """
+
+    def answer(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        own = [(np.repeat(decode(row["keys"]), _expand(row["sizes"])), _expand(row["words"]), _expand(row["counts"]), np.repeat(_expand(row["totals"]), _expand(row["sizes"]))) for row in rows]
+        lengths = [len(part[0]) for part in own]
+        contexts, word, counts, totals = (np.concatenate(parts) for parts in zip(*own))
+        names, local = np.unique(contexts, return_inverse=True)
+        every, inverse = np.unique(local.astype("<u8") * np.uint64(words) + word.astype("<u8"), return_inverse=True)
+        counts = np.bincount(inverse, counts, len(every)).astype(np.int64)
+        total = np.zeros(len(every), np.int64)
+        total[inverse] = totals
+        context, word = names[(every // np.uint64(words)).astype(np.int64)], every % np.uint64(words)
+        seen = counts > 0
+        level = Level.encode(context[seen], word[seen], counts[seen] / total[seen], words)
+        place, code = mapped(level, lambda raw: Level(raw, words).find(context, word))
+        kind = np.log2(np.maximum(total, 1)).astype(np.int64)
+        once = np.bincount(kind[counts == 1], minlength=CLASSES).tolist()
+        all_ = np.bincount(kind, counts, CLASSES).astype(np.int64).tolist()
+        out = [(None, rows[0]["shard"], None, None, None, level, once + all_)]
+        again = counts >= 2
+        place, counts = np.where(again, place, 0), np.where(again, counts, 0)
+        for row, mine in zip(rows, np.split(inverse, np.cumsum(lengths)[:-1])):
+            more = (None, None) if last else (_squeeze(place[mine]), _squeeze(counts[mine]))
+            out.append((row["chunk"], row["shard"], code[mine].tobytes(), *more, None, None))
+        return pa.Table.from_batches([_batch(_PAIRS, out)])
+
+    return materialise(asked.groupBy("shard").applyInArrow(answer, _PAIRS), "pairs")
+
+
+def back_off(level: DataFrame) -> np.ndarray:
+    """Weight of the shorter context, by class of the longer one's frequency."""
+    # One row: pairs seen once, and all pairs, of each class of contexts.
+    sums = level.filter("chunk is null").agg(*[F.sum(F.col("classes")[i]) for i in range(2 * CLASSES)]).first()
+    once, all_ = (np.array([v or 0 for v in half], float) for half in (sums[:CLASSES], sums[CLASSES:]))
+    return np.clip((once + 0.5) / (all_ + 1.0), 0.01, 0.99)
+
+
+def score(docs: DataFrame, held_out: Column, chunk: int = CHUNK, order: int = ORDER) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score); learns where not ``held_out``, a column over doc_id."""
     cut = chunks(docs, held_out, chunk)
     entries = cut.agg(F.sum("tokens").alias("tokens"), F.sum("docs").alias("docs"), F.sum(F.length("hashes")).alias("bytes")).first()
@@ -373,81 +456,52 @@ def score(docs: DataFrame, held_out: Column, chunk: int = CHUNK) -> DataFrame:
     for row in shards:
         before[row.shard], known, learned = known, known + row.words, learned + row.tokens
     start = known + 1, entries.docs or 0
-    words, pair_shards = known + 2, 1 + (entries.tokens or 0) // TOKENS
+    words, pair_shards = known + 2, 1 + tokens // TOKENS
     if words >= 1 << 32:
-        raise ValueError("pairs of more than 2^32 distinct words do not fit 64 bits")
+        raise ValueError("words are numbered in 32 bits")
 
     answers = level_one.filter("chunk is not null").groupBy("chunk")
     answers = answers.agg(F.collect_list(F.struct("shard", "places", "counts", "codes")).alias("words"))
-    numbered = cut.join(answers, "chunk")
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                own = _Chunk(row, before, start)
-                keys, inverse = own.pairs(words)
-                counts = np.bincount(inverse, own.learned[own.asks], len(keys)).astype(np.int64)
-                totals = np.zeros(len(keys), np.int64)
-                totals[inverse] = own.context_count[own.asks]
-                rows = []
-                for shard, p in _by_shard(_pair_shards(keys, totals, words, pair_shards)):
-                    first = np.unique(keys[p] // np.uint64(words), return_index=True)[1]
-                    rows.append((row["chunk"], shard, EliasFano.encode(keys[p]), _squeeze(counts[p]), _squeeze(totals[p][first])))
-                yield _batch(_ASKED, rows)
-
-    def answer(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        keys = [decode(row["keys"]) for row in rows]
-        totals = [_expand(row["totals"])[np.cumsum(np.diff(k // np.uint64(words), prepend=k[:1] // np.uint64(words)) > 0)] for row, k in zip(rows, keys)]
-        sizes = [len(k) for k in keys]
-        every, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-        counts = np.bincount(inverse, np.concatenate([_expand(row["counts"]) for row in rows]), len(every)).astype(np.int64)
-        total = np.zeros(len(every), np.int64)
-        total[inverse] = np.concatenate(totals)
-        context, word = every // np.uint64(words), every % np.uint64(words)
-        seen = counts > 0
-        level = Level.encode(context[seen], word[seen], counts[seen] / total[seen], words)
-        found = mapped(level, lambda raw: Level(raw, words).find(context, word))
-        kind = np.log2(np.maximum(total, 1)).astype(np.int64)
-        once = np.bincount(kind[counts == 1], minlength=CLASSES).tolist()
-        all_ = np.bincount(kind, counts, CLASSES).astype(np.int64).tolist()
-        out = [(None, rows[0]["shard"], None, level, once + all_)]
-        for row, own in zip(rows, np.split(inverse, np.cumsum(sizes)[:-1])):
-            out.append((row["chunk"], row["shard"], found[own].tobytes(), None, None))
-        return pa.Table.from_batches([_batch(_PAIRS, out)])
-
-    columns = "chunk", "held_out", "ends", "stream", "places", "words"
-    level_two = materialise(numbered.select(*columns).mapInArrow(ask, _ASKED).groupBy("shard").applyInArrow(answer, _PAIRS), "pairs")
-    # One row: pairs seen once, and all pairs, of each class of contexts.
-    sums = level_two.filter("chunk is null").agg(*[F.sum(F.col("classes")[i]) for i in range(2 * CLASSES)]).first()
-    once, all_ = (np.array([v or 0 for v in half], float) for half in (sums[:CLASSES], sums[CLASSES:]))
-    back_off = np.clip((once + 0.5) / (all_ + 1.0), 0.01, 0.99)
+    state = cut.join(answers, "chunk")
+    columns = ["chunk", "held_out", "ends", "stream", "places", "words"]
+    weights: list[np.ndarray] = []
+    for n in range(2, order + 1):
+        above = [f"level{m}" for m in range(2, n)]
+
+        def ask(batches: Iterator[pa.RecordBatch], above=above) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for row in batch.to_pylist():
+                    own = _Chunk(row, before, start, words)
+                    for name in above:
+                        own.answered(row[name], pair_shards)
+                    yield _batch(_ASKED, own.questions(pair_shards))
+
+        level = pair_level(state.select(*columns, *above).mapInArrow(ask, _ASKED), words, n == order)
+        weights.append(back_off(level))
+        fields = F.struct("shard", "codes", "places", "counts")
+        found = level.filter("chunk is not null").groupBy("chunk").agg(F.collect_list(fields).alias(f"level{n}"))
+        state = state.join(found, "chunk", "left")
     norm = learned + 0.1 * (known + 1)
+    levels = [f"level{n}" for n in range(2, order + 1)]
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                own = _Chunk(row, before, start)
-                keys, inverse = own.pairs(words)
-                totals = np.zeros(len(keys), np.int64)
-                totals[inverse] = own.context_count[own.asks]
-                found = np.zeros(len(keys), np.uint8)
-                answered = {a["shard"]: a["codes"] for a in row["pairs"] or []}
-                for shard, p in _by_shard(_pair_shards(keys, totals, words, pair_shards)):
-                    found[p] = np.frombuffer(answered[shard], np.uint8)
-                base, single = (own.word_count + 0.1) / norm, word_shares(own.word_code, tokens) / norm
-                weight = np.where(own.context_count > 0, back_off[np.log2(np.maximum(own.context_count, 1)).astype(np.int64)], 1.0)
-                pair = np.zeros(len(single))  # 0 where there is no such pair
-                pair[own.asks] = PROBABILITIES[found][inverse]
-                begins = np.concatenate([[0], own.ends[:-1]])
-                add = lambda values: np.add.reduceat(values, begins)
+                own = _Chunk(row, before, start, words)
+                base, p = (own.word_count + 0.1) / norm, word_shares(own.word_code, tokens) / norm
+                for name, weight in zip(levels, weights):
+                    least = own.least
+                    found = own.answered(row[name], pair_shards)
+                    count = own.asked_count
+                    b = np.where(count >= least, weight[np.log2(np.maximum(count, 1)).astype(np.int64)], 1.0)
+                    p = (1 - b) * found + b * p
+                add = lambda values: np.add.reduceat(values, own.begins)
                 arrays = [
                     pa.array(row["doc_ids"], pa.int64()), pa.array(row["held_out"], pa.bool_()), pa.array(np.diff(own.ends, prepend=0)),
-                    pa.array(add((own.word_count > 0).astype(np.int64))), pa.array(np.full(len(begins), learned, np.int64)),
-                    pa.array(add(np.log10(base))), pa.array(add(np.log10((1 - weight) * pair + weight * single))),
+                    pa.array(add((own.word_count > 0).astype(np.int64))), pa.array(np.full(len(own.begins), learned, np.int64)),
+                    pa.array(add(np.log10(base))), pa.array(add(np.log10(p))),
                 ]
                 yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    found = level_two.filter("chunk is not null").groupBy("chunk").agg(F.collect_list(F.struct("shard", "codes")).alias("pairs"))
-    joined = numbered.join(found, "chunk", "left").select(*columns, "doc_ids", "pairs")
-    return joined.mapInArrow(finish, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
+    finished = state.select(*columns, "doc_ids", *levels)
+    return finished.mapInArrow(finish, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")

@@ -31,8 +31,8 @@ def test_level_finds_what_it_holds(monkeypatch):
     held = draw.random(len(pairs)) < 0.5
     p = draw.random(len(pairs))
     raw = ngrams.Level.encode(pairs[held] // 1000, pairs[held] % 1000, p[held], 1000)
-    found = ngrams.mapped(raw, lambda mapped: ngrams.Level(mapped, 1000).find(pairs // 1000, pairs % 1000))
-    assert ((found > 0) == held).all()
+    place, found = ngrams.mapped(raw, lambda mapped: ngrams.Level(mapped, 1000).find(pairs // 1000, pairs % 1000))
+    assert ((found > 0) == held).all() and (place[held] == np.arange(1, held.sum() + 1)).all() and not place[~held].any()
     assert np.allclose(np.log10(ngrams.PROBABILITIES[found[held]]), np.log10(p[held]), atol=ngrams.STEP / 2 + 1e-9)
 
 
@@ -51,47 +51,53 @@ def test_word_level_finds_what_it_holds(monkeypatch):
     assert not nothing[0].any() and not nothing[1].any()
 
 
-def expected(rows):
+START = object()
+
+
+def expected(rows, order):
+    """By dictionaries of whole word sequences."""
     docs = [(i, zlib.crc32(("" if i is None else str(i)).encode()) % 10 == 0, [w.lower() for w in (t or "").encode().split()] + [b""]) for i, t in rows]
-    single, pair, starts = Counter(), Counter(), 0
+    counts, learned = Counter(), 0
     for _, held, words in docs:
         if not held:
-            single.update(words)
-            pair.update(zip([None, *words], words))
-            starts += 1
-    total, known = sum(single.values()), len(single)
-    context = dict(single)
-    context[None] = starts
+            marked = [START, *words]
+            learned += len(words)
+            for n in range(1, order + 1):
+                counts.update(tuple(marked[i : i + n]) for i in range(len(marked) - n + 1))
+    total, known = learned, sum(len(h) == 1 and h != (START,) for h in counts)
     once, all_ = Counter(), Counter()
-    for (u, _), c in pair.items():
-        kind = int(math.log2(context[u]))
-        once[kind] += c == 1
-        all_[kind] += c
+    for h, c in counts.items():
+        if len(h) > 1:
+            kind = len(h), int(math.log2(counts[h[:-1]]))
+            once[kind] += c == 1
+            all_[kind] += c
     out = Counter()
     for doc_id, held, words in docs:
         base = score = 0.0
-        for u, w in zip([None, *words], words):
-            p = (single[w] + 0.1) / (total + 0.1 * (known + 1))
+        marked = [START, *words]
+        for i, w in enumerate(words, 1):
+            p = (counts[w,] + 0.1) / (total + 0.1 * (known + 1))
             base += math.log10(p)
-            b, seen = 1.0, 0.0
-            if context.get(u):
-                kind = int(math.log2(context[u]))
-                b = min(max((once[kind] + 0.5) / (all_[kind] + 1), 0.01), 0.99)
-                seen = pair[u, w] / context[u]
-            score += math.log10((1 - b) * seen + b * p)
-        out[doc_id, held, len(words), sum(single[w] > 0 for w in words), total, round(base, 4)] += 1
+            for n in range(2, order + 1):
+                context = tuple(marked[i - n + 1 : i]) if i >= n - 1 else None
+                if context and counts[context] >= (1 if n == 2 else 2):
+                    kind = n, int(math.log2(counts[context]))
+                    b = min(max((once[kind] + 0.5) / (all_[kind] + 1), 0.01), 0.99)
+                    p = (1 - b) * counts[*context, w] / counts[context] + b * p
+            score += math.log10(p)
+        out[doc_id, held, len(words), sum(counts[w,] > 0 for w in words), total, round(base, 4)] += 1
         out["score", doc_id, len(words)] += score
     return out
 
 
-@pytest.mark.parametrize("chunk", [300, 1_000_000])
+@pytest.mark.parametrize("chunk, order", [(300, 3), (1_000_000, 3), (300, 4), (1_000_000, 2)])
 @pytest.mark.parametrize("table", ["documents", "odd", "empty"])
-def test_scores(request, monkeypatch, table, chunk):
+def test_scores(request, monkeypatch, table, chunk, order):
     monkeypatch.setattr(ngrams, "TOKENS", 2000)
     monkeypatch.setattr(ngrams, "WORDS", 3000)
     docs = request.getfixturevalue(table)
-    wanted = expected([tuple(r) for r in pick(docs, "doc_id", "text").collect()])
-    rows = ngrams.score(docs, split_by_id(F.col("doc_id"), 10) == 0, chunk).collect()
+    wanted = expected([tuple(r) for r in pick(docs, "doc_id", "text").collect()], order)
+    rows = ngrams.score(docs, split_by_id(F.col("doc_id"), 10) == 0, chunk, order).collect()
     got = Counter()
     for r in rows:
         got[r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4)] += 1
