@@ -27,12 +27,12 @@ END_ID = 1
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, part int, nth bigint"
 
 
-def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, with_ids=False) -> DataFrame:
+def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, with_ids=False, kept_words: int = tokens.KEPT_WORDS) -> DataFrame:
     """One row per piece: its place in the document, and ``nth`` of its length in task ``part``."""
     path = path or tokens.vocabulary()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, seen = tokens.encoder(path), TaskContext.get().partitionId(), {}
+        encoder, part, seen = tokens.encoder(path, kept_words), TaskContext.get().partitionId(), {}
         end, step = end_id.to_bytes(4, "little"), 4 * capacity
         for batch in slices(batches):
             out = {name: [] for name in ("doc_id", "piece", "start", "length", "ids_crc32", "part", "nth", "ids")}

@@ -13,7 +13,7 @@ import types
 import numpy as np
 
 # Words whose ids a task process keeps before it starts anew; about 200 bytes each.
-KEPT_WORDS = 200_000
+KEPT_WORDS = 500_000
 # Lower-case letters that no normal form changes; one mark may follow.
 PLAIN = re.compile("([a-zß-öø-ÿ]+)([.,]?)")
 
@@ -80,11 +80,12 @@ class WordEncoder:
             return b"".join([known[word] for word in words])
 
 
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str, kept_words: int = KEPT_WORDS) -> WordEncoder:
     """The encoder of this process; tasks that a worker process runs one after another share it."""
     shelf = sys.modules.setdefault("_word_encoders", types.ModuleType("_word_encoders"))
     if path not in vars(shelf):
         setattr(shelf, path, WordEncoder(path))
+    vars(shelf)[path].kept_words = kept_words
     return vars(shelf)[path]
 
 
