@@ -1,10 +1,13 @@
 """Column expressions and table helpers that several operators share."""
 
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tenderlens.session import scratch_path
+
 # Words are runs of characters other than these blanks.
 BLANKS = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -61,3 +64,21 @@ def split_by_id(doc_id: Column, modulus: int) -> Column:
 def let(value: Column, body) -> Column:
     """``body`` of a value that is worked out once, however often and deep inside it is used."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def bucketed(df: DataFrame, key: str, name: str, shuffle: bool = True) -> DataFrame:
+    """``df`` as a table in the shared folder, in as many buckets of ``key`` as shuffles have partitions.
+
+    Tables of one key are joined and grouped by it without a shuffle. ``shuffle`` deals the rows out by ``key`` first, for one
+    file a bucket; without it a task writes a file for each bucket that it has rows of. The catalog forgets
+    the table's name at once; its files stay until the folder goes.
+    """
+    spark = df.sparkSession
+    buckets = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 100_000)
+    own = f"{name}_{uuid.uuid4().hex}"
+    dealt = df.repartition(buckets, key) if shuffle else df
+    dealt.write.bucketBy(buckets, key).format("parquet").option("path", scratch_path(spark, name)).saveAsTable(own)
+    table = spark.table(own)
+    table.schema  # resolved: from here on it holds its files, not the name
+    spark.sql(f"DROP TABLE {own}")
+    return table

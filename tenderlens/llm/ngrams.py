@@ -13,6 +13,9 @@ an answer for each, so a pair that is everywhere costs a row per chunk. Shards a
 fills more than a piece is spread over several. A shard writes its level to a file, maps it into memory
 and answers from there, words as well as pairs; what is decoded at a time is a block of its contexts and their successors.
 
+Chunks and answers are kept in buckets by the task that cut the chunk. A chunk is read with its answers several times, a level
+further each time, and no such read shuffles.
+
 Probabilities: p(w) = (c + 0.1) / (N + 0.1 (V + 1)), and p(w | h) = (1 - b) c(h, w) / c(h) + b p(w | h'), h' being h without
 its first word. The weight b of contexts as frequent as h (by powers of two) is the share of their pairs
 seen once, which estimates how often what follows is new. Unknown contexts have b = 1, and so have contexts of several
@@ -31,8 +34,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tenderlens.llm.common import pick, slices
-from tenderlens.session import materialise
+from tenderlens.llm.common import bucketed, pick, slices
 
 ORDER = 3
 CHUNK = 1_000_000  # tokens
@@ -44,6 +46,7 @@ BLOCK = 1 << 18  # successors decoded at once
 LOWEST, STEP = -8.0, 8.0 / 254  # of log10 probabilities in 8 bits; 0 is absent
 LOWEST_WORD, STEP_WORD = -20.0, 20.0 / 65534  # of single words, in 16 bits
 CLASSES = 48  # of contexts by frequency
+PART = 28  # bits of a chunk's number within its task
 
 
 def pack_bits(values: np.ndarray, width: int) -> bytes:
@@ -211,7 +214,13 @@ def mapped(raw: bytes, ask):
         return ask(np.memmap(file, np.uint8, "r"))
 
 
-_CHUNKS = "chunk bigint, doc_ids array<bigint>, held_out array<boolean>, ends binary, stream binary, hashes binary, places binary, counts binary, tokens bigint, docs bigint"
+def with_answers(state: DataFrame, answers: DataFrame, how: str) -> DataFrame:
+    """Chunks with their answers. Rows meet by part, the key of the buckets; as a second equal key the chunk would call for a shuffle."""
+    named = answers.withColumnsRenamed({"part": "own_part", "chunk": "own_chunk"})
+    return state.join(named, (F.col("part") == F.col("own_part")) & (F.col("chunk") - F.col("own_chunk") == 0), how).drop("own_part", "own_chunk")
+
+
+_CHUNKS = "chunk bigint, doc_ids array<bigint>, held_out array<boolean>, ends binary, stream binary, hashes binary, places binary, tokens bigint, docs bigint"
 _ARROW = {"bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "boolean": pa.bool_(), "double": pa.float64()}
 _ARROW |= {f"array<{k}>": pa.list_(v) for k, v in list(_ARROW.items())}
 
@@ -236,13 +245,31 @@ def _expand(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4")[:, 0].astype(np.int64)
 
 
+def _squeeze_rising(values: np.ndarray) -> bytes:
+    """Places from 1, ascending but for the zeros of what is absent, by the gaps between them."""
+    gaps, known = np.zeros(len(values), np.int64), values > 0
+    gaps[known] = np.diff(values[known], prepend=0)
+    return _squeeze(gaps)
+
+
+def _expand_rising(raw: bytes) -> np.ndarray:
+    gaps = _expand(raw)
+    return np.where(gaps > 0, np.cumsum(gaps), 0)
+
+
+def by_part(df: DataFrame, name: str) -> DataFrame:
+    """A table in buckets of ``part``, the task that cut a row's chunk; rows of no chunk are dealt by shard."""
+    shard = F.col("shard") if "shard" in df.columns else F.lit(None)
+    return bucketed(df.withColumn("part", F.coalesce(F.shiftright("chunk", PART), shard)), "part", name, shuffle="shard" in df.columns)
+
+
 def chunks(docs: DataFrame, held_out: Column, chunk: int = CHUNK) -> DataFrame:
-    """Texts as numbers of words of their chunk; words as hashes with their training counts."""
+    """Texts as numbers of words of their chunk; words as hashes."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        part, serial = TaskContext.get().partitionId() << 28, 0
+        part, serial = TaskContext.get().partitionId() << PART, 0
         known, docs_, streams, tokens = {b"": 0}, [], [], 0
 
         def emit():
@@ -250,11 +277,9 @@ def chunks(docs: DataFrame, held_out: Column, chunk: int = CHUNK) -> DataFrame:
             hashes, places = np.unique(hashes, return_inverse=True)
             stream = np.concatenate(streams)
             ends = np.cumsum([len(s) for s in streams])
-            learned = np.repeat([not held for _, held in docs_], [len(s) for s in streams])
-            counts = np.bincount(places[stream[learned]], minlength=len(hashes))
             return _batch(_CHUNKS, [(
                 part + serial, [d for d, _ in docs_], [h for _, h in docs_], _squeeze(ends), _squeeze(stream), EliasFano.encode(hashes),
-                _squeeze(places), _squeeze(counts), len(stream), sum(not h for _, h in docs_),
+                _squeeze(places), len(stream), sum(not h for _, h in docs_),
             )])
 
         for batch in slices(batches):
@@ -271,7 +296,7 @@ def chunks(docs: DataFrame, held_out: Column, chunk: int = CHUNK) -> DataFrame:
             yield emit()
 
     slim = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), held_out.alias("held_out"))
-    return materialise(slim.mapInArrow(encode, _CHUNKS), "chunks")
+    return by_part(slim.mapInArrow(encode, _CHUNKS), "chunks")
 
 
 _ASKED = "chunk bigint, shard bigint, keys binary, sizes binary, words binary, counts binary, totals binary"
@@ -291,7 +316,9 @@ def word_level(cut: DataFrame, shards: int, tokens: int) -> DataFrame:
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                hashes, counts = decode(row["hashes"]), _expand(row["counts"])
+                hashes = decode(row["hashes"])
+                learned = np.repeat(~np.array(row["held_out"], bool), np.diff(_expand(row["ends"]), prepend=0))
+                counts = np.bincount(_expand(row["places"])[_expand(row["stream"])[learned]], minlength=len(hashes))
                 # Hash ranges of one size; the upper half of the bits is plenty to tell them apart.
                 shard = ((hashes >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
                 rows = [(row["chunk"], s, EliasFano.encode(hashes[p]), None, None, _squeeze(counts[p]), None) for s, p in _by_shard(shard)]
@@ -309,12 +336,12 @@ def word_level(cut: DataFrame, shards: int, tokens: int) -> DataFrame:
         for row, own in zip(rows, keys):
             mine = inverse[at : at + len(own)]
             at += len(own)
-            out.append((row["chunk"], row["shard"], _squeeze(place[mine]), _squeeze(counts[mine]), _squeeze(code[mine]), None, 0, 0))
+            out.append((row["chunk"], row["shard"], _squeeze_rising(place[mine]), _squeeze(counts[mine]), _squeeze(code[mine]), None, 0, 0))
         out.append((None, rows[0]["shard"], None, _squeeze(counts[counts > 0]), None, level, int((counts > 0).sum()), int(counts.sum())))
         return pa.Table.from_batches([_batch(_ANSWERS, out)])
 
-    asked = cut.select("chunk", "hashes", "counts").mapInArrow(ask, _ASKED)
-    return materialise(asked.groupBy("shard").applyInArrow(answer, _ANSWERS), "words")
+    asked = cut.select("chunk", "held_out", "ends", "stream", "hashes", "places").mapInArrow(ask, _ASKED)
+    return by_part(asked.groupBy("shard").applyInArrow(answer, _ANSWERS), "words")
 
 
 class _Chunk:
@@ -328,7 +355,7 @@ class _Chunk:
         # Shards are ranges of hashes, so answers in the order of shards are in the order of hashes.
         number, count, code = [], [], []
         for a in answers:
-            own = _expand(a["places"])
+            own = _expand_rising(a["places"])
             number.append(np.where(own > 0, own + before[a["shard"]], 0))
             count.append(_expand(a["counts"]))
             code.append(_expand(a["codes"]))
@@ -377,7 +404,7 @@ class _Chunk:
             own = by_shard[shard]
             code[p] = np.frombuffer(own["codes"], np.uint8)
             if own["places"] is not None:
-                local, count[p] = _expand(own["places"]), _expand(own["counts"])
+                local, count[p] = _expand_rising(own["places"]), _expand(own["counts"])
                 place[p] = np.where(local > 0, (local - 1) * shards + shard + 1, 0)
         found, places, counts = np.zeros(len(self.word)), np.zeros(len(self.word), np.int64), np.zeros(len(self.word), np.int64)
         found[self.asks] = PROBABILITIES[code][self.inverse]
@@ -429,11 +456,11 @@ def pair_level(asked: DataFrame, words: int, last: bool) -> DataFrame:
         again = counts >= 2
         place, counts = np.where(again, place, 0), np.where(again, counts, 0)
         for row, mine in zip(rows, np.split(inverse, np.cumsum(lengths)[:-1])):
-            more = (None, None) if last else (_squeeze(place[mine]), _squeeze(counts[mine]))
+            more = (None, None) if last else (_squeeze_rising(place[mine]), _squeeze(counts[mine]))
             out.append((row["chunk"], row["shard"], code[mine].tobytes(), *more, None, None))
         return pa.Table.from_batches([_batch(_PAIRS, out)])
 
-    return materialise(asked.groupBy("shard").applyInArrow(answer, _PAIRS), "pairs")
+    return by_part(asked.groupBy("shard").applyInArrow(answer, _PAIRS), "pairs")
 
 
 def back_off(level: DataFrame) -> np.ndarray:
@@ -460,9 +487,9 @@ def score(docs: DataFrame, held_out: Column, chunk: int = CHUNK, order: int = OR
     if words >= 1 << 32:
         raise ValueError("words are numbered in 32 bits")
 
-    answers = level_one.filter("chunk is not null").groupBy("chunk")
+    answers = level_one.filter("chunk is not null").groupBy("part", "chunk")
     answers = answers.agg(F.collect_list(F.struct("shard", "places", "counts", "codes")).alias("words"))
-    state = cut.join(answers, "chunk")
+    state = with_answers(cut, answers, "inner")
     columns = ["chunk", "held_out", "ends", "stream", "places", "words"]
     weights: list[np.ndarray] = []
     for n in range(2, order + 1):
@@ -479,8 +506,8 @@ def score(docs: DataFrame, held_out: Column, chunk: int = CHUNK, order: int = OR
         level = pair_level(state.select(*columns, *above).mapInArrow(ask, _ASKED), words, n == order)
         weights.append(back_off(level))
         fields = F.struct("shard", "codes", "places", "counts")
-        found = level.filter("chunk is not null").groupBy("chunk").agg(F.collect_list(fields).alias(f"level{n}"))
-        state = state.join(found, "chunk", "left")
+        found = level.filter("chunk is not null").groupBy("part", "chunk").agg(F.collect_list(fields).alias(f"level{n}"))
+        state = with_answers(state, found, "left")
     norm = learned + 0.1 * (known + 1)
     levels = [f"level{n}" for n in range(2, order + 1)]
 
