@@ -314,15 +314,15 @@ def word_level(cut: DataFrame, shards: int, tokens: int) -> DataFrame:
     """Level one: a row per shard with its training words, and an answer per chunk and shard; ``tokens`` are all there are."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                hashes = decode(row["hashes"])
-                learned = np.repeat(~np.array(row["held_out"], bool), np.diff(_expand(row["ends"]), prepend=0))
-                counts = np.bincount(_expand(row["places"])[_expand(row["stream"])[learned]], minlength=len(hashes))
-                # Hash ranges of one size; the upper half of the bits is plenty to tell them apart.
-                shard = ((hashes >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
-                rows = [(row["chunk"], s, EliasFano.encode(hashes[p]), None, None, _squeeze(counts[p]), None) for s, p in _by_shard(shard)]
-                yield _batch(_ASKED, rows)
+        for one in slices(batches, 1):
+            row = one.to_pylist()[0]
+            hashes = decode(row["hashes"])
+            learned = np.repeat(~np.array(row["held_out"], bool), np.diff(_expand(row["ends"]), prepend=0))
+            counts = np.bincount(_expand(row["places"])[_expand(row["stream"])[learned]], minlength=len(hashes))
+            # Hash ranges of one size; the upper half of the bits is plenty to tell them apart.
+            shard = ((hashes >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
+            rows = [(row["chunk"], s, EliasFano.encode(hashes[p]), None, None, _squeeze(counts[p]), None) for s, p in _by_shard(shard)]
+            yield _batch(_ASKED, rows)
 
     def answer(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
@@ -495,13 +495,15 @@ def score(docs: DataFrame, held_out: Column, chunk: int = CHUNK, order: int = OR
     for n in range(2, order + 1):
         above = [f"level{m}" for m in range(2, n)]
 
+        def questions(row: dict, above: list[str]) -> pa.RecordBatch:
+            own = _Chunk(row, before, start, words)
+            for name in above:
+                own.answered(row[name], pair_shards)
+            return _batch(_ASKED, own.questions(pair_shards))
+
         def ask(batches: Iterator[pa.RecordBatch], above=above) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for row in batch.to_pylist():
-                    own = _Chunk(row, before, start, words)
-                    for name in above:
-                        own.answered(row[name], pair_shards)
-                    yield _batch(_ASKED, own.questions(pair_shards))
+            for one in slices(batches, 1):
+                yield questions(one.to_pylist()[0], above)
 
         level = pair_level(state.select(*columns, *above).mapInArrow(ask, _ASKED), words, n == order)
         weights.append(back_off(level))
@@ -511,24 +513,26 @@ def score(docs: DataFrame, held_out: Column, chunk: int = CHUNK, order: int = OR
     norm = learned + 0.1 * (known + 1)
     levels = [f"level{n}" for n in range(2, order + 1)]
 
+    def scored(row: dict) -> pa.RecordBatch:
+        own = _Chunk(row, before, start, words)
+        base, p = (own.word_count + 0.1) / norm, word_shares(own.word_code, tokens) / norm
+        for name, weight in zip(levels, weights):
+            least = own.least
+            found = own.answered(row[name], pair_shards)
+            count = own.asked_count
+            b = np.where(count >= least, weight[np.log2(np.maximum(count, 1)).astype(np.int64)], 1.0)
+            p = (1 - b) * found + b * p
+        add = lambda values: np.add.reduceat(values, own.begins)
+        arrays = [
+            pa.array(row["doc_ids"], pa.int64()), pa.array(row["held_out"], pa.bool_()), pa.array(np.diff(own.ends, prepend=0)),
+            pa.array(add((own.word_count > 0).astype(np.int64))), pa.array(np.full(len(own.begins), learned, np.int64)),
+            pa.array(add(np.log10(base))), pa.array(add(np.log10(p))),
+        ]
+        return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                own = _Chunk(row, before, start, words)
-                base, p = (own.word_count + 0.1) / norm, word_shares(own.word_code, tokens) / norm
-                for name, weight in zip(levels, weights):
-                    least = own.least
-                    found = own.answered(row[name], pair_shards)
-                    count = own.asked_count
-                    b = np.where(count >= least, weight[np.log2(np.maximum(count, 1)).astype(np.int64)], 1.0)
-                    p = (1 - b) * found + b * p
-                add = lambda values: np.add.reduceat(values, own.begins)
-                arrays = [
-                    pa.array(row["doc_ids"], pa.int64()), pa.array(row["held_out"], pa.bool_()), pa.array(np.diff(own.ends, prepend=0)),
-                    pa.array(add((own.word_count > 0).astype(np.int64))), pa.array(np.full(len(own.begins), learned, np.int64)),
-                    pa.array(add(np.log10(base))), pa.array(add(np.log10(p))),
-                ]
-                yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+        for one in slices(batches, 1):
+            yield scored(one.to_pylist()[0])
 
     finished = state.select(*columns, "doc_ids", *levels)
     return finished.mapInArrow(finish, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
