@@ -39,7 +39,7 @@ from tenderlens.llm.common import bucketed, pick, slices
 ORDER = 3
 CHUNK = 1_000_000  # tokens
 WORDS = 1_000_000  # asked words of a level-one shard
-TOKENS = 3_000_000  # tokens of a level-two shard; a context with more is spread
+TOKENS = 2_000_000  # tokens of a level-two shard; a context with more is spread
 SEED = 42
 SAMPLE = 1024  # every so many-th code's place in the upper bits is kept
 BLOCK = 1 << 18  # successors decoded at once
@@ -437,14 +437,18 @@ def pair_level(asked: DataFrame, words: int, last: bool) -> DataFrame:
 
     def answer(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
-        own = [(np.repeat(decode(row["keys"]), _expand(row["sizes"])), _expand(row["words"]), _expand(row["counts"]), np.repeat(_expand(row["totals"]), _expand(row["sizes"]))) for row in rows]
-        lengths = [len(part[0]) for part in own]
-        contexts, word, counts, totals = (np.concatenate(parts) for parts in zip(*own))
-        names, local = np.unique(contexts, return_inverse=True)
-        every, inverse = np.unique(local.astype("<u8") * np.uint64(words) + word.astype("<u8"), return_inverse=True)
-        counts = np.bincount(inverse, counts, len(every)).astype(np.int64)
+        sizes = [_expand(row["sizes"]) for row in rows]
+        lengths = [int(own.sum()) for own in sizes]
+        sizes = np.concatenate(sizes)
+        together = lambda read, field: np.concatenate([read(row[field]) for row in rows])
+        names, local = np.unique(together(decode, "keys"), return_inverse=True)
+        asked = np.repeat(local.astype("<u8") * np.uint64(words), sizes)
+        asked += together(_expand, "words").astype("<u8")
+        every, inverse = np.unique(asked, return_inverse=True)
+        del local, asked
+        counts = np.bincount(inverse, together(_expand, "counts"), len(every)).astype(np.int64)
         total = np.zeros(len(every), np.int64)
-        total[inverse] = totals
+        total[inverse] = np.repeat(together(_expand, "totals"), sizes)
         context, word = names[(every // np.uint64(words)).astype(np.int64)], every % np.uint64(words)
         seen = counts > 0
         level = Level.encode(context[seen], word[seen], counts[seen] / total[seen], words)
