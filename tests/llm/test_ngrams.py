@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tenderlens.llm import ngrams
-from tenderlens.llm.common import pick, split_by_id
+from tenderlens.llm.common import bucketed, pick, split_by_id
 
 
 @pytest.mark.parametrize("many, most", [(0, 1), (1, 1), (3, 2**63), (5000, 40), (70_000, 2**40), (1500, 2**64 - 1)])
@@ -115,3 +115,19 @@ def test_held_out_texts_score_better_than_by_single_words(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     held = ngrams.score(docs, split_by_id(F.col("doc_id"), 10) == 0).filter("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert held[0] > held[1]
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    made = spark.range(1000).selectExpr("id % 7 as part", "id as chunk", "id * 3 as value")
+    kept, asked = bucketed(made, "part", "kept", shuffle=False), bucketed(made.filter("id % 2 = 0").withColumnRenamed("value", "answer"), "part", "asked")
+    hinted = ngrams.with_answers(kept, asked.groupBy("part", "chunk").agg(F.collect_list("answer").alias("answers")).hint("merge"), "left")
+    plan = hinted._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    got = {r.chunk: r.answers for r in hinted.collect()}
+    assert got == {i: None if i % 2 else [3 * i] for i in range(1000)}
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith(("kept_", "asked_"))]
+
+
+@pytest.mark.parametrize("places", [[], [0, 0], [1], [0, 5, 0, 6, 900_000, 0]])
+def test_rising_places_round_trip(places):
+    assert ngrams._expand_rising(ngrams._squeeze_rising(np.array(places, np.int64))).tolist() == places
