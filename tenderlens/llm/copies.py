@@ -1,9 +1,11 @@
 """Near copies: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
 Words are those of ``simhash``; a text of up to five words is one shingle. Texts with one and the same
-set are one node. Each node has ``BANDS`` keys, every one made of ``ROWS`` minima of its set under random
-orders, and nodes with a key in common may be near copies: at a similarity s a pair shares none with a
-probability of (1 - s ** ROWS) ** BANDS, which is below 1e-9 from 0.8 on. No pair becomes a link by that
+set are one node. Candidates come from ``simhash``: nodes whose fingerprints on such shingles fall into one component, linked
+through distances to the pivots. Edited copies differ in more bits than a search by fingerprint can allow, so
+each node also has ``BANDS`` keys, every one made of ``ROWS`` minima of its set under random
+orders: at a similarity s a pair shares none with a probability of (1 - s ** ROWS) ** BANDS, which is below 1e-9 from 0.8
+on. Nodes that share a component or a key may be near copies. No pair becomes a link by that
 alone: the sets themselves are compared.
 
 A bit of the sketch says whether an odd number of the set's hashes fall on it, so two sets differ in at least
@@ -25,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tenderlens.llm import simhash
 from tenderlens.llm.common import at, beside, pick, slices, unpacked
 from tenderlens.operators.dbscan import components
 from tenderlens.session import materialise
@@ -80,31 +83,40 @@ def sketch(own: np.ndarray) -> np.ndarray:
 
 
 def _signed(docs: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, text_hash, digest, size, sketch, keys) of every row, written once."""
+    """(doc_id, text_hash, digest, fp, size, sketch, keys) of every row, written once."""
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         for batch in slices(batches):
-            sets = [shingle_set(raw or b"", shingle) for raw in batch.column(2).cast("binary").to_pylist()]
-            names = ["doc_id", "text_hash", "digest", "size", "sketch", "keys"]
+            texts = [raw or b"" for raw in batch.column(2).cast("binary").to_pylist()]
+            sets = [shingle_set(raw, shingle) for raw in texts]
+            prints = pa.array(np.array([simhash.fingerprint(raw, shingle) for raw in texts], "<u8").view("<i8"))
+            names = ["doc_id", "text_hash", "digest", "fp", "size", "sketch", "keys"]
             digests = pa.array([xxhash.xxh128_digest(own.tobytes()) for own in sets], pa.binary())
             keys = pa.array([band_keys(own) for own in sets], pa.list_(pa.int64()))
             sizes, sketches = pa.array(map(len, sets), pa.int64()), pa.array(map(sketch, sets), pa.list_(pa.int64()))
-            arrays = [batch.column(0), batch.column(1), digests, sizes, sketches, keys]
+            arrays = [batch.column(0), batch.column(1), digests, prints, sizes, sketches, keys]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     slim = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("bigint"), F.xxhash64("text").alias("text_hash"), F.col("text").cast("string"))
-    return materialise(slim.mapInArrow(signed, "doc_id bigint, text_hash bigint, digest binary, size bigint, sketch array<bigint>, keys array<bigint>"), "signed")
+    return materialise(slim.mapInArrow(signed, "doc_id bigint, text_hash bigint, digest binary, fp bigint, size bigint, sketch array<bigint>, keys array<bigint>"), "signed")
 
 
 def _nodes(signed: DataFrame) -> DataFrame:
-    """(node, digest, first, size, sketch, keys) for each distinct set of shingles; ``first`` is its first row."""
+    """(node, digest, prints, first, size, sketch, keys) for each distinct set of shingles; ``first`` is its first row."""
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first")
-    distinct = signed.groupBy("digest").agg(first, *[F.first(name).alias(name) for name in ("size", "sketch", "keys")])
+    distinct = signed.groupBy("digest").agg(F.collect_set("fp").alias("prints"), first, *[F.first(name).alias(name) for name in ("size", "sketch", "keys")])
     return materialise(distinct.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
 
+def _fingerprint_keys(nodes: DataFrame) -> DataFrame:
+    """(node, key): the components of linked fingerprints that nodes fall into."""
+    prints = materialise(nodes.select("node", F.explode("prints").alias("fp")), "prints")
+    roots = simhash.linked(prints.select("fp").distinct())
+    return prints.join(roots, "fp", "left").select("node", F.xxhash64(F.lit("fp"), F.coalesce("root", "fp")).alias("key")).distinct()
+
+
 def _few(table: DataFrame) -> DataFrame:
     """A stored table, sent to all tasks if its rows are few; joins with many shuffle."""
     return F.broadcast(table) if table.count() <= MOST_BROADCAST else table
@@ -220,7 +232,7 @@ def deduplicated(docs: DataFrame, similarity: float = SIMILARITY, shingle: int =
     again = materialise(signed.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")).filter("n > 1").drop("n"), "again")
     again = None if again.isEmpty() else _named(again)
     nodes = _nodes(signed)
-    places = nodes.select("node", F.explode("keys").alias("key"))
+    places = materialise(nodes.select("node", F.explode("keys").alias("key")).unionAll(_fingerprint_keys(nodes)), "keyed")
     shared = places.groupBy("key").agg(F.count("*").alias("nodes")).filter("nodes > 1").select("key")
     places = materialise(places.join(shared, "key"), "shared")
     # What follows is about nodes that share a key with another one.

@@ -51,17 +51,25 @@ def vector(text: str, width: int = WIDTH) -> np.ndarray | None:
     return counts / np.linalg.norm(counts)
 
 
-def machine(x: np.ndarray, y: np.ndarray, rounds: int = ROUNDS, penalty: float = PENALTY) -> np.ndarray:
-    """Weights, bias last, of a linear support vector machine: dual coordinate descent on the hinge loss."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    weights, alpha, norms = np.zeros(x.shape[1]), np.zeros(len(x)), (x**2).sum(axis=1)
+def machine(x: np.ndarray, y: np.ndarray, at: np.ndarray | None = None, rounds: int = ROUNDS, penalty: float = PENALTY) -> np.ndarray:
+    """Weights, bias last, of a linear support vector machine: dual coordinate descent on the hinge loss.
+
+    ``at`` names the rows of ``x`` to fit on, ``y`` has their sides. Rows become doubles one at a time: ``x`` is held once.
+    """
+    at = np.arange(len(x)) if at is None else at
+    row = np.ones(x.shape[1] + 1)
+    weights, alpha, norms = np.zeros(len(row)), np.zeros(len(at)), np.zeros(len(at))
+    for i, place in enumerate(at):
+        row[:-1] = x[place]
+        norms[i] = (row**2).sum()
     draw = np.random.default_rng(7)
     for _ in range(rounds):
         moved = 0.0
-        for i in draw.permutation(len(x)):
-            new = min(max(alpha[i] - (y[i] * weights.dot(x[i]) - 1) / norms[i], 0.0), penalty)
+        for i in draw.permutation(len(at)):
+            row[:-1] = x[at[i]]
+            new = min(max(alpha[i] - (y[i] * weights.dot(row) - 1) / norms[i], 0.0), penalty)
             if new != alpha[i]:
-                weights += (new - alpha[i]) * y[i] * x[i]
+                weights += (new - alpha[i]) * y[i] * row
                 moved, alpha[i] = max(moved, abs(new - alpha[i])), new
         if moved < 1e-3:
             break
@@ -87,14 +95,14 @@ def families(means: dict[str, np.ndarray]) -> list[list[str]]:
 class Discriminator:
     def __init__(self, x: np.ndarray, langs: list[str]):
         langs = np.array(langs, dtype=object)
-        self.families = families({name: x[langs == name].mean(axis=0) for name in sorted(set(langs))})
+        self.families = families({name: x[langs == name].astype(float).mean(axis=0) for name in sorted(set(langs))})
         self.of_family, self.of_pair = [], {}
         for family in self.families if len(self.families) > 1 else []:
             self.of_family.append(machine(x, np.where(np.isin(langs, family), 1.0, -1.0)))
         for family in self.families:
             for a, b in combinations(family, 2):
                 own = (langs == a) | (langs == b)
-                self.of_pair[a, b] = machine(x[own], np.where(langs[own] == a, 1.0, -1.0))
+                self.of_pair[a, b] = machine(x, np.where(langs[own] == a, 1.0, -1.0), np.flatnonzero(own))
 
     def predict(self, v: np.ndarray) -> tuple[str, float]:
         v = np.append(v, 1.0)
@@ -146,7 +154,7 @@ def learn(docs: DataFrame, training: Column, sample: int = SAMPLE, width: int =
     rows.sort(key=lambda row: (row.lang, row.v))
     if not rows:
         return None
-    return Discriminator(np.stack([np.frombuffer(row.v, "<f4").astype(float) for row in rows]), [row.lang for row in rows])
+    return Discriminator(np.stack([np.frombuffer(row.v, "<f4") for row in rows]), [row.lang for row in rows])
 
 
 def _judge(model: Discriminator | None, width: int, text: str | None) -> tuple[str, float]:

@@ -103,15 +103,19 @@ def links(distinct: DataFrame, bits: int = BITS, many_pivots: int = PIVOTS) -> D
     return met.select("u", "v").distinct()
 
 
+def linked(distinct: DataFrame, bits: int = BITS, many_pivots: int = PIVOTS) -> DataFrame:
+    """(fp, root): the lowest fingerprint of the component, for those of the distinct fingerprints that have a link."""
+    edges = materialise(links(distinct, bits, many_pivots), "links")
+    nodes = edges.select(F.col("u").alias("node")).unionAll(edges.select("v")).distinct()
+    return components(nodes, edges).withColumnRenamed("node", "fp")
+
+
 def _grouped(docs: DataFrame, bits: int, shingle: int, many_pivots: int):
     """Rows with their fingerprints; distinct fingerprints with their component's root; components with their first row."""
     rows = materialise(fingerprints(docs, shingle), "fingerprints")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first")
     distinct = materialise(rows.groupBy("fp").agg(first, F.count("*").alias("copies")), "distinct")
-    edges = materialise(links(distinct, bits, many_pivots), "links")
-    nodes = edges.select(F.col("u").alias("node")).unionAll(edges.select("v")).distinct()
-    roots = components(nodes, edges).withColumnRenamed("node", "fp")
-    grouped = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    grouped = distinct.join(linked(distinct, bits, many_pivots), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     return rows, grouped, grouped.groupBy("root").agg(F.min("first").alias("first"))
 
 

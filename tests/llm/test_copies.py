@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from test_rows import WORD, plain_fingerprint
 
@@ -113,3 +114,12 @@ def test_odd_rows(spark, odd, empty):
     assert len(found) == len(set(found)) and set(found) == {plain_shingles(r.text) for r in pick(odd, "text").collect()}
     assert copies.deduplicated(odd).columns == odd.columns
     assert copies.deduplicated(empty).count() == 0
+
+
+def test_candidates_of_fingerprints(spark, monkeypatch):
+    """With the keys of minima left out, copies with one word changed are found through their fingerprints."""
+    monkeypatch.setattr(copies, "band_keys", lambda own: np.zeros(0, np.int64))
+    draw = random.Random(6)
+    words = [f"w{draw.randrange(10**6)}" for _ in range(3000)]
+    texts = [" ".join(words), " ".join([*words[:-1], "other"]), " ".join(reversed(words))]
+    assert kept(copies.deduplicated(table(spark, texts))) == [0, 2]
