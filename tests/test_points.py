@@ -262,3 +262,11 @@ def test_dbscan_on_two_levels(spark, cloud, monkeypatch):
     monkeypatch.setattr(dbscan.near_cells, "__defaults__", (4, None))
     found = dbscan.dbscan(frame(spark, cloud), "id", 0.3, 5).orderBy("id").toPandas()
     assert np.array_equal(found.cluster, brute_labels(cloud, 0.3, 5))
+
+
+def test_pairs_of_cells_are_not_broadcast(spark):
+    """Repeated arrays make the files of pairs small, but not their rows in memory."""
+    draw = np.random.default_rng(8)
+    cut = dbscan._Cells(frame(spark, draw.normal(0, 1, (300, 6))), "id", 0.6)
+    met = cut.rows.join(cut.pairs.select("cell_a", "cell_b"), cut.rows.cell == F.col("cell_a"))
+    assert "SortMergeJoin [cell" in met._jdf.queryExecution().executedPlan().toString()
