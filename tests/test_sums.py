@@ -1,5 +1,7 @@
 """Sums of distances by boxes against all pairs."""
 
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -17,6 +19,18 @@ def test_nodes_stand_for_far_points():
     assert sums.weighted_sums(asking, nodes, totals) == pytest.approx(sums.weighted_sums(asking, points, weights), rel=1e-11)
 
 
+def test_tiles_of_distances_stay_small():
+    """3,000 rows meet 2,500 points in tiles of about a megabyte, and the sums are those over all pairs."""
+    draw = np.random.default_rng(5)
+    asking, points, weights = draw.normal(0, 1, (3000, 2)), draw.normal(0, 1, (2500, 2)), draw.integers(1, 4, 2500).astype(float)
+    tracemalloc.start()
+    found = sums.weighted_sums(asking, points, weights)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 3_000_000
+    assert found == pytest.approx(np.sqrt(((asking[:, None] - points[None]) ** 2).sum(axis=2)) @ weights, rel=1e-12)
+
+
 @pytest.mark.parametrize("dims", [1, 2, 3])
 def test_cluster_sums(spark, dims):
     """Two clusters of 4,000 rows, the first with few values on its last axis, one row far away, leaves of 100 rows."""
