@@ -79,8 +79,9 @@ def tree_samples(df: DataFrame, key: str, trees: int, rows: int, total: int, see
         return F.shiftrightunsigned(F.xxhash64("_alike", "_row", F.lit(seed), tree), 11) / float(2**53)
 
     share = min(1.0, _OVERSAMPLE * rows / total)
-    chosen = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda tree: unit(tree) < share)
-    drawn = known.select("*", F.explode(chosen).alias("tree")).withColumn("place", unit(F.col("tree")))
+    # Compiled as a loop over trees that ends in the filter; a function over an array of trees would be interpreted.
+    offered = known.select("*", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree")).withColumn("place", unit(F.col("tree")))
+    drawn = offered.filter(F.col("place") < share)
     order = Window.partitionBy("tree").orderBy("place", "_key", "_row")
     numbered = drawn.withColumn("number", F.row_number().over(order)).filter(F.col("number") <= rows)
     return numbered.select("tree", F.col("number").alias("place"), "features")

@@ -177,6 +177,19 @@ def test_drawing_leaves_rows_where_they_are(spark):
     assert "BroadcastExchange" in before_draw and "hashpartitioning" not in before_draw
 
 
+def test_drawing_is_compiled(spark):
+    """A row meets the trees in a compiled loop, not in an interpreted function over an array; the draw is the hashes' own."""
+    from tenderlens.session import materialise
+
+    df = materialise(spark.range(3000).select("id", F.array(F.col("id") * 0.5).alias("features")), "rows")
+    drawn = forest.tree_samples(df, "id", 7, 64, 3000, 42)
+    assert "lambda" not in drawn._jdf.queryExecution().executedPlan().toString()
+    place = "shiftrightunsigned(xxhash64(xxhash64(id, features), 0L, 42, {}), 11)"
+    for tree in range(7):
+        lowest = df.orderBy(F.expr(place.format(tree))).limit(64).select("features")
+        assert sorted(r.features for r in drawn.filter(F.col("tree") == tree).collect()) == sorted(r.features for r in lowest.collect())
+
+
 def test_samples_of_null_and_repeated_keys(spark):
     from tenderlens.session import materialise
 
