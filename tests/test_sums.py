@@ -3,11 +3,12 @@
 import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tenderlens.operators import quality, sums
-from tenderlens.operators.neighbours import cut_space, reached
+from tenderlens.operators.neighbours import arrow_matrix, cut_space, flat_tree, homes, reached
 
 
 def test_nodes_stand_for_far_points():
@@ -67,6 +68,49 @@ def test_rows_meet_few_others():
     assert sum(not far for _, far in met) <= 6 and len(met) <= 40
 
 
+@pytest.mark.parametrize("many", [1, 3, 30])
+def test_nearest_open_clusters(many):
+    """Ties in distance go by name, closed clusters are never visited, and a row may have none left."""
+    draw = np.random.default_rng(6)
+    far, names = draw.integers(0, 4, (200, 20)).astype(float), draw.permutation(100)[:20]
+    open_ = draw.random((200, 20)) < 0.4
+    open_[7] = False
+    ends, found, clusters = quality._nearest_open(far, names, open_, many)
+    for row, (a, b) in enumerate(zip([0, *ends], ends)):
+        wanted = sorted((far[row, c], names[c]) for c in range(20) if open_[row, c])[:many]
+        assert list(zip(found[a:b], clusters[a:b])) == wanted
+
+
+def test_rows_pass_without_an_object_each(spark):
+    """Placing rows, naming their visits and summing their distances take whole Arrow columns; vectors are not taken apart."""
+    draw = np.random.default_rng(8)
+    rows = [(i, [float(v) for v in p], 1, i % 3) for i, p in enumerate(draw.normal(0, 1, (300, 2)))]
+    vectors = spark.createDataFrame(rows, "v bigint, x array<double>, weight bigint, cluster bigint")
+    boxes = sums.ClusterSums(vectors, 300, 50)
+    nothing = [F.lit(float("inf")).alias("best"), F.lit(-1.0).alias("after_far"), F.lit(-1).cast("bigint").alias("after_cluster")]
+    state = vectors.select("v", "x", "cluster", "weight", *nothing)
+    steps = [boxes.space.home(vectors), quality._next_visits(state, quality._centroids(vectors), 2, 2), boxes.of(vectors.select("v", "x", F.lit(1).cast("bigint").alias("other")))]
+    for step in steps:
+        plan = step._jdf.queryExecution().optimizedPlan().toString()
+        assert "InArrow" in plan and "InPandas" not in plan
+
+
+def test_homes_are_those_reached():
+    """Also with rows on a split, missing numbers and a tree of one leaf."""
+    draw = np.random.default_rng(9)
+    points = np.round(draw.normal(0, 1, (4000, 2)), 2)
+    points[5] = np.nan
+    for leaves in (1, 2, 500):
+        tree = cut_space(points[6:1006], leaves)
+        for found, wanted in zip(homes(flat_tree(tree), points), reached(tree, points)):
+            assert np.array_equal(found, wanted)
+
+
+def test_vectors_of_several_lengths_are_refused():
+    with pytest.raises(ValueError, match="several lengths"):
+        arrow_matrix(pa.array([[1.0, 2.0, 3.0], [4.0]]))
+
+
 def test_silhouette_by_boxes_and_by_pairs(spark, monkeypatch):
     draw = np.random.default_rng(4)
     rows = [([float(v) for v in p], int(c)) for p, c in zip(draw.normal(0, 1, (3000, 2)), draw.integers(0, 3, 3000))]
